@@ -20,17 +20,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, chord_km, haversine_km, unit_xyz_km
-from ..session import checkpoint_root
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from .joins import DEFAULT_BROADCAST_MAX_ROWS
 
-_OFFSETS = F.array(
-    *[
-        F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"))
-        for dx in (-1, 0, 1)
-        for dy in (-1, 0, 1)
-        for dz in (-1, 0, 1)
-    ]
-)
+
+_OFFSETS_SQL = "array(" + ", ".join(
+    f"named_struct('dx', {dx}, 'dy', {dy}, 'dz', {dz})"
+    for dx in (-1, 0, 1)
+    for dy in (-1, 0, 1)
+    for dz in (-1, 0, 1)
+) + ")"
+
+
+def _offsets():
+    """The 27 cube offsets of a 3x3x3 neighbourhood (one literal array)."""
+    return F.expr(_OFFSETS_SQL)
 
 
 def _with_xyz(df: DataFrame, key: str, lat: str, lon: str, prefix: str) -> DataFrame:
@@ -49,6 +52,29 @@ def _cell(prefix: str, size: float):
     return [F.floor(F.col(f"{prefix}{a}") / F.lit(size)).alias(f"{prefix}c{a}") for a in "xyz"]
 
 
+def _start_size_km(sites_xyz: DataFrame, k: int, floor_km: float) -> tuple[int, float]:
+    """Site count and a first cube edge sized so that a typical 3x3x3 block
+    already holds about 2k sites (one small aggregate over the sites)."""
+    import math
+
+    st = sites_xyz.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("s_lat").cast("double").alias("lat0"),
+        F.max("s_lat").cast("double").alias("lat1"),
+        F.min("s_lon").cast("double").alias("lon0"),
+        F.max("s_lon").cast("double").alias("lon1"),
+    ).first()
+    n = int(st["n"])
+    if n == 0:
+        return 0, floor_km
+    km_per_deg = math.pi * EARTH_RADIUS_KM / 180.0
+    mid = math.radians((st["lat0"] + st["lat1"]) / 2)
+    height = max((st["lat1"] - st["lat0"]) * km_per_deg, 1.0)
+    width = max((st["lon1"] - st["lon0"]) * km_per_deg * max(math.cos(mid), 0.01), 1.0)
+    size = math.sqrt(2.0 * k * height * width / (math.pi * n))
+    return n, max(floor_km, size)
+
+
 def nearest_k(
     points: DataFrame,
     sites: DataFrame,
@@ -59,28 +85,39 @@ def nearest_k(
     point_lon: str = "longitude",
     site_lat: str = "latitude",
     site_lon: str = "longitude",
-    start_cell_km: float = 25.0,
+    start_cell_km: float | None = None,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """The ``k`` nearest sites of every point by great-circle distance.
 
     Returns ``(point_key, site_key, distance_km, rank)``; ``distance_km`` is
     unrounded, ``rank`` runs 1..k by (distance, site key). Points with fewer
-    than ``k`` sites in total get all of them.
+    than ``k`` sites in total get all of them. ``start_cell_km`` defaults to
+    a size derived from the sites' density; it affects speed, never results.
+
+    Per round there is one action (is anything still pending?); round
+    results are persisted so the final union re-reads them instead of
+    recomputing earlier rounds. The site side is broadcast when its row
+    count is within ``broadcast_max_rows``, else both sides shuffle on the
+    cube id.
     """
-    spark = points.sparkSession
-    checkpoint_root(spark)
-    p_all = _with_xyz(points, point_key, point_lat, point_lon, "p_")
-    s_all = checked_broadcast(_with_xyz(sites, site_key, site_lat, site_lon, "s_"), broadcast_max_rows)
+    # Points are hash-partitioned by key once; the broadcast probe join keeps
+    # that partitioning, so the per-point window and the anti-join of every
+    # round need no further shuffle.
+    p_all = _with_xyz(points, point_key, point_lat, point_lon, "p_").repartition("p_key")
+    s_xyz = _with_xyz(sites, site_key, site_lat, site_lon, "s_")
+    n_sites, auto_size = _start_size_km(s_xyz, k, 1.0)
+    s_all = F.broadcast(s_xyz) if n_sites <= broadcast_max_rows else s_xyz
     pending = p_all
     settled: list[DataFrame] = []
-    size = float(start_cell_km)
+    cached: list[DataFrame] = []
+    size = float(start_cell_km) if start_cell_km else auto_size
     diameter = 2 * EARTH_RADIUS_KM
     while True:
         last = size >= diameter
         probes = (
             pending.select("*", *_cell("p_", size))
-            .select("*", F.explode(_OFFSETS).alias("_o"))
+            .select("*", F.explode(_offsets()).alias("_o"))
             .select(
                 "p_key",
                 "p_lat",
@@ -97,25 +134,28 @@ def nearest_k(
             "p_key", "s_key", haversine_km("p_lat", "p_lon", "s_lat", "s_lon").alias("distance_km")
         )
         w = Window.partitionBy("p_key").orderBy(F.col("distance_km"), F.col("s_key"))
-        ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        ranked = ranked.checkpoint(eager=True)
+        w_all = Window.partitionBy("p_key")
+        ranked = (
+            cand.withColumn("rank", F.row_number().over(w))
+            .filter(F.col("rank") <= k)
+            .withColumn("_n", F.count(F.lit(1)).over(w_all))
+            .withColumn("_kth", F.max("distance_km").over(w_all))
+        )
         if last:
             settled.append(ranked)
             break
-        stats = ranked.groupBy("p_key").agg(
-            F.count(F.lit(1)).alias("_n"), F.max("distance_km").alias("_kth")
-        )
-        done = stats.filter(
-            (F.col("_n") >= k) & (chord_km(F.col("_kth")) < F.lit(size * (1 - 1e-9)))
-        ).select("p_key")
-        settled.append(ranked.join(done, "p_key", "left_semi"))
-        pending = pending.join(done, "p_key", "left_anti").checkpoint(eager=True)
+        ok = (F.col("_n") >= k) & (chord_km(F.col("_kth")) < F.lit(size * (1 - 1e-9)))
+        ranked = ranked.withColumn("_done", ok).persist()
+        cached.append(ranked)
+        settled.append(ranked.filter("_done"))
+        pending = pending.join(ranked.filter("_done").select("p_key"), "p_key", "left_anti").persist()
+        cached.append(pending)
         if pending.isEmpty():
             break
         size *= 2
     out = settled[0]
     for part in settled[1:]:
-        out = out.unionByName(part)
+        out = out.unionByName(part, allowMissingColumns=True)
     return out.select(
         F.col("p_key").alias(point_key),
         F.col("s_key").alias(site_key),

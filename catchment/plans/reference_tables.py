@@ -14,7 +14,7 @@ def proximity_matrix(
     meteo_stations: DataFrame,
     k: int = PROXIMITY_K,
     active_only: bool = True,
-    start_cell_km: float = 25.0,
+    start_cell_km: float | None = None,
 ) -> DataFrame:
     """PRX-1: FLT-2 -> nearest k (exact, no all-pairs join) -> MTH-2.
 
