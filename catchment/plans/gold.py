@@ -58,6 +58,7 @@ def gold_hydro_meteo(
     meteo_stations: DataFrame,
     tz: str = LOCAL_TZ,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    meteo_names_from: DataFrame | None = None,
 ) -> DataFrame:
     """GLD-1: PRJ-3, TIM-2, FLT-1 -> JN-3 -> JN-4 -> JN-5 -> JN-6 -> PRJ-5.
 
@@ -66,7 +67,9 @@ def gold_hydro_meteo(
     the only big-big join; it shuffles on (station, hour) and AQE splits a
     weather station shared by many gauges. The DISTINCT (code, name) side
     is partially aggregated before its shuffle and AQE broadcasts it at
-    runtime when small.
+    runtime when small. ``meteo_names_from`` (default ``silver_meteo``) is
+    the full weather table for the name lookup when ``silver_meteo`` is
+    pruned to the days being built.
     """
     h = silver_hydro.select(
         F.col("jaam_kood").alias("hydro_station_code"),
@@ -123,7 +126,7 @@ def gold_hydro_meteo(
         ),
         broadcast_max_rows,
     )
-    names = silver_meteo.select(
+    names = (meteo_names_from if meteo_names_from is not None else silver_meteo).select(
         F.col("jaam_kood").alias("_m_code"), F.col("jaam_nimi").alias("meteo_station_name")
     ).distinct()
 

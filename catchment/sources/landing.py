@@ -27,28 +27,48 @@ def _json_reader(spark: SparkSession, schema: T.StructType):
     )
 
 
+def with_file_columns(df: DataFrame) -> DataFrame:
+    """Add ``source_file``, ``file_modified_at`` and ``file_date`` (TIM-7;
+    falls back to the ``dt=`` folder of landed JSON lines)."""
+    day_dir = F.regexp_extract(F.col("_metadata.file_path"), r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
+    landed_day = F.when(day_dir != "", day_dir.cast("date"))
+    return df.select(
+        *[F.col(c) for c in df.columns],
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("file_modified_at"),
+        F.coalesce(file_date(F.col("_metadata.file_name")), landed_day).alias("file_date"),
+    )
+
+
+def with_record_pos(df: DataFrame) -> DataFrame:
+    """Add ``record_pos``. A JSON-array file is one line, hence one split, so
+    the id increases in record order inside such a file."""
+    return df.withColumn("record_pos", F.monotonically_increasing_id())
+
+
 def read_landing(spark: SparkSession, source: str, path: str | list[str]) -> DataFrame:
     """SRC-1/2: read landed records with the declared schema.
 
-    Adds ``source_file`` (file name), ``file_date`` (TIM-7) and ``record_pos``
-    (position of the record inside its file: the tiebreak "first record
-    stays" needs it). Missing optional keys read as NULL; required ones are
-    checked with :func:`catchment.operators.require_fields`.
+    Adds ``source_file``, ``file_modified_at``, ``file_date`` and
+    ``record_pos`` (position, for the "first record stays" tiebreak).
+    Missing optional keys read as NULL; required ones are checked with
+    :func:`catchment.operators.require_fields`.
     """
-    schema = RAW_SCHEMAS[source]
-    df = _json_reader(spark, schema).json(path)
-    df = df.select(
-        "*",
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("file_modified_at"),
-    )
-    # A JSON-array file is one line, hence one split: the id increases in
-    # record order inside such a file.
-    day_dir = F.regexp_extract(F.col("_metadata.file_path"), r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
-    landed_day = F.when(day_dir != "", day_dir.cast("date"))
-    return df.withColumn("file_date", F.coalesce(file_date("source_file"), landed_day)).withColumn(
-        "record_pos", F.monotonically_increasing_id()
+    df = _json_reader(spark, RAW_SCHEMAS[source]).json(path)
+    df = df.select(*[f.name for f in RAW_SCHEMAS[source].fields])
+    return with_record_pos(with_file_columns(df))
+
+
+def read_landing_stream(spark: SparkSession, source: str, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming twin of :func:`read_landing` (new files only; ``record_pos``
+    is added per micro-batch)."""
+    reader = spark.readStream.schema(RAW_SCHEMAS[source]).option("mode", "FAILFAST").option(
+        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"
     )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    df = reader.json(path).select(*[f.name for f in RAW_SCHEMAS[source].fields])
+    return with_file_columns(df)
 
 
 def write_landing(df: DataFrame, root: str, source: str, day: dt.date | str) -> str:
