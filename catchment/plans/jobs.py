@@ -24,7 +24,7 @@ from ..schemas import (
     SOURCE_LAG_DAYS,
 )
 from ..session import configure
-from ..sources.landing import read_landing
+from ..sources.landing import read_landing, read_landing_schema
 from ..sources.seeds import read_hydro_stations, read_meteo_stations
 from ..sources.store import Lakehouse
 from .audit import RunLog, logged_run
@@ -64,10 +64,22 @@ class Pipeline:
 
     # ---------------------------------------------------------------- ingest
     def landed(self, source: str, days: Iterable[dt.date] | None = None) -> DataFrame:
-        raw = read_landing(self.spark, source, f"{self.landing_root}/source={source}")
-        if days is not None:
-            raw = raw.filter(F.col("file_date").isin([str(d) for d in days]))
-        return raw
+        """Landed records of ``days`` (all when None).
+
+        Only the files of those days are listed and read: a raw array
+        ``<source>_<day>.json`` and/or a ``dt=<day>`` folder of JSON lines.
+        """
+        base = f"{self.landing_root}/source={source}"
+        if days is None:
+            return read_landing(self.spark, source, base)
+        paths = []
+        for d in days:
+            for p in (f"{base}/{source}_{d}.json", f"{base}/dt={d}"):
+                if self.lake.fs.exists(p):
+                    paths.append(p)
+        if not paths:
+            return self.spark.createDataFrame([], read_landing_schema(source))
+        return read_landing(self.spark, source, paths)
 
     def ingest(self, source: str, days: Iterable[dt.date] | None, on_duplicate: str = "fail", run_ts=None):
         """Read landed files of ``days`` (all when None), validate, collapse to

@@ -59,6 +59,19 @@ def read_landing(spark: SparkSession, source: str, path: str | list[str]) -> Dat
     return with_record_pos(with_file_columns(df))
 
 
+def read_landing_schema(source: str) -> T.StructType:
+    """Schema of :func:`read_landing` output (for empty batches)."""
+    return T.StructType(
+        list(RAW_SCHEMAS[source].fields)
+        + [
+            T.StructField("source_file", T.StringType()),
+            T.StructField("file_modified_at", T.TimestampType()),
+            T.StructField("file_date", T.DateType()),
+            T.StructField("record_pos", T.LongType()),
+        ]
+    )
+
+
 def read_landing_stream(spark: SparkSession, source: str, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming twin of :func:`read_landing` (new files only; ``record_pos``
     is added per micro-batch)."""
