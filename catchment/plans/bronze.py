@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keyed import DuplicateKeyError, duplicate_keys, latest_revision, merge_rows
-from ..operators.quality import RequiredFieldError, require_fields, require_non_empty
+from ..operators.quality import EmptyBatchError, RequiredFieldError, require_fields
 from ..schemas import HYDRO_KEY, HYDRO_RAW, HYDRO_REQUIRED, METEO_KEY, METEO_RAW, METEO_REQUIRED
 from ..sources.store import Lakehouse
 
@@ -34,10 +34,20 @@ def _file_order(df: DataFrame) -> Column:
     return F.struct(*[F.col(c) for c in cols]) if cols else F.lit(0)
 
 
-def prepare_batch(source: str, raw: DataFrame, on_duplicate: str = "fail") -> DataFrame:
+def batch_profile(source: str, raw: DataFrame) -> tuple[int, int]:
+    """One pass over a raw batch: (records, records missing a required field)."""
+    missing = F.lit(False)
+    for c in REQUIRED[source]:
+        missing = missing | F.col(c).isNull()
+    r = raw.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(missing, 1)).alias("bad")).first()
+    return int(r["n"]), int(r["bad"])
+
+
+def prepare_batch(source: str, raw: DataFrame, on_duplicate: str = "fail", checked: bool = False) -> DataFrame:
     """One row per key from records of one or more landing files.
 
-    * required fields must be present (else the whole batch fails);
+    * required fields must be present (else the whole batch fails; pass
+      ``checked=True`` when :func:`batch_profile` already verified it);
     * across files the later file wins (as day-by-day ingestion in file-date
       order would do);
     * hydro: a key twice *within* one file fails (``on_duplicate="fail"``) or
@@ -47,7 +57,8 @@ def prepare_batch(source: str, raw: DataFrame, on_duplicate: str = "fail") -> Da
     One window over the key decides all of it, pre-limited before the shuffle.
     """
     keys = KEYS[source]
-    require_fields(raw, REQUIRED[source], "fail")
+    if not checked:
+        require_fields(raw, REQUIRED[source], "fail")
     file_col = "source_file" if "source_file" in raw.columns else None
     pos = F.col("record_pos") if "record_pos" in raw.columns else F.lit(0)
     per_file = keys + ([file_col] if file_col else [])
@@ -61,8 +72,12 @@ def prepare_batch(source: str, raw: DataFrame, on_duplicate: str = "fail") -> Da
         else:
             raise ValueError(on_duplicate)
         return latest_revision(raw, keys, version)
-    dup = duplicate_keys(raw, per_file)
-    undated = raw.filter(F.col("avaandmed_ts").isNull()).join(dup.select(*per_file), per_file, "left_semi")
+    # a repeated key needs publication times to pick the winner
+    undated = (
+        raw.groupBy(*per_file)
+        .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("avaandmed_ts").isNull(), 1)).alias("n_undated"))
+        .filter((F.col("n") > 1) & (F.col("n_undated") > 0))
+    )
     if not undated.isEmpty():
         raise RequiredFieldError("meteo records repeat a key without avaandmed_ts")
     version = F.struct(_file_order(raw), F.col("avaandmed_ts"))
@@ -92,12 +107,15 @@ def upsert_bronze(lake: Lakehouse, source: str, batch: DataFrame, loaded_at: Col
         .persist()
     )
     try:
-        require_non_empty(b, name)
-        days = lake.partition_values(b)
+        # one pass over the batch gives the touched days and the row count
+        per_day = {r["dt"]: r["n"] for r in b.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if not per_day:
+            raise EmptyBatchError(f"{name}: empty batch, nothing written")
+        days = sorted(per_day)
         old = lake.read_partitions(name, days)
         merged = b if old is None else merge_rows(old.select(*b.columns), b, KEYS[source])
         lake.overwrite_partitions(name, merged)
-        n = b.count()
     finally:
         b.unpersist()
-    return LoadResult(rows_processed=n, rows_loaded=n, days=sorted(days))
+    n = sum(per_day.values())
+    return LoadResult(rows_processed=n, rows_loaded=n, days=days)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.history import VALID_FROM, VALID_TO, scd2_apply
 from ..operators.keyed import changed_count, classify_changes, merge_rows
-from ..operators.quality import require_non_empty
+from ..operators.quality import EmptyBatchError, RequiredFieldError
 from ..schemas import (
     HYDRO_STATION_CHECK,
     LOCAL_TZ,
@@ -28,7 +28,7 @@ from ..sources.landing import read_landing, read_landing_schema
 from ..sources.seeds import read_hydro_stations, read_meteo_stations
 from ..sources.store import Lakehouse
 from .audit import RunLog, logged_run
-from .bronze import prepare_batch, upsert_bronze
+from .bronze import batch_profile, prepare_batch, upsert_bronze
 from .gold import gold_hydro_meteo
 from .reference_tables import proximity_matrix
 from .silver import silver_hydro, silver_meteo
@@ -88,9 +88,12 @@ class Pipeline:
         target = days[0] if days and len(days) == 1 else None
         with logged_run(self.log, DAG_DAILY, f"ingest_{source}", target_date=target) as run:
             raw = self.landed(source, days)
-            require_non_empty(raw, f"landing {source} {days}")
-            processed = raw.count()
-            batch = prepare_batch(source, raw, on_duplicate)
+            processed, missing = batch_profile(source, raw)
+            if processed == 0:
+                raise EmptyBatchError(f"landing {source} {days}: empty batch, nothing written")
+            if missing:
+                raise RequiredFieldError(f"landing {source} {days}: {missing} records without required fields")
+            batch = prepare_batch(source, raw, on_duplicate, checked=True)
             result = upsert_bronze(self.lake, source, batch, _ts(run_ts))
             result.rows_processed = processed
             run.set(rows_processed=processed, rows_loaded=result.rows_loaded)

@@ -97,6 +97,15 @@ def write_landing(df: DataFrame, root: str, source: str, day: dt.date | str) ->
     return f"{root}/source={source}/dt={day}"
 
 
+def write_landing_days(df: DataFrame, root: str, source: str, day_col: str = "dt") -> None:
+    """SRC-7 for many days at once: one ``dt=<day>`` folder per value of
+    ``day_col``; days present in ``df`` are replaced, others untouched."""
+    out = df.withColumn("source", F.lit(source)).withColumn("dt", F.col(day_col).cast("date"))
+    if day_col != "dt":
+        out = out.drop(day_col)
+    out.write.mode("overwrite").partitionBy("source", "dt").option("ignoreNullFields", "false").json(root)
+
+
 def filter_local_day(df: DataFrame, day: dt.date | str, col: str = "timeline_ts_local") -> DataFrame:
     """SRC-4: rows whose local timestamp lies in ``[day 00:00, day+1 00:00)``."""
     start = F.lit(str(day)).cast("date").cast("timestamp")
