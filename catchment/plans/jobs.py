@@ -33,8 +33,8 @@ from .gold import gold_hydro_meteo
 from .reference_tables import proximity_matrix
 from .silver import silver_hydro, silver_meteo
 
-DAG_DAILY = "hydro_meteo_daily"
-DAG_SEED = "seed_stations"
+DAG_DAILY = "daily_load"
+DAG_SEED = "station_seed"
 
 
 def target_date(interval_start: dt.date, lag_days: int = SOURCE_LAG_DAYS) -> dt.date:
@@ -199,7 +199,7 @@ class Pipeline:
         self.lake.overwrite_partitions("gold.hydro_meteo", gold)
 
     def build(self, utc_days: list | None = None, as_of: dt.datetime | None = None) -> None:
-        """``dbt build`` equivalent: snapshots, then silver, then gold."""
+        """Model build: snapshots, then silver, then gold."""
         with logged_run(self.log, DAG_DAILY, "build"):
             self.snapshot(as_of)
             self.build_silver(utc_days)

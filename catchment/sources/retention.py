@@ -78,7 +78,7 @@ def retention_counts(plan: DataFrame) -> DataFrame:
     return plan.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_files"))
 
 
-def archive_raw_files(
+def archive_landing_files(
     spark: SparkSession,
     raw_dirs: dict[str, str],
     archive_root: str,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catchment.operators import EmptyBatchError
 from catchment.plans.jobs import Pipeline, target_date
-from catchment.sources.retention import archive_raw_files
+from catchment.sources.retention import archive_landing_files
 from catchment.streaming.incremental import run_ingest_stream
 
 HYDRO_HEADER = (
@@ -238,7 +238,7 @@ def test_retention_archives_old_files(spark, scratch):
     for n in names:
         with open(os.path.join(raw, n), "w") as f:
             f.write('[{"jaam_kood": 1}]')
-    counts = archive_raw_files(spark, {"hydro": raw}, os.path.join(root, "archive"), as_of=today)
+    counts = archive_landing_files(spark, {"hydro": raw}, os.path.join(root, "archive"), as_of=today)
     assert counts == {"archived": 2, "skipped": 1, "unrecognised": 2}
     left = sorted(os.listdir(raw))
     assert f"hydro_{today - dt.timedelta(days=8)}.json" not in left and "notes.txt" in left and "x.json" in left
