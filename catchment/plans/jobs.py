@@ -177,24 +177,34 @@ class Pipeline:
             if utc_days is not None:
                 sm = sm.filter(F.col("dt").isin(utc_days))
             self.lake.overwrite_partitions("silver.meteo", sm)
+            # exact (code, name) pairs per day: gold's name lookup reads this
+            # small table instead of scanning all weather history each run
+            written = self.lake.read("silver.meteo")
+            if utc_days is not None:
+                written = written.filter(F.col("dt").isin(utc_days))
+            self.lake.overwrite_partitions(
+                "silver.meteo_station_names", written.select("jaam_kood", "jaam_nimi", "dt").distinct()
+            )
 
     def build_gold(self, utc_days: list | None = None) -> None:
         """GLD-1 for the given UTC days (all when None)."""
         sh = self.lake.read("silver.hydro")
-        sm_all = self.lake.read("silver.meteo")
-        if sh is None or sm_all is None:
+        sm = self.lake.read("silver.meteo")
+        if sh is None or sm is None:
             return
-        sm = sm_all
+        names = self.lake.read("silver.meteo_station_names")
+        if names is None:  # built before the name table existed: use all days
+            names = sm
         if utc_days is not None:
             sh = sh.filter(F.col("dt").isin(utc_days))
-            sm = sm_all.filter(F.col("dt").isin(utc_days))
+            sm = sm.filter(F.col("dt").isin(utc_days))
         gold = gold_hydro_meteo(
             sh,
             sm,
             self.lake.read("ref.station_proximity"),
             self.lake.read("ref.meteo_stations"),
             self.tz,
-            meteo_names_from=sm_all,
+            meteo_names_from=names,
         ).withColumn("dt", F.to_date("timeline_ts_utc"))
         self.lake.overwrite_partitions("gold.hydro_meteo", gold)
 

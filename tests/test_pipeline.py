@@ -250,3 +250,28 @@ def test_retention_archives_old_files(spark, scratch):
 
 def test_target_date():
     assert target_date(dt.date(2025, 1, 4)) == dt.date(2025, 1, 1)
+
+
+def test_weather_station_with_two_names_fans_out(spark, scratch):
+    from catchment.operators import key_violations
+
+    root = tempfile.mkdtemp(prefix="names-", dir=scratch)
+    landing = os.path.join(root, "landing")
+    day = dt.date(2024, 3, 5)
+    land(landing, "hydro", day, hydro_records(day))
+    recs = meteo_records(day)
+    for r in recs:
+        if r["jaam_kood"] == "MA" and r["tund"] >= 12:
+            r["jaam_nimi"] = "Name MA (renamed)"
+    land(landing, "meteo", day, recs)
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    p.run_seed(*write_seeds(os.path.join(root, "seeds")), AS_OF)
+    p.run_day(day, as_of=dt.datetime(2024, 3, 8, 6))
+    gold = p.lake.read("gold.hydro_meteo")
+    per_gauge = {r[0]: r[1] for r in gold.groupBy("hydro_station_code").count().collect()}
+    hours = len(hydro_records(day)) // (len(GAUGES) * 2)
+    assert per_gauge == {101: 2 * hours, 102: hours, 103: hours}
+    names = sorted(r[0] for r in gold.filter("hydro_station_code = 101").select("meteo_station_name").distinct().collect())
+    assert names == ["Name MA", "Name MA (renamed)"]
+    dup = key_violations(gold, ["hydro_station_code", "timeline_ts_utc"])
+    assert dup.count() == hours
