@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import any_distinct
 from ..schemas import OPEN_END
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from .joins import DEFAULT_BROADCAST_MAX_ROWS
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -112,18 +112,43 @@ def point_in_time_join(
     valid_to: str = VALID_TO,
     how: str = "left",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    bucket: str = "month",
 ) -> DataFrame:
     """JN-1: facts joined to the history version valid at the fact time.
 
     Condition: ``key = key AND ts >= valid_from AND ts < valid_to``
-    (half-open). The history is an equi-join on the key with the interval as
-    a residual; it is broadcast only when its row count is within the
-    bound, otherwise a shuffled join on the key (AQE splits skewed keys).
+    (half-open). A history within ``broadcast_max_rows`` rows is broadcast
+    (no shuffle of the facts at all). A larger history is joined on
+    ``(key, time bucket)``: every interval is exploded over the buckets it
+    covers (clipped to the facts' time range), so the facts of one hot key
+    spread over as many tasks as it has buckets instead of landing in one.
+    Intervals are disjoint per key, so each fact still meets at most one
+    version.
     """
-    h = checked_broadcast(history, broadcast_max_rows)
+    n = history.limit(broadcast_max_rows + 1).count()
+    if n <= broadcast_max_rows:
+        h = F.broadcast(history)
+        cond = (
+            (facts[fact_key] == h[hist_key])
+            & (facts[fact_ts] >= h[valid_from])
+            & (facts[fact_ts] < h[valid_to])
+        )
+        return facts.join(h, cond, how)
+    lo, hi = facts.agg(F.min(fact_ts), F.max(fact_ts)).first()
+    if lo is None:  # no facts: nothing to attach
+        return facts.join(history, facts[fact_key] == history[hist_key], how)
+    lo_b = F.date_trunc(bucket, F.lit(lo).cast("timestamp"))
+    hi_b = F.date_trunc(bucket, F.lit(hi).cast("timestamp"))
+    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+    hv = history.filter((F.col(valid_from) <= F.lit(hi).cast("timestamp")) & (F.col(valid_to) > F.lit(lo).cast("timestamp")))
+    first_b = F.greatest(F.date_trunc(bucket, F.col(valid_from)), lo_b)
+    last_b = F.least(F.date_trunc(bucket, F.col(valid_to)), hi_b)
+    hb = hv.withColumn("_pit_bucket", F.explode(F.sequence(first_b, last_b, step)))
+    fb = facts.withColumn("_pit_bucket", F.date_trunc(bucket, F.col(fact_ts)))
     cond = (
-        (facts[fact_key] == h[hist_key])
-        & (facts[fact_ts] >= h[valid_from])
-        & (facts[fact_ts] < h[valid_to])
+        (fb[fact_key] == hb[hist_key])
+        & (fb["_pit_bucket"] == hb["_pit_bucket"])
+        & (fb[fact_ts] >= hb[valid_from])
+        & (fb[fact_ts] < hb[valid_to])
     )
-    return facts.join(h, cond, how)
+    return fb.join(hb, cond, how).drop(fb["_pit_bucket"]).drop(hb["_pit_bucket"])

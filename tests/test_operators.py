@@ -232,3 +232,34 @@ def test_quality_operators(spark):
     with pytest.raises(EmptyBatchError):
         require_non_empty(df.filter("id > 10"), "x")
     assert rows(key_violations(df.union(df.filter("id = 1")), ["id"])) == [(1, 2)]
+
+
+def test_point_in_time_bucketed_path_equals_broadcast_path(spark):
+    """A history too large to broadcast is joined on (key, month) buckets;
+    results must equal the broadcast join, including open-ended versions."""
+    end = dt.datetime(9999, 12, 31)
+    hist = spark.createDataFrame(
+        [
+            (1, 1.0, dt.datetime(2023, 11, 20), dt.datetime(2024, 2, 3, 5)),
+            (1, 2.0, dt.datetime(2024, 2, 3, 5), end),
+            (2, 7.0, dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11)),
+            (3, 9.0, dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1)),  # outside the facts' range
+        ],
+        "code int, alt double, valid_from timestamp_ntz, valid_to timestamp_ntz",
+    ).select("code", "alt", *[F.col(c).cast("timestamp").alias(c) for c in ("valid_from", "valid_to")])
+    facts = (
+        spark.range(0, 24 * 120)
+        .select(
+            (F.col("id") % 4).cast("int").alias("st"),
+            (F.lit(dt.datetime(2023, 12, 1)).cast("timestamp") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("ts"),
+            F.col("id"),
+        )
+    )
+    small = point_in_time_join(facts, hist, "st", "code", "ts")
+    bucketed = point_in_time_join(facts, hist, "st", "code", "ts", broadcast_max_rows=0)
+    assert "_pit_bucket" not in bucketed.columns
+    a = rows(small, "id", "alt")
+    assert a == rows(bucketed, "id", "alt")
+    assert len(a) == 24 * 120
+    assert sum(1 for _, v in a if v == 2.0) > 0
+    assert sum(1 for _, v in a if v == 7.0) == 6  # station 2 every 4 h during one day
