@@ -66,8 +66,8 @@ def gold_hydro_meteo(
     behind a row-count check. The gauge-hour x weather-hour join (JN-4) is
     the only big-big join; it shuffles on (station, hour) and AQE splits a
     weather station shared by many gauges. The DISTINCT (code, name) side
-    is partially aggregated before its shuffle and AQE broadcasts it at
-    runtime when small. ``meteo_names_from`` (default ``silver_meteo``) is
+    is partially aggregated and broadcast behind the same row check, so the
+    big side is shuffled once. ``meteo_names_from`` (default ``silver_meteo``) is
     the full weather table for the name lookup when ``silver_meteo`` is
     pruned to the days being built.
     """
@@ -126,9 +126,14 @@ def gold_hydro_meteo(
         ),
         broadcast_max_rows,
     )
-    names = (meteo_names_from if meteo_names_from is not None else silver_meteo).select(
-        F.col("jaam_kood").alias("_m_code"), F.col("jaam_nimi").alias("meteo_station_name")
-    ).distinct()
+    # (code, name) pairs are bounded by stations x names: broadcast after the
+    # row check, so the joined gauge-hours are not shuffled a second time
+    names = checked_broadcast(
+        (meteo_names_from if meteo_names_from is not None else silver_meteo)
+        .select(F.col("jaam_kood").alias("_m_code"), F.col("jaam_nimi").alias("meteo_station_name"))
+        .distinct(),
+        broadcast_max_rows,
+    )
 
     j = h.join(p, h["hydro_station_code"] == p["_p_code"], "left")
     j = j.join(me, (j["meteo_station_code"] == me["_me_code"]) & (j["timeline_ts_utc"] == me["_me_ts"]), "left")

@@ -155,27 +155,39 @@ class Pipeline:
         return {"hydro_changed": h, "meteo_changed": m, "proximity_rows": p}
 
     # --------------------------------------------------------- silver/gold
+    def silver_hydro_frame(self, utc_days: list | None = None) -> DataFrame | None:
+        """SIL-1 over bronze.hydro for the given UTC days (all when None)."""
+        bh = self.lake.read("bronze.hydro")
+        if bh is None:
+            return None
+        if utc_days is not None:
+            bh = bh.filter(F.col("dt").isin(utc_days))
+        hist = self.lake.read("snapshots.snap_hydro_stations")
+        stations = self.lake.read("ref.hydro_stations")
+        return silver_hydro(bh, hist, stations, VALID_FROM, VALID_TO).withColumn("dt", F.to_date("timeline_ts_utc"))
+
+    def silver_meteo_frame(self, utc_days: list | None = None) -> DataFrame | None:
+        """SIL-2 for the given UTC days: a UTC day is made of two local
+        calendar days of bronze.meteo, so both are read and the result is cut
+        back to the requested days."""
+        bm = self.lake.read("bronze.meteo")
+        if bm is None:
+            return None
+        if utc_days is not None:
+            local = sorted({d for u in utc_days for d in (u, u + dt.timedelta(days=1))})
+            bm = bm.filter(F.col("dt").isin(local))
+        sm = silver_meteo(bm, self.tz).withColumn("dt", F.to_date("observation_ts"))
+        if utc_days is not None:
+            sm = sm.filter(F.col("dt").isin(utc_days))
+        return sm
+
     def build_silver(self, utc_days: list | None = None) -> None:
         """SIL-1/2 for the given UTC days (all when None)."""
-        bh = self.lake.read("bronze.hydro")
-        if bh is not None:
-            if utc_days is not None:
-                bh = bh.filter(F.col("dt").isin(utc_days))
-            hist = self.lake.read("snapshots.snap_hydro_stations")
-            stations = self.lake.read("ref.hydro_stations")
-            sh = silver_hydro(bh, hist, stations, VALID_FROM, VALID_TO).withColumn(
-                "dt", F.to_date("timeline_ts_utc")
-            )
+        sh = self.silver_hydro_frame(utc_days)
+        if sh is not None:
             self.lake.overwrite_partitions("silver.hydro", sh)
-        bm = self.lake.read("bronze.meteo")
-        if bm is not None:
-            if utc_days is not None:
-                # a UTC day is made of two local calendar days
-                local = sorted({d for u in utc_days for d in (u, u + dt.timedelta(days=1))})
-                bm = bm.filter(F.col("dt").isin(local))
-            sm = silver_meteo(bm, self.tz).withColumn("dt", F.to_date("observation_ts"))
-            if utc_days is not None:
-                sm = sm.filter(F.col("dt").isin(utc_days))
+        sm = self.silver_meteo_frame(utc_days)
+        if sm is not None:
             self.lake.overwrite_partitions("silver.meteo", sm)
             # exact (code, name) pairs per day: gold's name lookup reads this
             # small table instead of scanning all weather history each run
@@ -186,19 +198,19 @@ class Pipeline:
                 "silver.meteo_station_names", written.select("jaam_kood", "jaam_nimi", "dt").distinct()
             )
 
-    def build_gold(self, utc_days: list | None = None) -> None:
-        """GLD-1 for the given UTC days (all when None)."""
+    def gold_frame(self, utc_days: list | None = None) -> DataFrame | None:
+        """GLD-1 over the stored silver tables for the given UTC days."""
         sh = self.lake.read("silver.hydro")
         sm = self.lake.read("silver.meteo")
         if sh is None or sm is None:
-            return
+            return None
         names = self.lake.read("silver.meteo_station_names")
         if names is None:  # built before the name table existed: use all days
             names = sm
         if utc_days is not None:
             sh = sh.filter(F.col("dt").isin(utc_days))
             sm = sm.filter(F.col("dt").isin(utc_days))
-        gold = gold_hydro_meteo(
+        return gold_hydro_meteo(
             sh,
             sm,
             self.lake.read("ref.station_proximity"),
@@ -206,7 +218,12 @@ class Pipeline:
             self.tz,
             meteo_names_from=names,
         ).withColumn("dt", F.to_date("timeline_ts_utc"))
-        self.lake.overwrite_partitions("gold.hydro_meteo", gold)
+
+    def build_gold(self, utc_days: list | None = None) -> None:
+        """GLD-1 for the given UTC days (all when None)."""
+        gold = self.gold_frame(utc_days)
+        if gold is not None:
+            self.lake.overwrite_partitions("gold.hydro_meteo", gold)
 
     def build(self, utc_days: list | None = None, as_of: dt.datetime | None = None) -> None:
         """Model build: snapshots, then silver, then gold."""
