@@ -329,7 +329,7 @@ def q_hourly_duplicates(spark, d):
 def run_events(spark, d) -> DataFrame:
     """Run-log events: run = user, status from event type."""
     e = _events(spark, d)
-    status = S._case("event_type", S.EVENT_RUN_STATUS)
+    status = S.case_map("event_type", S.EVENT_RUN_STATUS)
     return e.select(
         F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
         F.col("ts").cast("timestamp").alias("event_time"),

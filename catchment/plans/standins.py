@@ -41,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _case(col: str, mapping: dict[str, str], default: Column | None = None) -> Column:
+def case_map(col: str, mapping: dict[str, str], default: Column | None = None) -> Column:
     out = None
     for k, v in mapping.items():
         out = (F.when(F.col(col) == F.lit(k), F.lit(v))) if out is None else out.when(F.col(col) == F.lit(k), F.lit(v))
@@ -128,7 +128,7 @@ def hydro_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("River "), _s(F.col("user_id") % 11)).alias("veekogu_nimi"),
         hour.alias("timeline_ts_utc"),
         (hour + F.expr("INTERVAL 2 HOURS")).alias("timeline_ts_local"),
-        _case("event_type", EVENT_HYDRO_SERIES, F.col("event_type")).alias("aegrida_nimi"),
+        case_map("event_type", EVENT_HYDRO_SERIES, F.col("event_type")).alias("aegrida_nimi"),
         F.col("value").alias("vaartus"),
         F.col("ts").cast("timestamp").alias("published_ts"),
     )
@@ -159,7 +159,7 @@ def meteo_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.dayofmonth("ts").alias("paev"),
         F.hour("ts").alias("tund"),
         F.col("value").alias("vaartus"),
-        _case("event_type", EVENT_METEO_ELEMENTS).alias("element_kood"),
+        case_map("event_type", EVENT_METEO_ELEMENTS).alias("element_kood"),
         F.col("event_type").alias("element_nimi_eng"),
         F.lit("unit").alias("element_yhik_eng"),
         F.date_trunc("minute", F.col("ts")).cast("timestamp").alias("avaandmed_ts"),

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 # session handed to the library (including a caller's session).
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.timestampType": "TIMESTAMP_LTZ",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -275,3 +275,15 @@ def test_weather_station_with_two_names_fans_out(spark, scratch):
     assert names == ["Name MA", "Name MA (renamed)"]
     dup = key_violations(gold, ["hydro_station_code", "timeline_ts_utc"])
     assert dup.count() == hours
+
+
+def test_stream_with_build_produces_gold(world, spark, scratch):
+    root = tempfile.mkdtemp(prefix="stream-build-", dir=scratch)
+    p = Pipeline(spark, os.path.join(root, "lake"), world["landing"])
+    p.run_seed(*write_seeds(os.path.join(root, "seeds")), AS_OF)
+    p.snapshot(AS_OF)
+    run_ingest_stream(p, "meteo", checkpoint=os.path.join(root, "ckpt_m"), build=True)
+    run_ingest_stream(p, "hydro", checkpoint=os.path.join(root, "ckpt_h"), build=True)
+    gold = p.lake.read("gold.hydro_meteo")
+    assert gold.count() == (24 + 25) * 3
+    assert gold.filter(F.col("air_temp_avg").isNotNull()).count() > 0
