@@ -1,4 +1,4 @@
-from .history import open_end_ts, point_in_time_join, scd2_apply, scd2_from_extracts
+from .history import open_end_ts, point_in_time_join, scd2_apply, scd2_from_extracts, scd2_pending_changes
 from .joins import checked_broadcast
 from .keyed import (
     DuplicateKeyError,
@@ -46,6 +46,7 @@ __all__ = [
     "require_non_empty",
     "scd2_apply",
     "scd2_from_extracts",
+    "scd2_pending_changes",
     "set_violations",
     "with_defaults",
 ]

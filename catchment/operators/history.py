@@ -102,6 +102,26 @@ def scd2_apply(
     return closed.unionByName(rows.select(*cols, VALID_FROM, VALID_TO))
 
 
+def scd2_pending_changes(
+    history: DataFrame | None,
+    current: DataFrame,
+    keys: Sequence[str],
+    check_cols: Sequence[str],
+) -> DataFrame:
+    """Keys a snapshot run at this moment would version: new keys and keys
+    whose open row differs (NULL-safe) in any check column."""
+    cur = current.select(*keys, *check_cols)
+    if history is None:
+        return cur.select(*keys)
+    open_rows = history.filter(F.col(VALID_TO) == open_end_ts()).select(*keys, *check_cols)
+    return (
+        cur.alias("c")
+        .join(open_rows.withColumn("_p", F.lit(True)).alias("o"), on=list(keys), how="left")
+        .filter(F.col("o._p").isNull() | any_distinct("c", "o", list(check_cols)))
+        .select(*keys)
+    )
+
+
 def point_in_time_join(
     facts: DataFrame,
     history: DataFrame,

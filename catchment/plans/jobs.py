@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.history import VALID_FROM, VALID_TO, scd2_apply
+from ..operators.history import VALID_FROM, VALID_TO, scd2_apply, scd2_pending_changes
 from ..operators.keyed import changed_count, classify_changes, merge_rows
 from ..operators.quality import EmptyBatchError, RequiredFieldError
 from ..schemas import (
@@ -143,6 +143,8 @@ class Pipeline:
             if current is None:
                 continue
             hist = self.lake.read(f"snapshots.snap_{kind}_stations")
+            if hist is not None and scd2_pending_changes(hist, current, ["station_code"], check).isEmpty():
+                continue  # nothing to version: keep the current history as is
             out = scd2_apply(hist, current, ["station_code"], check, as_of_col)
             self.lake.write_version(f"snapshots.snap_{kind}_stations", out)
 

@@ -168,6 +168,10 @@ def test_scd2_apply_step(spark):
         (4, 2.0, h(0), end),
         (5, 3.0, h(10), end),
     ]
+    from catchment.operators import scd2_pending_changes
+
+    assert rows(scd2_pending_changes(hist, cur, ["station_code"], ["alt"])) == [(2,), (5,)]
+    assert scd2_pending_changes(out, cur, ["station_code"], ["alt"]).isEmpty()
     # one open row per key
     assert key_violations(out.filter(F.col("valid_to") == F.to_timestamp(F.lit(OPEN_END))), ["station_code"]).isEmpty()
 
