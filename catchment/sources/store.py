@@ -129,6 +129,25 @@ class Lakehouse:
             if old != current:
                 self.fs.delete(f"{self.path(name)}/{old}")
 
+    def register_views(self, names: Sequence[str] | None = None) -> list[str]:
+        """Temp views ``<schema>_<table>`` over the current version of each
+        table, for SQL users (e.g. ``SELECT * FROM gold_hydro_meteo``)."""
+        names = list(names) if names is not None else list(PARTITIONED) + [
+            "ref.hydro_stations",
+            "ref.meteo_stations",
+            "ref.station_proximity",
+            "snapshots.snap_hydro_stations",
+            "snapshots.snap_meteo_stations",
+        ]
+        made = []
+        for name in names:
+            df = self.read(name)
+            if df is not None:
+                view = name.replace(".", "_")
+                df.createOrReplaceTempView(view)
+                made.append(view)
+        return made
+
     def partition_values(self, df: DataFrame, col: str = "dt") -> list:
         """Distinct partition values of a batch (a handful of days)."""
         return [r[0] for r in df.select(col).distinct().collect()]

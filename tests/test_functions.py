@@ -91,3 +91,19 @@ def test_predicates(spark):
     r_ = spark.createDataFrame([(1, None), (2, 1.0), (3, None)], "k int, v double").alias("r")
     j = l_.join(r_, "k").select("k", any_distinct("l", "r", ["v"]).alias("d")).orderBy("k")
     assert [r.d for r in j.collect()] == [False, False, True]
+
+
+def test_sql_functions_match_column_functions(spark):
+    from catchment.functions.sql import register_sql_functions
+
+    assert set(register_sql_functions(spark)) == {"haversine_km", "raw_file_date", "local_hour_to_instant", "instant_to_local"}
+    r = spark.sql(
+        "SELECT haversine_km(59.437, 24.7536, 58.3776, 26.729) AS d, raw_file_date('meteo_2024-02-29.json') AS f, "
+        "raw_file_date('x.json') AS g, CAST(local_hour_to_instant(2024, 10, 27, 3) AS TIMESTAMP_NTZ) AS t, "
+        "CAST(local_hour_to_instant(2024, 12, 31, 24) AS TIMESTAMP_NTZ) AS u, "
+        "instant_to_local(TIMESTAMP '2024-07-01 09:00:00') AS l"
+    ).first()
+    assert abs(r.d - _py_haversine(59.437, 24.7536, 58.3776, 26.729)) < 1e-9
+    assert r.f == dt.date(2024, 2, 29) and r.g is None
+    assert r.t == dt.datetime(2024, 10, 27, 1) and r.u == dt.datetime(2024, 12, 31, 22)
+    assert r.l == dt.datetime(2024, 7, 1, 12)

@@ -287,3 +287,10 @@ def test_stream_with_build_produces_gold(world, spark, scratch):
     gold = p.lake.read("gold.hydro_meteo")
     assert gold.count() == (24 + 25) * 3
     assert gold.filter(F.col("air_temp_avg").isNotNull()).count() > 0
+
+
+def test_sql_views_over_lake(world, spark):
+    views = world["p"].lake.register_views()
+    assert {"bronze_hydro", "silver_meteo", "gold_hydro_meteo", "ref_station_proximity"} <= set(views)
+    n = spark.sql("SELECT count(*) AS n FROM gold_hydro_meteo WHERE meteo_station_code IS NOT NULL").first().n
+    assert n == world["p"].lake.read("gold.hydro_meteo").filter("meteo_station_code IS NOT NULL").count() > 0
