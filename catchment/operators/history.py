@@ -145,8 +145,7 @@ def point_in_time_join(
     Intervals are disjoint per key, so each fact still meets at most one
     version.
     """
-    n = history.limit(broadcast_max_rows + 1).count()
-    if n <= broadcast_max_rows:
+    if history.count() <= broadcast_max_rows:
         h = F.broadcast(history)
         cond = (
             (facts[fact_key] == h[hist_key])
