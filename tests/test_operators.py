@@ -267,3 +267,13 @@ def test_point_in_time_bucketed_path_equals_broadcast_path(spark):
     assert len(a) == 24 * 120
     assert sum(1 for _, v in a if v == 2.0) > 0
     assert sum(1 for _, v in a if v == 7.0) == 6  # station 2 every 4 h during one day
+
+
+def test_nearest_k_ties_break_by_site_code(spark):
+    # two sites mirrored around the point's meridian are equally far
+    pts = spark.createDataFrame([(1, 58.0, 25.0)], "p int, latitude double, longitude double")
+    sites = spark.createDataFrame(
+        [("B", 58.0, 25.5), ("A", 58.0, 24.5), ("C", 58.0, 26.5)], "s string, latitude double, longitude double"
+    )
+    got = [(r.s, r.rank) for r in nearest_k(pts, sites, 2, "p", "s").orderBy("rank").collect()]
+    assert got == [("A", 1), ("B", 2)]

@@ -294,3 +294,35 @@ def test_sql_views_over_lake(world, spark):
     assert {"bronze_hydro", "silver_meteo", "gold_hydro_meteo", "ref_station_proximity"} <= set(views)
     n = spark.sql("SELECT count(*) AS n FROM gold_hydro_meteo WHERE meteo_station_code IS NOT NULL").first().n
     assert n == world["p"].lake.read("gold.hydro_meteo").filter("meteo_station_code IS NOT NULL").count() > 0
+
+
+def test_missing_required_field_and_duplicate_policies(spark, scratch):
+    from catchment.operators import DuplicateKeyError, RequiredFieldError
+
+    root = tempfile.mkdtemp(prefix="bad-", dir=scratch)
+    landing = os.path.join(root, "landing")
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    day = dt.date(2024, 5, 2)
+    recs = hydro_records(day)[:6]
+    broken = [dict(r) for r in recs]
+    del broken[2]["aegrida_nimi"]  # required key missing
+    land(landing, "hydro", day, broken)
+    with pytest.raises(RequiredFieldError):
+        p.ingest("hydro", [day])
+    assert p.lake.read("bronze.hydro") is None  # nothing written
+    assert p.log.state().filter("status = 'error'").count() == 1
+    # same key twice in one file: fails by default, later record wins with "last"
+    dup = recs + [dict(recs[0], vaartus=-1.0)]
+    land(landing, "hydro", day, dup)
+    with pytest.raises(DuplicateKeyError):
+        p.ingest("hydro", [day])
+    res = p.ingest("hydro", [day], on_duplicate="last")
+    assert res.rows_loaded == 6 and res.rows_processed == 7
+    key = recs[0]
+    got = (
+        p.lake.read("bronze.hydro")
+        .filter((F.col("jaam_kood") == key["jaam_kood"]) & (F.col("aegrida_nimi") == key["aegrida_nimi"]))
+        .filter(F.col("timeline_ts_utc") == F.lit(key["timeline_ts_utc"][:19].replace("T", " ")).cast("timestamp"))
+        .collect()
+    )
+    assert [float(r.vaartus) for r in got] == [-1.0]
