@@ -35,6 +35,7 @@ def scd2_from_extracts(
     keys: Sequence[str],
     check_cols: Sequence[str],
     ts_col: str,
+    bucket: str | None = None,
 ) -> DataFrame:
     """SCD-3: build a validity history from a series of full extracts.
 
@@ -43,7 +44,14 @@ def scd2_from_extracts(
     of the same key; ``valid_to`` is the next version's start, or the open
     end. Keys missing from later extracts keep their open row (no hard
     deletes), as a check-strategy snapshot does.
+
+    With ``bucket`` (e.g. ``"month"``) the windows run per (key, time
+    bucket) instead of per key, so a key with a very long extract history is
+    split over many tasks; the previous value and the next version start
+    cross bucket edges through two small per-bucket tables. Same result.
     """
+    if bucket is not None:
+        return _scd2_from_extracts_bucketed(extracts, keys, check_cols, ts_col, bucket)
     cols = list(keys) + list(check_cols)
     marked = extracts.select(*cols, F.col(ts_col)).withColumn(
         "_new_version", _changed_vs_previous(keys, ts_col, check_cols)
@@ -57,6 +65,46 @@ def scd2_from_extracts(
     )
 
 
+def _scd2_from_extracts_bucketed(
+    extracts: DataFrame, keys: Sequence[str], check_cols: Sequence[str], ts_col: str, bucket: str
+) -> DataFrame:
+    keys, check_cols = list(keys), list(check_cols)
+    cols = keys + check_cols
+    x = extracts.select(*cols, F.col(ts_col).alias("_ts")).withColumn("_b", F.date_trunc(bucket, F.col("_ts")))
+    kb = keys + ["_b"]
+    # last extract of every (key, bucket): partial aggregate, no hot group
+    vals = F.struct(*[F.col(c) for c in check_cols])
+    last = x.groupBy(*kb).agg(F.max_by(vals, F.col("_ts")).alias("_last"))
+    w_b = Window.partitionBy(*keys).orderBy("_b")
+    prev = last.select(*kb, F.lag("_last").over(w_b).alias("_prev_last"))
+    # change flags inside each (key, bucket); the first row of a bucket
+    # compares with the last extract of the key's previous bucket
+    w_in = Window.partitionBy(*kb).orderBy("_ts")
+    first_in_bucket = F.lag(F.lit(1)).over(w_in).isNull()
+    changed_in = F.lit(False)
+    for c in check_cols:
+        changed_in = changed_in | ~F.col(c).eqNullSafe(F.lag(F.col(c)).over(w_in))
+    changed_edge = F.col("_prev_last").isNull()
+    for c in check_cols:
+        changed_edge = changed_edge | ~F.col(c).eqNullSafe(F.col(f"_prev_last.{c}"))
+    flagged = x.join(prev, kb, "left").withColumn(
+        "_new", F.when(first_in_bucket, changed_edge).otherwise(changed_in)
+    )
+    versions = flagged.filter("_new").select(*kb, *check_cols, "_ts")
+    # next version start: inside the bucket by lead, across buckets from the
+    # first version start of the key's next bucket that has one
+    firsts = versions.groupBy(*kb).agg(F.min("_ts").alias("_first_ts"))
+    w_after = w_b.rowsBetween(1, Window.unboundedFollowing)
+    nxt = firsts.select(*kb, F.min("_first_ts").over(w_after).alias("_next_bucket_start"))
+    w_v = Window.partitionBy(*kb).orderBy("_ts")
+    out = versions.join(nxt, kb, "left").select(
+        *cols,
+        F.col("_ts").alias(VALID_FROM),
+        F.coalesce(F.lead("_ts").over(w_v), F.col("_next_bucket_start"), open_end_ts()).alias(VALID_TO),
+    )
+    return out
+
+
 def scd2_apply(
     history: DataFrame | None,
     current: DataFrame,

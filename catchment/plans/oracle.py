@@ -4,6 +4,7 @@ all-pairs joins, since it runs on small fixtures."""
 
 from __future__ import annotations
 
+from ..schemas import HYDRO_SERIES, LOCAL_TZ, METEO_ELEMENTS
 from .registry import (
     RETENTION_AS_OF,
     SNAPSHOT_AS_OF,
@@ -13,7 +14,7 @@ from .registry import (
     WINDOW_DAY,
 )
 
-TZ = "Europe/Tallinn"
+TZ = LOCAL_TZ
 
 HYDRO_READINGS = """
 hydro_readings AS (
@@ -146,29 +147,8 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-HYDRO_SERIES_SQL = [
-    ("WL avg", "wl_avg"),
-    ("WL min", "wl_min"),
-    ("WL max", "wl_max"),
-    ("WT avg", "wt_avg"),
-    ("WT min", "wt_min"),
-    ("WT max", "wt_max"),
-    ("Äravool avg", "discharge_avg"),
-    ("Äravool min", "discharge_min"),
-    ("Äravool max", "discharge_max"),
-]
-METEO_ELEMENTS_SQL = [
-    ("PR1H", "precipitation_mm"),
-    ("TA", "temp_avg"),
-    ("TAN1H", "temp_min"),
-    ("TAX1H", "temp_max"),
-    ("RH", "humidity_pct"),
-    ("PA0", "pressure_hpa"),
-    ("WS10M", "wind_speed_ms"),
-    ("WSX1H", "wind_gust_ms"),
-    ("WD10M", "wind_direction_deg"),
-    ("SDUR1H", "sunshine_duration_min"),
-]
+HYDRO_SERIES_SQL = list(HYDRO_SERIES.items())
+METEO_ELEMENTS_SQL = list(METEO_ELEMENTS.items())
 
 
 def _maxcase(col: str, val: str, pairs) -> str:
@@ -403,6 +383,7 @@ UNION ALL SELECT * FROM new"""
     )
     q["upsert_if_changed"] = _q_upsert_if_changed()
     q["scd2_history"] = _with(HISTORY) + "\nSELECT * FROM history"
+    q["scd2_history_split"] = q["scd2_history"]
     q["scd2_apply_step"] = _q_scd2_apply_step()
     q["point_in_time"] = (
         _with(HYDRO_READINGS, GAUGES, HISTORY)

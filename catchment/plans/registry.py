@@ -131,6 +131,13 @@ def q_scd2_history(spark, d):
     return S.to_ntz(S.station_history(spark, d))
 
 
+def q_scd2_history_split(spark, d):
+    """SCD-3, skew-split form: windows per (station, day) instead of per
+    station; each day bucket holds one extract, so every version boundary
+    crosses a bucket edge. Same result as ``scd2_history``."""
+    return S.to_ntz(S.station_history(spark, d, bucket="day"))
+
+
 def q_scd2_apply_step(spark, d):
     """SCD-1/2: one snapshot run against the current station table."""
     current = S.gauges(spark, d).select("station_code", *S.HISTORY_CHECK)
@@ -411,6 +418,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "keyed_upsert": q_keyed_upsert,
         "upsert_if_changed": q_upsert_if_changed,
         "scd2_history": q_scd2_history,
+        "scd2_history_split": q_scd2_history_split,
         "scd2_apply_step": q_scd2_apply_step,
         "point_in_time": q_point_in_time,
         "nearest_three": q_nearest_three,

@@ -189,6 +189,6 @@ def station_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 HISTORY_CHECK = ["station_category", "station_altitude_msl_m"]
 
 
-def station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def station_history(spark: SparkSession, sf_dir: str, bucket: str | None = None) -> DataFrame:
     """snapshots.snap_hydro_stations stand-in built with SCD-3."""
-    return scd2_from_extracts(station_extracts(spark, sf_dir), ["station_code"], HISTORY_CHECK, "extract_ts")
+    return scd2_from_extracts(station_extracts(spark, sf_dir), ["station_code"], HISTORY_CHECK, "extract_ts", bucket)

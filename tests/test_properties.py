@@ -85,3 +85,16 @@ def test_landing_round_trip(spark, scratch):
     r = got[0]
     assert (r.jaam_nimi, r.tund, float(r.vaartus), r.file_date) == ("Ä name", 24, 2.5, dt.date(2024, 1, 2))
     assert r.element_nimi_eng is None
+
+
+@SETTINGS
+@given(series=st.lists(extract_series, min_size=1, max_size=3), spacing=st.sampled_from([1, 9, 40]))
+def test_scd2_bucketed_equals_simple(spark, series, spacing):
+    data = []
+    for key, values in enumerate(series):
+        for i, (_, v) in enumerate(values):
+            data.append((key, T0 + dt.timedelta(days=i * spacing), v))
+    df = spark.createDataFrame(data, "key int, ts timestamp_ntz, v string").withColumn("ts", F.col("ts").cast("timestamp"))
+    simple = scd2_from_extracts(df, ["key"], ["v"], "ts")
+    bucketed = scd2_from_extracts(df, ["key"], ["v"], "ts", bucket="month")
+    assert rows(bucketed) == rows(simple)
