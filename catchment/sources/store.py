@@ -105,10 +105,17 @@ class Lakehouse:
 
     # ---- writing --------------------------------------------------------
     def overwrite_partitions(self, name: str, df: DataFrame) -> None:
-        """Replace exactly the partitions present in ``df`` (dynamic mode)."""
+        """Replace exactly the partitions present in ``df`` (dynamic mode).
+
+        A REBALANCE on the partition column lets adaptive execution cut the
+        output into advisory-sized tasks aligned with days (a big day is
+        split, small days are merged), so a many-day backfill does not write
+        tasks x days small files.
+        """
         part = PARTITIONED[name]
         (
-            df.write.mode("overwrite")
+            df.hint("rebalance", part)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(part)
             .parquet(self.path(name))
