@@ -93,7 +93,7 @@ def write_landing(df: DataFrame, root: str, source: str, day: dt.date | str) ->
     external fetcher can sit next to these and are read the same way.
     """
     out = df.withColumn("source", F.lit(source)).withColumn("dt", F.lit(str(day)))
-    out.write.mode("overwrite").partitionBy("source", "dt").option("ignoreNullFields", "false").json(root)
+    out.hint("rebalance").write.mode("overwrite").partitionBy("source", "dt").option("ignoreNullFields", "false").json(root)
     return f"{root}/source={source}/dt={day}"
 
 
@@ -103,7 +103,8 @@ def write_landing_days(df: DataFrame, root: str, source: str, day_col: str = "dt
     out = df.withColumn("source", F.lit(source)).withColumn("dt", F.col(day_col).cast("date"))
     if day_col != "dt":
         out = out.drop(day_col)
-    out.write.mode("overwrite").partitionBy("source", "dt").option("ignoreNullFields", "false").json(root)
+    # day-aligned, advisory-sized output files (no tasks x days small files)
+    out.hint("rebalance", "dt").write.mode("overwrite").partitionBy("source", "dt").option("ignoreNullFields", "false").json(root)
 
 
 def filter_local_day(df: DataFrame, day: dt.date | str, col: str = "timeline_ts_local") -> DataFrame:
