@@ -72,11 +72,8 @@ class Pipeline:
         base = f"{self.landing_root}/source={source}"
         if days is None:
             return read_landing(self.spark, source, base)
-        paths = []
-        for d in days:
-            for p in (f"{base}/{source}_{d}.json", f"{base}/dt={d}"):
-                if self.lake.fs.exists(p):
-                    paths.append(p)
+        alt = ",".join(str(d) for d in days)
+        paths = self.lake.fs.glob(f"{base}/{source}_{{{alt}}}.json") + self.lake.fs.glob(f"{base}/dt={{{alt}}}")
         if not paths:
             return self.spark.createDataFrame([], read_landing_schema(source))
         return read_landing(self.spark, source, paths)
@@ -247,6 +244,11 @@ class Pipeline:
         self.build(touched, as_of)
         return {"hydro_rows": h.rows_loaded, "meteo_rows": m.rows_loaded, "days": touched}
 
+    def run_scheduled(self, interval_start: dt.date, lag_days: int = SOURCE_LAG_DAYS, **kw) -> dict:
+        """JOB-1 as scheduled: a run starting at ``interval_start`` loads the
+        day ``interval_start - lag_days``."""
+        return self.run_day(target_date(interval_start, lag_days), **kw)
+
     def run_range(self, start: dt.date, end: dt.date, as_of: dt.datetime | None = None) -> dict:
         """JOB-3: backfill ``[start, end]`` in one pass: all files at once,
         later files win per key (same result as day-by-day ascending), one

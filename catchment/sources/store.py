@@ -65,6 +65,12 @@ class _FS:
         reader.close()
         return line
 
+    def glob(self, pattern: str) -> list[str]:
+        """Paths matching a Hadoop glob (``{a,b}`` alternation, ``*``): one
+        listing call instead of one existence check per path."""
+        found = self._fs(pattern).globStatus(self._p(pattern))
+        return [str(st.getPath().toString()) for st in found] if found else []
+
     def list_dirs(self, path: str) -> list[str]:
         if not self.exists(path):
             return []
