@@ -20,8 +20,11 @@ RAW_SCHEMAS = {"hydro": HYDRO_RAW, "meteo": METEO_RAW}
 
 
 def _json_reader(spark: SparkSession, schema: T.StructType):
+    # recursive lookup: raw array files and dt=<day> folders may sit side by
+    # side; partition discovery would silently skip the top-level files
     return (
         spark.read.schema(schema)
+        .option("recursiveFileLookup", "true")
         .option("mode", "FAILFAST")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]")
     )
@@ -75,7 +78,7 @@ def read_landing_schema(source: str) -> T.StructType:
 def read_landing_stream(spark: SparkSession, source: str, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming twin of :func:`read_landing` (new files only; ``record_pos``
     is added per micro-batch)."""
-    reader = spark.readStream.schema(RAW_SCHEMAS[source]).option("mode", "FAILFAST").option(
+    reader = spark.readStream.schema(RAW_SCHEMAS[source]).option("recursiveFileLookup", "true").option("mode", "FAILFAST").option(
         "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"
     )
     if max_files_per_trigger:

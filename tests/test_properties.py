@@ -98,3 +98,25 @@ def test_scd2_bucketed_equals_simple(spark, series, spacing):
     simple = scd2_from_extracts(df, ["key"], ["v"], "ts")
     bucketed = scd2_from_extracts(df, ["key"], ["v"], "ts", bucket="month")
     assert rows(bucketed) == rows(simple)
+
+
+def test_landing_reads_raw_arrays_next_to_day_folders(spark, scratch):
+    """A raw array file beside dt=<day> folders must not be skipped."""
+    import json
+    import os
+    import tempfile
+
+    root = tempfile.mkdtemp(prefix="mixed-", dir=scratch)
+    rec = {"jaam_kood": "MA", "jaam_nimi": "A", "aasta": 2024, "kuu": 1, "paev": 2, "tund": 3, "vaartus": 1.0,
+           "element_kood": "TA", "avaandmed_ts": "2024-01-03T00:00:00+00:00"}
+    os.makedirs(f"{root}/source=meteo")
+    with open(f"{root}/source=meteo/meteo_2024-01-02.json", "w") as f:
+        json.dump([rec], f)
+    src = spark.createDataFrame(
+        [("MA", "B", 2024, 1, 3, 4, 2.0, "TA", None, None, dt.datetime(2024, 1, 4))],
+        "jaam_kood string, jaam_nimi string, aasta int, kuu int, paev int, tund int, vaartus double, "
+        "element_kood string, element_nimi_eng string, element_yhik_eng string, avaandmed_ts timestamp",
+    )
+    write_landing(src, root, "meteo", "2024-01-03")
+    got = sorted((r.jaam_nimi, r.file_date) for r in read_landing(spark, "meteo", f"{root}/source=meteo").collect())
+    assert got == [("A", dt.date(2024, 1, 2)), ("B", dt.date(2024, 1, 3))]
