@@ -27,7 +27,12 @@ def list_raw_files(spark: SparkSession, raw_dirs: dict[str, str]) -> DataFrame:
     frames = []
     for source, path in raw_dirs.items():
         try:
-            df = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file_path"))
+            df = (
+                spark.read.format("binaryFile")
+                .option("recursiveFileLookup", "true")  # raw files and dt=<day> folders side by side
+                .load(path)
+                .select(F.col("path").alias("file_path"))
+            )
         except Exception as exc:  # directory does not exist: skip, as the reference does
             if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
                 continue
@@ -57,6 +62,10 @@ def plan_retention(files: DataFrame, as_of, max_age_days: int = RETENTION_DAYS)
     as_of_col = F.lit(str(as_of)).cast("date") if not hasattr(as_of, "alias") else as_of
     cutoff = F.date_sub(as_of_col, max_age_days)
     d = file_date("file_name")
+    if "file_path" in files.columns:
+        # files of a landed dt=<day> folder take the folder's day
+        day_dir = F.regexp_extract(F.col("file_path"), r"/dt=([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+$", 1)
+        d = F.coalesce(d, F.when(day_dir != "", F.try_to_timestamp(day_dir, F.lit("yyyy-MM-dd")).cast("date")))
     json_files = files.filter(F.col("file_name").endswith(".json"))
     outcome = (
         F.when(d.isNull(), F.lit("unrecognised"))

@@ -326,3 +326,20 @@ def test_missing_required_field_and_duplicate_policies(spark, scratch):
         .collect()
     )
     assert [float(r.vaartus) for r in got] == [-1.0]
+
+
+def test_retention_handles_day_folders(spark, scratch):
+    from catchment.sources.landing import write_landing
+
+    root = tempfile.mkdtemp(prefix="ret2-", dir=scratch)
+    landing = os.path.join(root, "landing")
+    src = spark.createDataFrame([("MA", 1.0)], "jaam_kood string, vaartus double")
+    for day in ("2026-04-01", "2026-05-19"):
+        write_landing(src, landing, "meteo", day)
+    raw_dir = os.path.join(landing, "source=meteo")
+    with open(os.path.join(raw_dir, "meteo_2026-04-02.json"), "w") as f:
+        f.write("[]")
+    counts = archive_landing_files(spark, {"meteo": raw_dir}, os.path.join(root, "archive"), as_of=dt.date(2026, 5, 20))
+    assert counts == {"archived": 2, "skipped": 1, "unrecognised": 0}
+    left = [os.path.join(dp, f) for dp, _, fs in os.walk(raw_dir) for f in fs if f.endswith(".json")]
+    assert len(left) == 1 and "dt=2026-05-19" in left[0]
