@@ -16,6 +16,8 @@ with exact answers and no candidate cap.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +78,52 @@ def _start_size_km(sites_xyz: DataFrame, k: int, floor_km: float) -> tuple[int,
     return n, max(floor_km, size)
 
 
+def _site_leaves(s_xyz: DataFrame, s0: float, max_per_leaf: int, max_depth: int) -> DataFrame:
+    """Assign every site a leaf cube: the cube of edge ``s0`` holding it,
+    halved (octree-style) while it holds more than ``max_per_leaf`` sites.
+
+    Returns sites with ``_d`` (depth) and ``lx, ly, lz`` (cell at edge
+    ``s0 / 2**_d``). One small aggregate per depth over the (broadcast-sized)
+    site table; a normal layout stops at depth 0.
+    """
+    base = ["s_key", "s_lat", "s_lon", "s_x", "s_y", "s_z"]
+    done: list[DataFrame] = []
+    cur = s_xyz.select(*base)
+    for depth in range(max_depth + 1):
+        size = s0 / (2**depth)
+        cur = cur.select(
+            *base,
+            F.lit(depth).alias("_d"),
+            *[F.floor(F.col(f"s_{a}") / F.lit(size)).alias(f"l{a}") for a in "xyz"],
+        )
+        if depth == max_depth:
+            done.append(cur)
+            break
+        big = cur.groupBy("lx", "ly", "lz").count().filter(F.col("count") > max_per_leaf).select("lx", "ly", "lz")
+        if big.isEmpty():
+            done.append(cur)
+            break
+        done.append(cur.join(F.broadcast(big), ["lx", "ly", "lz"], "left_anti"))
+        cur = cur.join(F.broadcast(big), ["lx", "ly", "lz"], "left_semi").select(*base)
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _box_distances(prefix_p: str) -> tuple:
+    """Chord distance from a point to a leaf's bounding box: (min, max)."""
+    near2 = F.lit(0.0)
+    far2 = F.lit(0.0)
+    for a in "xyz":
+        p, lo, hi = F.col(f"{prefix_p}{a}"), F.col(f"_min_{a}"), F.col(f"_max_{a}")
+        gap = F.greatest(lo - p, p - hi, F.lit(0.0))
+        span = F.greatest(F.abs(p - lo), F.abs(p - hi))
+        near2 = near2 + gap * gap
+        far2 = far2 + span * span
+    return F.sqrt(near2), F.sqrt(far2)
+
+
 def nearest_k(
     points: DataFrame,
     sites: DataFrame,
@@ -88,6 +136,8 @@ def nearest_k(
     site_lon: str = "longitude",
     start_cell_km: float | None = None,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_sites_per_leaf: int = 64,
+    max_leaf_depth: int = 12,
 ) -> DataFrame:
     """The ``k`` nearest sites of every point by great-circle distance.
 
@@ -96,24 +146,39 @@ def nearest_k(
     than ``k`` sites in total get all of them. ``start_cell_km`` defaults to
     a size derived from the sites' density; it affects speed, never results.
 
+    Dense clusters: a cube holding more than ``max_sites_per_leaf`` sites is
+    split into leaves (halved up to ``max_leaf_depth`` times). For every
+    point, leaves in its block are ordered by their farthest possible
+    distance; ``U`` is the distance at which they hold ``k`` sites, and only
+    leaves that can come closer than ``U`` are opened. Every site nearer than
+    the true k-th neighbour is in an opened leaf, so the result stays exact
+    while a point next to a dense cluster opens only the cluster's near side.
+
     Per round there is one action (is anything still pending?); round
     results are persisted so the final union re-reads them instead of
-    recomputing earlier rounds. The site side is broadcast when its row
-    count is within ``broadcast_max_rows``, else both sides shuffle on the
-    cube id.
+    recomputing earlier rounds. Site-side tables are broadcast when the site
+    count is within ``broadcast_max_rows``, else joined by shuffle.
     """
-    # Points are hash-partitioned by key once; the broadcast probe join keeps
-    # that partitioning, so the per-point window and the anti-join of every
-    # round need no further shuffle.
+    # Points are hash-partitioned by key once; the broadcast joins keep that
+    # partitioning, so the per-point windows and the anti-join of every round
+    # need no further shuffle.
     p_all = _with_xyz(points, point_key, point_lat, point_lon, "p_").repartition("p_key")
     s_xyz = _with_xyz(sites, site_key, site_lat, site_lon, "s_")
     n_sites, auto_size = _start_size_km(s_xyz, k, 1.0)
-    s_all = F.broadcast(s_xyz) if n_sites <= broadcast_max_rows else s_xyz
+    small = n_sites <= broadcast_max_rows
+    bc = F.broadcast if small else (lambda d: d)
+    s0 = float(start_cell_km) if start_cell_km else auto_size
+    leaf_sites = _site_leaves(s_xyz, s0, max_sites_per_leaf, max_leaf_depth).persist()
+    leaves = leaf_sites.groupBy("_d", "lx", "ly", "lz").agg(
+        F.count(F.lit(1)).alias("_n_sites"),
+        *[F.min(f"s_{a}").alias(f"_min_{a}") for a in "xyz"],
+        *[F.max(f"s_{a}").alias(f"_max_{a}") for a in "xyz"],
+    ).persist()
     pending = p_all
     settled: list[DataFrame] = []
-    cached: list[DataFrame] = []
-    size = float(start_cell_km) if start_cell_km else auto_size
+    size = s0
     diameter = 2 * EARTH_RADIUS_KM
+    leaf_id = ["_d", "lx", "ly", "lz"]
     while True:
         last = size >= diameter
         probes = (
@@ -123,15 +188,29 @@ def nearest_k(
                 "p_key",
                 "p_lat",
                 "p_lon",
+                "p_x",
+                "p_y",
+                "p_z",
                 (F.col("p_cx") + F.col("_o.dx")).alias("cx"),
                 (F.col("p_cy") + F.col("_o.dy")).alias("cy"),
                 (F.col("p_cz") + F.col("_o.dz")).alias("cz"),
             )
         )
-        cells = s_all.select(
-            "s_key", "s_lat", "s_lon", *[c.alias(n) for c, n in zip(_cell("s_", size), ("cx", "cy", "cz"))]
+        # a leaf at depth d lies inside the cube floor(l / 2^(r + d)) at this size
+        scale = F.pow(F.lit(2.0), F.lit(round(math.log2(size / s0))) + F.col("_d"))
+        anc = leaves.select(
+            "*", *[F.floor(F.col(f"l{a}") / scale).alias(f"c{a}") for a in "xyz"]
+        )
+        pl = probes.join(bc(anc), on=["cx", "cy", "cz"])
+        dmin, dmax = _box_distances("p_")
+        pl = pl.select("p_key", "p_lat", "p_lon", *leaf_id, "_n_sites", dmin.alias("_dmin"), dmax.alias("_dmax"))
+        by_far = Window.partitionBy("p_key").orderBy("_dmax", *leaf_id).rowsBetween(Window.unboundedPreceding, 0)
+        pl = pl.withColumn("_reach", F.sum("_n_sites").over(by_far))
+        bound = F.min(F.when(F.col("_reach") >= k, F.col("_dmax"))).over(Window.partitionBy("p_key"))
+        opened = pl.withColumn("_u", bound).filter(
+            F.col("_u").isNull() | (F.col("_dmin") <= F.col("_u") * (1 + 1e-9) + 1e-6)
         )
-        cand = probes.join(cells, on=["cx", "cy", "cz"]).select(
+        cand = opened.join(bc(leaf_sites.select(*leaf_id, "s_key", "s_lat", "s_lon")), on=leaf_id).select(
             "p_key", "s_key", haversine_km("p_lat", "p_lon", "s_lat", "s_lon").alias("distance_km")
         )
         w = Window.partitionBy("p_key").orderBy(F.col("distance_km"), F.col("s_key"))
@@ -147,10 +226,8 @@ def nearest_k(
             break
         ok = (F.col("_n") >= k) & (chord_km(F.col("_kth")) < F.lit(size * (1 - 1e-9)))
         ranked = ranked.withColumn("_done", ok).persist()
-        cached.append(ranked)
         settled.append(ranked.filter("_done"))
         pending = pending.join(ranked.filter("_done").select("p_key"), "p_key", "left_anti").persist()
-        cached.append(pending)
         if pending.isEmpty():
             break
         size *= 2

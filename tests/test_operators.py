@@ -277,3 +277,20 @@ def test_nearest_k_ties_break_by_site_code(spark):
     )
     got = [(r.s, r.rank) for r in nearest_k(pts, sites, 2, "p", "s").orderBy("rank").collect()]
     assert got == [("A", 1), ("B", 2)]
+
+
+def test_nearest_k_dense_cluster_matches_brute_force(spark):
+    """A third-plus of all sites packed in one small area: leaves are split
+    and pruned, results stay exact."""
+    rnd = random.Random(11)
+    cluster = [(f"C{j:04d}", 58.5 + rnd.random() * 0.01, 24.5 + rnd.random() * 0.01) for j in range(2000)]
+    spread = [(f"S{j:03d}", 57.5 + rnd.random() * 2.5, 21.5 + rnd.random() * 6.5) for j in range(40)]
+    points = [(i, 58.3 + rnd.random() * 0.4, 24.3 + rnd.random() * 0.4) for i in range(60)]
+    points += [(100 + i, 58.5 + rnd.random() * 0.01, 24.5 + rnd.random() * 0.01) for i in range(10)]
+    pdf = spark.createDataFrame(points, "p int, latitude double, longitude double")
+    sdf = spark.createDataFrame(cluster + spread, "s string, latitude double, longitude double")
+    got = nearest_k(pdf, sdf, 3, "p", "s").collect()
+    by_point = {}
+    for r in sorted(got, key=lambda r: (r.p, r.rank)):
+        by_point.setdefault(r.p, []).append(r.s)
+    assert by_point == _brute(points, cluster + spread, 3)
