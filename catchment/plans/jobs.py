@@ -17,6 +17,7 @@ from ..operators.keyed import changed_count, classify_changes, merge_rows
 from ..operators.quality import EmptyBatchError, RequiredFieldError
 from ..schemas import (
     HYDRO_STATION_CHECK,
+    METEO_RAW,
     LOCAL_TZ,
     METEO_STATION_CHECK,
     PROXIMITY_K,
@@ -156,11 +157,9 @@ class Pipeline:
     # --------------------------------------------------------- silver/gold
     def silver_hydro_frame(self, utc_days: list | None = None) -> DataFrame | None:
         """SIL-1 over bronze.hydro for the given UTC days (all when None)."""
-        bh = self.lake.read("bronze.hydro")
+        bh = self.lake.read("bronze.hydro") if utc_days is None else self.lake.read_partitions("bronze.hydro", utc_days)
         if bh is None:
             return None
-        if utc_days is not None:
-            bh = bh.filter(F.col("dt").isin(utc_days))
         hist = self.lake.read("snapshots.snap_hydro_stations")
         stations = self.lake.read("ref.hydro_stations")
         return silver_hydro(bh, hist, stations, VALID_FROM, VALID_TO).withColumn("dt", F.to_date("timeline_ts_utc"))
@@ -169,17 +168,22 @@ class Pipeline:
         """SIL-2 for the given UTC days: a UTC day is made of two local
         calendar days of bronze.meteo, so both are read and the result is cut
         back to the requested days."""
-        bm = self.lake.read("bronze.meteo")
+        if utc_days is None:
+            bm = self.lake.read("bronze.meteo")
+        else:
+            local = sorted({d for u in utc_days for d in (u, u + dt.timedelta(days=1))})
+            bm = self.lake.read_partitions("bronze.meteo", local)
         if bm is None:
             return None
-        if utc_days is not None:
-            local = sorted({d for u in utc_days for d in (u, u + dt.timedelta(days=1))})
-            bm = bm.filter(F.col("dt").isin(local))
         sm = silver_meteo(bm, self.tz).withColumn("dt", F.to_date("observation_ts"))
         if utc_days is not None:
             sm = sm.filter(F.col("dt").isin(utc_days))
         return sm
 
+    def _empty_silver_meteo(self) -> DataFrame:
+        empty = self.spark.createDataFrame([], METEO_RAW)
+        return silver_meteo(empty, self.tz).withColumn("dt", F.to_date("observation_ts"))
+
     def build_silver(self, utc_days: list | None = None) -> None:
         """SIL-1/2 for the given UTC days (all when None)."""
         sh = self.silver_hydro_frame(utc_days)
@@ -190,25 +194,30 @@ class Pipeline:
             self.lake.overwrite_partitions("silver.meteo", sm)
             # exact (code, name) pairs per day: gold's name lookup reads this
             # small table instead of scanning all weather history each run
-            written = self.lake.read("silver.meteo")
-            if utc_days is not None:
-                written = written.filter(F.col("dt").isin(utc_days))
-            self.lake.overwrite_partitions(
-                "silver.meteo_station_names", written.select("jaam_kood", "jaam_nimi", "dt").distinct()
+            written = (
+                self.lake.read("silver.meteo")
+                if utc_days is None
+                else self.lake.read_partitions("silver.meteo", utc_days)
             )
+            if written is not None:
+                self.lake.overwrite_partitions(
+                    "silver.meteo_station_names", written.select("jaam_kood", "jaam_nimi", "dt").distinct()
+                )
 
     def gold_frame(self, utc_days: list | None = None) -> DataFrame | None:
         """GLD-1 over the stored silver tables for the given UTC days."""
-        sh = self.lake.read("silver.hydro")
-        sm = self.lake.read("silver.meteo")
-        if sh is None or sm is None:
+        if utc_days is None:
+            sh, sm = self.lake.read("silver.hydro"), self.lake.read("silver.meteo")
+        else:
+            sh = self.lake.read_partitions("silver.hydro", utc_days)
+            sm = self.lake.read_partitions("silver.meteo", utc_days)
+        if sh is None:
             return None
+        if sm is None:  # no weather for these days: gauge rows still come out (left joins)
+            sm = self._empty_silver_meteo()
         names = self.lake.read("silver.meteo_station_names")
-        if names is None:  # built before the name table existed: use all days
-            names = sm
-        if utc_days is not None:
-            sh = sh.filter(F.col("dt").isin(utc_days))
-            sm = sm.filter(F.col("dt").isin(utc_days))
+        if names is None:  # built before the name table existed: use all weather days
+            names = self.lake.read("silver.meteo") or sm
         return gold_hydro_meteo(
             sh,
             sm,

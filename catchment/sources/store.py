@@ -166,9 +166,18 @@ class Lakehouse:
         return [r[0] for r in df.select(col).distinct().collect()]
 
     def read_partitions(self, name: str, values: Sequence) -> DataFrame | None:
-        """Only the given partitions of a partitioned table (pruned scan)."""
-        df = self.read(name)
-        if df is None:
-            return None
+        """Only the given partitions of a partitioned table.
+
+        The folders are found with one glob listing, so a table with years of
+        daily partitions is not listed in full; ``basePath`` keeps the
+        partition column. ``None`` when none of the partitions exists.
+        """
         part = PARTITIONED[name]
-        return df.filter(F.col(part).isin(list(values)))
+        base = self.path(name)
+        values = [str(v) for v in values]
+        if not values:
+            return None
+        found = self.fs.glob(f"{base}/{part}={{{','.join(values)}}}")
+        if not found:
+            return None
+        return self.spark.read.option("basePath", base).parquet(*found)

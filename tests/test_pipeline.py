@@ -343,3 +343,18 @@ def test_retention_handles_day_folders(spark, scratch):
     assert counts == {"archived": 2, "skipped": 1, "unrecognised": 0}
     left = [os.path.join(dp, f) for dp, _, fs in os.walk(raw_dir) for f in fs if f.endswith(".json")]
     assert len(left) == 1 and "dt=2026-05-19" in left[0]
+
+
+def test_gold_keeps_gauge_hours_without_weather(spark, scratch):
+    root = tempfile.mkdtemp(prefix="noweather-", dir=scratch)
+    landing = os.path.join(root, "landing")
+    day = dt.date(2024, 6, 3)
+    land(landing, "hydro", day, hydro_records(day))
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    p.run_seed(*write_seeds(os.path.join(root, "seeds")), AS_OF)
+    h = p.ingest("hydro", [day])
+    p.build(h.days, as_of=dt.datetime(2024, 6, 6))
+    gold = p.lake.read("gold.hydro_meteo")
+    assert gold.count() == len(hydro_records(day)) // 2
+    assert gold.filter("air_temp_avg IS NOT NULL OR meteo_station_name IS NOT NULL").count() == 0
+    assert gold.filter("meteo_station_code = 'MA'").count() > 0  # proximity still attached
