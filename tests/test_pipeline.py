@@ -358,3 +358,14 @@ def test_gold_keeps_gauge_hours_without_weather(spark, scratch):
     assert gold.count() == len(hydro_records(day)) // 2
     assert gold.filter("air_temp_avg IS NOT NULL OR meteo_station_name IS NOT NULL").count() == 0
     assert gold.filter("meteo_station_code = 'MA'").count() > 0  # proximity still attached
+
+
+def test_incremental_build_equals_full_rebuild(world):
+    p = world["p"]
+    for name, frame in (("silver.hydro", p.silver_hydro_frame), ("silver.meteo", p.silver_meteo_frame), ("gold.hydro_meteo", p.gold_frame)):
+        stored = p.lake.read(name)
+        full = frame(None)
+        cols = sorted(c for c in stored.columns)
+        a = sorted(map(tuple, stored.select(*cols).collect()), key=repr)
+        b = sorted(map(tuple, full.select(*cols).collect()), key=repr)
+        assert a == b, name
