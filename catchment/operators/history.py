@@ -181,19 +181,35 @@ def point_in_time_join(
     how: str = "left",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     bucket: str = "month",
+    max_versions_per_key: int = 16,
 ) -> DataFrame:
     """JN-1: facts joined to the history version valid at the fact time.
 
     Condition: ``key = key AND ts >= valid_from AND ts < valid_to``
-    (half-open). A history within ``broadcast_max_rows`` rows is broadcast
-    (no shuffle of the facts at all). A larger history is joined on
-    ``(key, time bucket)``: every interval is exploded over the buckets it
-    covers (clipped to the facts' time range), so the facts of one hot key
-    spread over as many tasks as it has buckets instead of landing in one.
-    Intervals are disjoint per key, so each fact still meets at most one
-    version.
+    (half-open); output = fact columns + history columns, as a plain join.
+
+    One small aggregate over the history decides the shape:
+
+    * at most ``broadcast_max_rows`` versions and at most
+      ``max_versions_per_key`` per key: one broadcast join on the key with the
+      interval as residual (facts are not shuffled);
+    * otherwise closed versions are exploded over the time buckets they
+      cover and joined on (key, bucket), and the open version of each key
+      (one per key) is joined on the key. A fact meets a few candidates
+      instead of every version of its key, and when the history is too large
+      to broadcast, one hot key's facts spread over its buckets instead of
+      landing in one task. Intervals are disjoint per key, so each fact still
+      meets at most one version.
     """
-    if history.count() <= broadcast_max_rows:
+    shape = (
+        history.groupBy(hist_key)
+        .agg(F.count(F.lit(1)).alias("_v"))
+        .agg(F.sum("_v").alias("rows"), F.max("_v").alias("max_v"))
+        .first()
+    )
+    rows, max_v = int(shape["rows"] or 0), int(shape["max_v"] or 0)
+    small = rows <= broadcast_max_rows
+    if small and max_v <= max_versions_per_key:
         h = F.broadcast(history)
         cond = (
             (facts[fact_key] == h[hist_key])
@@ -201,21 +217,43 @@ def point_in_time_join(
             & (facts[fact_ts] < h[valid_to])
         )
         return facts.join(h, cond, how)
-    lo, hi = facts.agg(F.min(fact_ts), F.max(fact_ts)).first()
-    if lo is None:  # no facts: nothing to attach
-        return facts.join(history, facts[fact_key] == history[hist_key], how)
-    lo_b = F.date_trunc(bucket, F.lit(lo).cast("timestamp"))
-    hi_b = F.date_trunc(bucket, F.lit(hi).cast("timestamp"))
+
+    bc = F.broadcast if small else (lambda d: d)
+    h_cols = history.columns
+    is_open = F.col(valid_to) >= open_end_ts()
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    hv = history.filter((F.col(valid_from) <= F.lit(hi).cast("timestamp")) & (F.col(valid_to) > F.lit(lo).cast("timestamp")))
-    first_b = F.greatest(F.date_trunc(bucket, F.col(valid_from)), lo_b)
-    last_b = F.least(F.date_trunc(bucket, F.col(valid_to)), hi_b)
-    hb = hv.withColumn("_pit_bucket", F.explode(F.sequence(first_b, last_b, step)))
-    fb = facts.withColumn("_pit_bucket", F.date_trunc(bucket, F.col(fact_ts)))
-    cond = (
-        (fb[fact_key] == hb[hist_key])
-        & (fb["_pit_bucket"] == hb["_pit_bucket"])
-        & (fb[fact_ts] >= hb[valid_from])
-        & (fb[fact_ts] < hb[valid_to])
+    closed = (
+        history.filter(~is_open)
+        .select(*[F.col(c).alias(f"_pc_{c}") for c in h_cols], F.lit(True).alias("_pc_hit"))
+        .withColumn(
+            "_pc_b",
+            F.explode(F.sequence(F.date_trunc(bucket, F.col(f"_pc_{valid_from}")), F.date_trunc(bucket, F.col(f"_pc_{valid_to}")), step)),
+        )
+    )
+    opened = history.filter(is_open).select(*[F.col(c).alias(f"_po_{c}") for c in h_cols], F.lit(True).alias("_po_hit"))
+    fb = facts.withColumn("_pit_b", F.date_trunc(bucket, F.col(fact_ts)))
+    ts = F.col(fact_ts)
+    j = fb.join(
+        bc(closed),
+        (fb[fact_key] == F.col(f"_pc_{hist_key}"))
+        & (F.col("_pit_b") == F.col("_pc_b"))
+        & (ts >= F.col(f"_pc_{valid_from}"))
+        & (ts < F.col(f"_pc_{valid_to}")),
+        "left",
+    )
+    j = j.join(
+        bc(opened),
+        (j[fact_key] == F.col(f"_po_{hist_key}")) & (ts >= F.col(f"_po_{valid_from}")) & (ts < F.col(f"_po_{valid_to}")),
+        "left",
+    )
+    hit_closed = F.col("_pc_hit").isNotNull()
+    out = j.select(
+        *[F.col(c) for c in facts.columns],
+        *[F.when(hit_closed, F.col(f"_pc_{c}")).otherwise(F.col(f"_po_{c}")).alias(c) for c in h_cols],
+        (hit_closed | F.col("_po_hit").isNotNull()).alias("_pit_hit"),
     )
-    return fb.join(hb, cond, how).drop(fb["_pit_bucket"]).drop(hb["_pit_bucket"])
+    if how == "inner":
+        out = out.filter("_pit_hit")
+    elif how != "left":
+        raise ValueError(f"point_in_time_join supports how='left' or 'inner', got {how!r}")
+    return out.drop("_pit_hit")

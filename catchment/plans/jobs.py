@@ -192,17 +192,22 @@ class Pipeline:
         sm = self.silver_meteo_frame(utc_days)
         if sm is not None:
             self.lake.overwrite_partitions("silver.meteo", sm)
-            # exact (code, name) pairs per day: gold's name lookup reads this
-            # small table instead of scanning all weather history each run
-            written = (
-                self.lake.read("silver.meteo")
-                if utc_days is None
-                else self.lake.read_partitions("silver.meteo", utc_days)
-            )
-            if written is not None:
-                self.lake.overwrite_partitions(
-                    "silver.meteo_station_names", written.select("jaam_kood", "jaam_nimi", "dt").distinct()
-                )
+            self.build_station_names(utc_days)
+
+    def build_station_names(self, utc_days: list | None = None) -> None:
+        """Exact (code, name) pairs of silver.meteo per month: gold's name
+        lookup reads this small table instead of scanning all weather
+        history. Rebuilt days recompute the months that contain them (two
+        columns of those months' silver.meteo folders)."""
+        if utc_days is None:
+            sm = self.lake.read("silver.meteo")
+        else:
+            months = sorted({f"{d:%Y-%m}" for d in utc_days})
+            sm = self.lake.read_partitions("silver.meteo", [f"{m}-*" for m in months])
+        if sm is None:
+            return
+        names = sm.select("jaam_kood", "jaam_nimi", F.date_format("dt", "yyyy-MM").alias("month")).distinct()
+        self.lake.overwrite_partitions("silver.meteo_station_names", names)
 
     def gold_frame(self, utc_days: list | None = None) -> DataFrame | None:
         """GLD-1 over the stored silver tables for the given UTC days."""

@@ -41,6 +41,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def events_table(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """The ``events`` table, or a frame derived from it (e.g. scaled copies)."""
+    return events if events is not None else table(spark, sf_dir, "events")
+
+
+def scaled_events(spark: SparkSession, sf_dir: str, copies: int) -> DataFrame:
+    """``events`` repeated ``copies`` times, copy m shifted by m months (new
+    event ids), so one month of readings becomes ``copies`` months. The
+    copies are spread over the session's default parallelism, as many input
+    files would be (the source table is a single row group)."""
+    e = table(spark, sf_dir, "events")
+    spread = spark.sparkContext.defaultParallelism
+    m = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_m")
+    return e.repartition(spread).select("*", m).select(
+        (F.col("event_id") * copies + F.col("_m")).alias("event_id"),
+        (F.col("ts") + F.make_ym_interval(F.lit(0), F.col("_m").cast("int"))).alias("ts"),
+        "user_id",
+        "event_type",
+        "value",
+        "props",
+    )
+
+
 def case_map(col: str, mapping: dict[str, str], default: Column | None = None) -> Column:
     out = None
     for k, v in mapping.items():
@@ -109,9 +132,9 @@ def weather_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hydro_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hydro_readings(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Raw hydro records (bronze.hydro shape + ``event_id``, ``published_ts``)."""
-    e = table(spark, sf_dir, "events")
+    e = events_table(spark, sf_dir, events)
     hour = F.date_trunc("hour", F.col("ts")).cast("timestamp")
     return e.select(
         "event_id",
@@ -134,19 +157,19 @@ def hydro_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_hydro(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_hydro(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """bronze.hydro state: one row per key, the latest published reading."""
-    return latest_revision(hydro_readings(spark, sf_dir), HYDRO_KEY, "published_ts", "event_id")
+    return latest_revision(hydro_readings(spark, sf_dir, events), HYDRO_KEY, "published_ts", "event_id")
 
 
-def meteo_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def meteo_readings(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Raw meteo records (bronze.meteo shape + ``event_id``).
 
     Publication time is the event minute, so equal versions occur and the
     first record (lowest event id) must win. Station M7 is published under
     a second name for users >= 100 (the two-name fan-out case).
     """
-    e = table(spark, sf_dir, "events")
+    e = events_table(spark, sf_dir, events)
     st = F.col("user_id") % N_WEATHER_STATIONS
     return e.select(
         "event_id",
@@ -166,14 +189,14 @@ def meteo_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_meteo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_meteo(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """bronze.meteo state after AGG-4 de-duplication."""
-    return latest_revision(meteo_readings(spark, sf_dir), METEO_KEY, "avaandmed_ts", "event_id")
+    return latest_revision(meteo_readings(spark, sf_dir, events), METEO_KEY, "avaandmed_ts", "event_id")
 
 
-def station_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def station_extracts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Daily extracts of gauge parameters (noon of each active day)."""
-    e = table(spark, sf_dir, "events")
+    e = events_table(spark, sf_dir, events)
     day = F.date_trunc("day", F.col("ts")).cast("timestamp")
     daily = e.groupBy(F.col("user_id"), day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return daily.select(
@@ -189,6 +212,10 @@ def station_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 HISTORY_CHECK = ["station_category", "station_altitude_msl_m"]
 
 
-def station_history(spark: SparkSession, sf_dir: str, bucket: str | None = None) -> DataFrame:
+def station_history(
+    spark: SparkSession, sf_dir: str, bucket: str | None = None, events: DataFrame | None = None
+) -> DataFrame:
     """snapshots.snap_hydro_stations stand-in built with SCD-3."""
-    return scd2_from_extracts(station_extracts(spark, sf_dir), ["station_code"], HISTORY_CHECK, "extract_ts", bucket)
+    return scd2_from_extracts(
+        station_extracts(spark, sf_dir, events), ["station_code"], HISTORY_CHECK, "extract_ts", bucket
+    )

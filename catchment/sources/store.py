@@ -24,7 +24,7 @@ PARTITIONED = {
     "bronze.meteo": "dt",
     "silver.hydro": "dt",
     "silver.meteo": "dt",
-    "silver.meteo_station_names": "dt",
+    "silver.meteo_station_names": "month",
     "gold.hydro_meteo": "dt",
 }
 

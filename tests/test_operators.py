@@ -261,9 +261,12 @@ def test_point_in_time_bucketed_path_equals_broadcast_path(spark):
     )
     small = point_in_time_join(facts, hist, "st", "code", "ts")
     bucketed = point_in_time_join(facts, hist, "st", "code", "ts", broadcast_max_rows=0)
-    assert "_pit_bucket" not in bucketed.columns
+    split_bc = point_in_time_join(facts, hist, "st", "code", "ts", max_versions_per_key=0)
+    assert bucketed.columns == small.columns == split_bc.columns
     a = rows(small, "id", "alt")
-    assert a == rows(bucketed, "id", "alt")
+    assert a == rows(bucketed, "id", "alt") == rows(split_bc, "id", "alt")
+    inner = point_in_time_join(facts, hist, "st", "code", "ts", how="inner", max_versions_per_key=0)
+    assert rows(inner, "id", "alt") == [r for r in a if r[1] is not None]
     assert len(a) == 24 * 120
     assert sum(1 for _, v in a if v == 2.0) > 0
     assert sum(1 for _, v in a if v == 7.0) == 6  # station 2 every 4 h during one day
