@@ -89,7 +89,9 @@ NOTES = {
         "One shuffle: the pivot's partial `HashAggregate` combines map-side (nine `max(CASE ...)` per "
         "station-hour), then the final aggregate. Station history (point-in-time: equi-key plus interval "
         "residual) and the current station table (fallback) are broadcast after a row-count check: the readings "
-        "are never shuffled for them."
+        "are never shuffled for them. (A history with many versions per station, or one beyond the broadcast "
+        "bound, switches to closed versions joined on (station, month) plus open versions on the station; see "
+        "`point_in_time_join`.)"
     ),
     "silver.meteo build (one UTC day)": (
         "One shuffle (pivot). A UTC day is made of two local calendar days, hence two bronze day folders. The "
