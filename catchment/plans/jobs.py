@@ -63,6 +63,19 @@ class Pipeline:
         self.log = RunLog(spark, f"{root}/tables/bronze/run_log")
         self.tz = tz
 
+    def register_views(self) -> list[str]:
+        """Temp views over the lake tables plus ``bronze_etl_log``: the current
+        state of every logged run (AUD-3), as SQL users of a run-log table
+        expect."""
+        views = self.lake.register_views()
+        try:
+            self.log.state().createOrReplaceTempView("bronze_etl_log")
+            views.append("bronze_etl_log")
+        except Exception as exc:  # no run logged yet
+            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                raise
+        return views
+
     # ---------------------------------------------------------------- ingest
     def landed(self, source: str, days: Iterable[dt.date] | None = None) -> DataFrame:
         """Landed records of ``days`` (all when None).

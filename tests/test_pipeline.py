@@ -290,7 +290,9 @@ def test_stream_with_build_produces_gold(world, spark, scratch):
 
 
 def test_sql_views_over_lake(world, spark):
-    views = world["p"].lake.register_views()
+    views = world["p"].register_views()
+    assert "bronze_etl_log" in views
+    assert spark.sql("SELECT count(*) AS n FROM bronze_etl_log WHERE status = 'success'").first().n >= 4
     assert {"bronze_hydro", "silver_meteo", "gold_hydro_meteo", "ref_station_proximity"} <= set(views)
     n = spark.sql("SELECT count(*) AS n FROM gold_hydro_meteo WHERE meteo_station_code IS NOT NULL").first().n
     assert n == world["p"].lake.read("gold.hydro_meteo").filter("meteo_station_code IS NOT NULL").count() > 0
