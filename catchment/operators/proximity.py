@@ -176,6 +176,7 @@ def nearest_k(
     ).persist()
     pending = p_all
     settled: list[DataFrame] = []
+    pendings: list[DataFrame] = []
     size = s0
     diameter = 2 * EARTH_RADIUS_KM
     leaf_id = ["_d", "lx", "ly", "lz"]
@@ -228,9 +229,14 @@ def nearest_k(
         ranked = ranked.withColumn("_done", ok).persist()
         settled.append(ranked.filter("_done"))
         pending = pending.join(ranked.filter("_done").select("p_key"), "p_key", "left_anti").persist()
+        pendings.append(pending)
         if pending.isEmpty():
             break
         size *= 2
+    # pending sets only steer the rounds; the kept rounds stay cached (and
+    # can be recomputed from lineage), so the pending caches are released
+    for frame in pendings:
+        frame.unpersist()
     out = settled[0]
     for part in settled[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
