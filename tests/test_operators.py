@@ -297,3 +297,18 @@ def test_nearest_k_dense_cluster_matches_brute_force(spark):
     for r in sorted(got, key=lambda r: (r.p, r.rank)):
         by_point.setdefault(r.p, []).append(r.s)
     assert by_point == _brute(points, cluster + spread, 3)
+
+
+def test_checked_broadcast_respects_the_bound(spark):
+    from catchment.operators import checked_broadcast
+
+    facts = spark.range(2000).select((F.col("id") % 50).alias("k"), F.col("id"))
+    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = facts.join(checked_broadcast(dim, 100), "k")._jdf.queryExecution().executedPlan().toString()
+        large = facts.join(checked_broadcast(dim, 10), "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in small
+    assert "BroadcastHashJoin" not in large
