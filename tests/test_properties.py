@@ -120,3 +120,19 @@ def test_landing_reads_raw_arrays_next_to_day_folders(spark, scratch):
     write_landing(src, root, "meteo", "2024-01-03")
     got = sorted((r.jaam_nimi, r.file_date) for r in read_landing(spark, "meteo", f"{root}/source=meteo").collect())
     assert got == [("A", dt.date(2024, 1, 2)), ("B", dt.date(2024, 1, 3))]
+
+
+def test_many_day_write_is_one_file_per_day(spark, scratch):
+    """Rebalance by day: a multi-day write does not produce tasks x days files."""
+    import glob
+    import tempfile
+
+    from catchment.sources.landing import write_landing_days
+
+    root = tempfile.mkdtemp(prefix="files-", dir=scratch)
+    df = spark.range(0, 3000, numPartitions=6).select(
+        (F.lit(dt.date(2024, 1, 1)) + (F.col("id") % 20).cast("int")).alias("day"), F.col("id").alias("v")
+    )
+    write_landing_days(df, root, "meteo", "day")
+    per_day = [len(glob.glob(f"{d}/*.json")) for d in glob.glob(f"{root}/source=meteo/dt=*")]
+    assert len(per_day) == 20 and set(per_day) == {1}
