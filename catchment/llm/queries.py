@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import decode, encode, load_ranks, pack
 from .common import table
 from .quality_rules import judge_quality
 from .sharding import assign_shards
@@ -30,10 +31,22 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, limit=1024)
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = table(spark, sf_dir, "documents").select("doc_id", encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids"))
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(pack(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
