@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import decode, encode, load_ranks, pack
 from .common import table
+from .decontaminate import find_contamination
 from .quality_rules import judge_quality
 from .sharding import assign_shards
 from .token_counts import count_tokens
@@ -22,6 +23,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return find_contamination(docs, bench, [F.col("doc_id")]).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), shards=8)
 
@@ -44,9 +57,38 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP5 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+ns AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns WHERE len(w) >= n)),
+hit AS (SELECT dw.doc_id, dw.n, dw.i, bw.item_id FROM dw JOIN bw USING (n, g)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+its AS (SELECT doc_id, list(DISTINCT CAST(item_id AS VARCHAR)) AS ids FROM hit GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(list_sort(ids), ','), '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5}
