@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import decode, encode, load_ranks, pack
 from .common import table
 from .decontaminate import find_contamination
+from .line_dedup import dedup_lines
 from .quality_rules import judge_quality
 from .sharding import assign_shards
 from .token_counts import count_tokens
@@ -55,12 +56,19 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("clean", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 _OP5 = r"""
@@ -91,4 +99,25 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5}
+_OP10 = r"""
+WITH lines AS (
+  SELECT doc_id, no, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no
+        FROM documents)),
+worded AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS k FROM lines WHERE t <> ''),
+win AS (
+  SELECT a.doc_id, a.k, a.no AS n1, b.no AS n2, c.no AS n3, a.t || chr(10) || b.t || chr(10) || c.t AS g
+  FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.k = a.k + 1
+  JOIN worded c ON a.doc_id = c.doc_id AND c.k = a.k + 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, k) AS r FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest([n1, n2, n3]) AS no FROM ranked WHERE r > 1),
+kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.no) AS clean
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.no = g.no WHERE g.no IS NULL GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM worded GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(m.n, 0) AS n_removed, sha256(coalesce(kept.clean, '')) AS kept_sha256
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5, "op10_line_dedup": _OP10}
