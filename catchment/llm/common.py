@@ -63,12 +63,32 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage,
-    so a lost executor never repeats what came before."""
-    path = f"{shared_root(df.sparkSession)}/stage-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    so a lost executor never repeats what came before. The write's shuffle
+    files, which nothing reads again, are dropped when it is done."""
+    spark = df.sparkSession
+    path = f"{shared_root(spark)}/stage-{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing will read again."""
+    for df in staged:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

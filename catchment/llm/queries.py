@@ -15,6 +15,7 @@ from .decontaminate import find_contamination
 from .line_dedup import dedup_lines
 from .quality_rules import judge_quality
 from .sharding import assign_shards
+from .substring_dedup import dedup_substrings
 from .token_counts import count_tokens
 
 
@@ -56,6 +57,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("clean", 256).alias("kept_sha256")
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("clean", F.lit("")), 256).alias("kept_sha256")
@@ -68,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
@@ -99,6 +107,26 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+_OP9 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+low AS (SELECT g, min(doc_id) AS first FROM win GROUP BY 1 HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN low USING (g) WHERE first < doc_id),
+ps AS (SELECT doc_id, list(DISTINCT p) AS ps FROM gone GROUP BY 1),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS clean
+  FROM (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d) t
+  ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(clean, '')) AS kept_sha256
+FROM d LEFT JOIN ps USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 _OP10 = r"""
 WITH lines AS (
   SELECT doc_id, no, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t
@@ -120,4 +148,4 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(m.n, 0) AS n_removed, sha
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5, "op10_line_dedup": _OP10}
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10}
