@@ -13,6 +13,7 @@ from .byte_bpe import decode, encode, load_ranks, pack
 from .common import table
 from .decontaminate import find_contamination
 from .line_dedup import dedup_lines
+from .ngram_jaccard import jaccard_components
 from .quality_rules import judge_quality
 from .sharding import assign_shards
 from .substring_dedup import dedup_substrings
@@ -25,6 +26,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return find_contamination(docs, bench, [F.col("doc_id")]).select(
@@ -71,6 +76,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
@@ -79,6 +85,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
+_OP2 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 90 * (x.n + y.n - k)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id
+FROM d JOIN reach r ON r.a = d.doc_id LEFT JOIN n USING (doc_id) GROUP BY 1, 2
+"""
+
 _OP5 = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
@@ -148,4 +177,4 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(m.n, 0) AS n_removed, sha
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10}
+ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard": _OP2, "op5_decontamination": _OP5, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10}
