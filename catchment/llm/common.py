@@ -20,7 +20,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-CHUNK_BYTES = 8 << 20  # text handled at once inside a task
+CHUNK_BYTES = 2 << 20  # text handled at once inside a task
+BATCH_ROWS = 2000  # rows of an Arrow batch: texts are long
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -43,6 +44,7 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(package.rglob("*.py")):
             z.write(f, f.relative_to(package.parent))
     spark.sparkContext.addPyFile(archive)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     _shipped.add(app)
 
 
