@@ -18,6 +18,8 @@ from .quality_rules import judge_quality
 from .sharding import assign_shards
 from .substring_dedup import dedup_substrings
 from .token_counts import count_tokens
+from .toxicity import score_toxicity
+from .url_filter import filter_urls
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +32,15 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return find_contamination(docs, bench, [F.col("doc_id")]).select(
@@ -77,6 +88,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_url_filter": op3_url_filter,
+    "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
