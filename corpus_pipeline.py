@@ -1,19 +1,29 @@
 """Corpus pipeline: raw documents to tokenised training text.
 
-STAGES lists the stages in order; each is (name, function) and each function
+STAGES lists the stages in order; each is (name, function), and each function
 takes (spark, docs, sf_dir) and returns a DataFrame. ``run`` applies them to
-the documents table; every stage's rows are written as Parquet to the shared
+the documents table; a stage's rows are written as Parquet to the shared
 folder and read again as the next one's input, so a lost executor repeats one
-stage at most.
+stage at most. Every stage works on all that its predecessor kept, and all but
+the last return the columns of documents.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from catchment.llm.byte_bpe import encode, load_ranks
 from catchment.llm.common import ship, stage, table
+from catchment.llm.decontaminate import drop_contaminated
+from catchment.llm.line_dedup import drop_repeated_lines
+from catchment.llm.ngram_jaccard import one_per_component
 from catchment.llm.quality_rules import keep_quality
 
+# Near duplicates: word n-grams and the least similarity, NUM / DEN.
+NGRAM, NUM, DEN = 5, 80, 100
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised quality rules keep."""
@@ -21,8 +31,38 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_quality(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the runs of lines that earlier ones hold; those left
+    without a word go. ``n_chars`` follows the text."""
+    kept = drop_repeated_lines(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies."""
+    ship(spark)
+    return one_per_component(docs, NGRAM, NUM, DEN)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of words with a benchmark item."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document."""
+    ship(spark)
+    ranks = load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = docs.select("doc_id", "lang", "source", encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids"))
+    return ids.withColumn("n_tokens", F.size("ids").cast("long"))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontamination", decontamination),
+    ("byte_bpe", byte_bpe),
 ]
 
 # The label model and the byte-pair encoder have no SQL form; the tests hold
