@@ -7,7 +7,6 @@ partitioned tables are overwritten partition-by-partition.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,8 +35,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    file system) and must be set. Only a local session without it (tests)
+    gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +44,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="catchment-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
@@ -58,23 +59,18 @@ def get_spark(
 ) -> SparkSession:
     """Build (or reuse) a session with the library's settings.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master
-    is configured by ``spark-submit``.
+    Master, shuffle partitions and memory are the deployment's business:
+    nothing is set unless the caller passes it, so what ``spark-submit`` or
+    ``spark-defaults.conf`` say stays in force.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER") and "spark.master" not in (extra or {}):
-        master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     if master:
         builder = builder.master(master)
     conf = {
         **REQUIRED_CONF,
-        "spark.ui.enabled": "false",
         "spark.sql.ansi.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-        "spark.sql.files.maxPartitionBytes": "128m",
         "spark.sql.parquet.compression.codec": "zstd",
-        "spark.driver.memory": "8g",
+        **({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {}),
         **(extra or {}),
     }
     for key, value in conf.items():

@@ -20,7 +20,7 @@ def spark(scratch):
     s = get_spark(
         master="local[4]",
         shuffle_partitions=4,
-        extra={"spark.checkpoint.dir": f"{scratch}/checkpoints", "spark.driver.memory": "4g"},
+        extra={"spark.checkpoint.dir": f"{scratch}/checkpoints", "spark.driver.memory": "4g", "spark.ui.enabled": "false"},
     )
     yield s
     s.stop()

@@ -26,7 +26,7 @@ from catchment.sources.landing import write_landing_days  # noqa: E402
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    spark = get_spark(shuffle_partitions=8)
+    spark = get_spark(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g", "spark.ui.enabled": "false"})
     root = tempfile.mkdtemp(prefix="run-plans-", dir="/tmp")
     landing = f"{root}/landing"
     hydro = S.bronze_hydro(spark, sf).drop("event_id", "published_ts")
