@@ -14,6 +14,10 @@ class EmptyBatchError(ValueError):
     """A source returned no records; nothing may be written."""
 
 
+class ConstraintError(ValueError):
+    """A table would break one of its constraints; nothing may be written."""
+
+
 class RequiredFieldError(ValueError):
     """A record misses a required field."""
 

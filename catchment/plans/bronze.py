@@ -3,13 +3,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.keyed import DuplicateKeyError, duplicate_keys, latest_revision, merge_rows
-from ..operators.quality import EmptyBatchError, RequiredFieldError, require_fields
+from ..operators.keyed import DuplicateKeyError, latest_revision, merge_rows
+from ..operators.quality import EmptyBatchError, RequiredFieldError
 from ..schemas import HYDRO_KEY, HYDRO_RAW, HYDRO_REQUIRED, METEO_KEY, METEO_RAW, METEO_REQUIRED
 from ..sources.store import Lakehouse
 
@@ -29,59 +29,83 @@ def partition_day(source: str) -> Column:
     return F.make_date("aasta", "kuu", "paev")
 
 
-def _file_order(df: DataFrame) -> Column:
-    cols = [c for c in ("file_date", "file_modified_at") if c in df.columns]
-    return F.struct(*[F.col(c) for c in cols]) if cols else F.lit(0)
+def _present(df: DataFrame, *names: str) -> list[Column]:
+    return [F.col(c) for c in names if c in df.columns]
 
 
-def batch_profile(source: str, raw: DataFrame) -> tuple[int, int]:
-    """One pass over a raw batch: (records, records missing a required field)."""
-    missing = F.lit(False)
-    for c in REQUIRED[source]:
-        missing = missing | F.col(c).isNull()
-    r = raw.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(missing, 1)).alias("bad")).first()
-    return int(r["n"]), int(r["bad"])
+def _landing_order(df: DataFrame) -> list[Column]:
+    """Which landing of a record is later: by file date, then (one date landed
+    again) by the time of the raw file."""
+    return _present(df, "file_date", "relanded_at")
+
 
+def _record_order(df: DataFrame) -> Column:
+    """Position of a record inside its landing unit."""
+    cols = _present(df, "source_file", "file_offset", "record_pos")
+    return F.struct(*cols) if cols else F.lit(0)
+
+
+@dataclass
+class BatchProfile:
+    """What one pass over a raw batch finds."""
 
-def prepare_batch(source: str, raw: DataFrame, on_duplicate: str = "fail", checked: bool = False) -> DataFrame:
-    """One row per key from records of one or more landing files.
+    records: int
+    missing: int  # records without a required field
+    repeated: int  # keys that one landing unit holds more than once
+    undated: int  # of those, keys with a record without publication time
+    days: set  # file dates that hold a record
 
-    * required fields must be present (else the whole batch fails; pass
-      ``checked=True`` when :func:`batch_profile` already verified it);
-    * across files the later file wins (as day-by-day ingestion in file-date
-      order would do);
-    * hydro: a key twice *within* one file fails (``on_duplicate="fail"``) or
+
+def batch_profile(source: str, raw: DataFrame) -> BatchProfile:
+    """All checks of a raw batch in one pass: records per (key, landing unit),
+    pre-aggregated before the shuffle, then summed up."""
+    missing = F.lit(False)
+    for c in REQUIRED[source]:
+        missing = missing | F.col(c).isNull()
+    undated = F.col("avaandmed_ts").isNull() if "avaandmed_ts" in raw.columns else F.lit(False)
+    unit = [c for c in ("file_date", "landing_unit") if c in raw.columns]
+    per_key = raw.groupBy(*KEYS[source], *unit).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(undated, 1)).alias("undated"), F.max(missing).alias("missing")
+    )
+    days = F.collect_set("file_date") if "file_date" in unit else F.array()
+    r = per_key.agg(
+        F.sum("n").alias("records"),
+        F.sum(F.when(F.col("missing"), F.col("n"))).alias("missing"),
+        F.count(F.when((F.col("n") > 1) & ~F.col("missing"), 1)).alias("repeated"),
+        F.count(F.when((F.col("n") > 1) & (F.col("undated") > 0), 1)).alias("undated"),
+        days.alias("days"),
+    ).first()
+    return BatchProfile(int(r["records"] or 0), int(r["missing"] or 0), int(r["repeated"]), int(r["undated"]), set(r["days"]))
+
+
+def prepare_batch(source: str, raw: DataFrame, on_duplicate: str = "fail", profile: BatchProfile | None = None) -> DataFrame:
+    """One row per key from the records of one or more landing units.
+
+    * required fields must be present (else the whole batch fails);
+    * across units the later one wins (file date, then re-landing time), as
+      day-by-day ingestion in file-date order would do;
+    * hydro: a key twice *within* one unit fails (``on_duplicate="fail"``) or
       the later record wins (``"last"``);
-    * meteo: within a file the latest ``avaandmed_ts`` wins, the first record
-      on equal times; ``avaandmed_ts`` must be present where a key repeats.
+    * meteo: within a file date the latest ``avaandmed_ts`` wins, in whichever
+      part file it stands, the first record on equal times; ``avaandmed_ts``
+      must be present where a key repeats.
     One window over the key decides all of it, pre-limited before the shuffle.
+    ``profile`` takes the checks from a pass that already ran.
     """
+    if on_duplicate not in ("fail", "last"):
+        raise ValueError(on_duplicate)
     keys = KEYS[source]
-    if not checked:
-        require_fields(raw, REQUIRED[source], "fail")
-    file_col = "source_file" if "source_file" in raw.columns else None
-    pos = F.col("record_pos") if "record_pos" in raw.columns else F.lit(0)
-    per_file = keys + ([file_col] if file_col else [])
+    p = profile or batch_profile(source, raw)
+    if p.missing:
+        raise RequiredFieldError(f"{source}: {p.missing} records without required fields {REQUIRED[source]}")
     if source == "hydro":
-        if on_duplicate == "fail":
-            if not duplicate_keys(raw, per_file).isEmpty():
-                raise DuplicateKeyError(f"hydro batch repeats a key {keys} inside one file")
-            version = _file_order(raw)
-        elif on_duplicate == "last":
-            version = F.struct(_file_order(raw), pos)
-        else:
-            raise ValueError(on_duplicate)
-        return latest_revision(raw, keys, version)
-    # a repeated key needs publication times to pick the winner
-    undated = (
-        raw.groupBy(*per_file)
-        .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("avaandmed_ts").isNull(), 1)).alias("n_undated"))
-        .filter((F.col("n") > 1) & (F.col("n_undated") > 0))
-    )
-    if not undated.isEmpty():
-        raise RequiredFieldError("meteo records repeat a key without avaandmed_ts")
-    version = F.struct(_file_order(raw), F.col("avaandmed_ts"))
-    return latest_revision(raw, keys, version, pos)
+        if p.repeated and on_duplicate == "fail":
+            raise DuplicateKeyError(f"hydro batch repeats {p.repeated} keys {keys} inside one landing")
+        return latest_revision(raw, keys, F.struct(*_landing_order(raw), _record_order(raw).alias("pos")))
+    if p.undated:
+        raise RequiredFieldError(f"meteo: {p.undated} keys repeat without avaandmed_ts")
+    version = F.struct(*_present(raw, "file_date"), F.col("avaandmed_ts"), *_present(raw, "relanded_at"))
+    return latest_revision(raw, keys, version, _record_order(raw))
 
 
 @dataclass
@@ -89,6 +113,7 @@ class LoadResult:
     rows_processed: int
     rows_loaded: int
     days: list
+    missing_days: list = field(default_factory=list)
 
 
 def upsert_bronze(lake: Lakehouse, source: str, batch: DataFrame, loaded_at: Column | None = None) -> LoadResult:

@@ -7,21 +7,27 @@ all row work runs in Spark. Every step is logged as run events (AUD-2).
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.history import VALID_FROM, VALID_TO, scd2_apply, scd2_pending_changes
-from ..operators.keyed import changed_count, classify_changes, merge_rows
-from ..operators.quality import EmptyBatchError, RequiredFieldError
+from ..operators.keyed import changed_count, classify_changes, latest_revision, merge_rows
+from ..operators.quality import ConstraintError, EmptyBatchError, key_violations, null_violations, range_violations
 from ..schemas import (
+    HYDRO_HISTORY,
     HYDRO_STATION_CHECK,
+    HYDRO_STATIONS,
     METEO_RAW,
-    LOCAL_TZ,
     METEO_STATION_CHECK,
+    METEO_STATIONS,
+    PROXIMITY,
     PROXIMITY_K,
     PROXIMITY_KEY,
+    RUN_LOG,
     SOURCE_LAG_DAYS,
 )
 from ..session import configure
@@ -37,6 +43,9 @@ from .silver import silver_hydro, silver_meteo
 DAG_DAILY = "daily_load"
 DAG_SEED = "station_seed"
 
+# What every day of silver and gold depends on.
+REFERENCE_TABLES = ["ref.hydro_stations", "ref.meteo_stations", "ref.station_proximity", "snapshots.snap_hydro_stations"]
+
 
 def target_date(interval_start: dt.date, lag_days: int = SOURCE_LAG_DAYS) -> dt.date:
     """TIM-6: the day a run loads (interval start minus the source lag)."""
@@ -49,6 +58,12 @@ def _ts(value: dt.datetime | None) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
 
+def around(days: Iterable[dt.date]) -> list[dt.date]:
+    """The days, the ones before and the ones after: wherever the zone lies,
+    a local day's hours fall into these UTC days, and the reverse."""
+    return sorted({d + dt.timedelta(days=i) for d in days for i in (-1, 0, 1)})
+
+
 class Pipeline:
     """The lakehouse jobs over one table store and one landing area.
 
@@ -56,12 +71,12 @@ class Pipeline:
     ``<s>_<day>.json`` arrays under ``source=<s>``).
     """
 
-    def __init__(self, spark: SparkSession, root: str, landing_root: str, tz: str = LOCAL_TZ):
+    def __init__(self, spark: SparkSession, root: str, landing_root: str):
         self.spark = configure(spark)
         self.lake = Lakehouse(spark, f"{root}/tables")
         self.landing_root = landing_root.rstrip("/")
         self.log = RunLog(spark, f"{root}/tables/bronze/run_log")
-        self.tz = tz
+        self.root = root.rstrip("/")
 
     def register_views(self) -> list[str]:
         """Temp views over the lake tables plus ``bronze_etl_log``: the current
@@ -92,24 +107,49 @@ class Pipeline:
             return self.spark.createDataFrame([], read_landing_schema(source))
         return read_landing(self.spark, source, paths)
 
-    def ingest(self, source: str, days: Iterable[dt.date] | None, on_duplicate: str = "fail", run_ts=None):
+    def ingest(self, source: str, days: Iterable[dt.date] | None, on_duplicate: str = "fail", run_ts=None, on_missing: str = "fail"):
         """Read landed files of ``days`` (all when None), validate, collapse to
-        one row per key, upsert into bronze. Returns the load result."""
+        one row per key, upsert into bronze. Returns the load result.
+
+        Every requested day must hold records, as a day-by-day load demands:
+        nothing is written if one has none, unless ``on_missing="skip"``,
+        which logs that day's run as ``skipped``. The landed records are
+        parsed once (kept while the checks and the write use them)."""
         days = list(days) if days is not None else None
         target = days[0] if days and len(days) == 1 else None
         with logged_run(self.log, DAG_DAILY, f"ingest_{source}", target_date=target) as run:
-            raw = self.landed(source, days)
-            processed, missing = batch_profile(source, raw)
-            if processed == 0:
-                raise EmptyBatchError(f"landing {source} {days}: empty batch, nothing written")
-            if missing:
-                raise RequiredFieldError(f"landing {source} {days}: {missing} records without required fields")
-            batch = prepare_batch(source, raw, on_duplicate, checked=True)
-            result = upsert_bronze(self.lake, source, batch, _ts(run_ts))
-            result.rows_processed = processed
-            run.set(rows_processed=processed, rows_loaded=result.rows_loaded)
+            raw = self.landed(source, days).persist()
+            try:
+                found = batch_profile(source, raw)
+                if found.records == 0:
+                    raise EmptyBatchError(f"landing {source} {days}: empty batch, nothing written")
+                absent = sorted(set(days or ()) - found.days)
+                if absent and on_missing != "skip":
+                    raise EmptyBatchError(f"landing {source}: empty batch for {', '.join(map(str, absent))}, nothing written")
+                result = upsert_bronze(self.lake, source, prepare_batch(source, raw, on_duplicate, found), _ts(run_ts))
+            finally:
+                raw.unpersist()
+            result.rows_processed, result.missing_days = found.records, absent
+            run.set(
+                rows_processed=found.records,
+                rows_loaded=result.rows_loaded,
+                rows_deduplicated=found.records - result.rows_loaded,
+            )
+        if target is None and days:
+            self._log_days(f"ingest_{source}", days, absent)
         return result
 
+    def _log_days(self, task_id: str, days: list[dt.date], absent: list[dt.date]) -> None:
+        """One finished run per day of a range load, so day coverage sees it."""
+        now = dt.datetime.now(dt.timezone.utc)
+        blank = dict.fromkeys(f.name for f in RUN_LOG.fields)
+        rows = [
+            {**blank, "run_id": str(uuid.uuid4()), "event_time": now, "dag_id": DAG_DAILY, "task_id": task_id,
+             "target_date": d, "seq": 1, "status": "skipped" if d in absent else "success"}
+            for d in days
+        ]
+        self.spark.createDataFrame(rows, RUN_LOG).coalesce(1).write.mode("append").parquet(self.log.path)
+
     # ------------------------------------------------------------ reference
     def load_stations(self, kind: str, path: str, run_ts=None) -> int:
         """UPS-3/4: upsert-if-changed of a station seed; returns changed rows."""
@@ -117,7 +157,10 @@ class Pipeline:
         reader = read_hydro_stations if kind == "hydro" else read_meteo_stations
         check = HYDRO_STATION_CHECK if kind == "hydro" else METEO_STATION_CHECK
         with logged_run(self.log, DAG_SEED, f"load_{kind}_stations", source_file=path) as run:
-            incoming = reader(self.spark, path).withColumn("loaded_at", _ts(run_ts))
+            # a code that the file repeats: its last row counts, as row-by-row upserts end
+            place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+            incoming = latest_revision(reader(self.spark, path, place), ["station_code"], "_place").drop("_place")
+            incoming = incoming.withColumn("loaded_at", _ts(run_ts))
             current = self.lake.read(name)
             if current is None:
                 classified = incoming.withColumn("_action", F.lit("insert"))
@@ -126,7 +169,10 @@ class Pipeline:
             classified = classified.persist()
             changed = changed_count(classified)
             if changed:
-                self.lake.write_version(name, classified.drop("_action"))
+                out = classified.drop("_action")
+                required = [f.name for f in (HYDRO_STATIONS if kind == "hydro" else METEO_STATIONS).fields if not f.nullable]
+                self._check(name, out, ["station_code"], required)
+                self.lake.write_version(name, out)
             classified.unpersist()
             run.set(rows_processed=changed, rows_loaded=changed)
         return changed
@@ -136,16 +182,27 @@ class Pipeline:
         current = self.lake.read("ref.station_proximity")
         if hydro_changed == 0 and meteo_changed == 0 and current is not None and not current.isEmpty():
             return 0
-        with logged_run(self.log, DAG_SEED, "calculate_proximity") as run:
+        with logged_run(self.log, DAG_SEED, "refresh_proximity") as run:
             new = proximity_matrix(
                 self.lake.read("ref.hydro_stations"), self.lake.read("ref.meteo_stations"), PROXIMITY_K
             ).withColumn("loaded_at", _ts(run_ts))
             merged = new if current is None else merge_rows(current.select(*new.columns), new, PROXIMITY_KEY)
+            ranks = range_violations(merged, "proximity_rank", 1, PROXIMITY_K)
+            self._check("ref.station_proximity", merged, PROXIMITY_KEY, [f.name for f in PROXIMITY.fields if not f.nullable], ranks)
             self.lake.write_version("ref.station_proximity", merged)
             n = new.count()
             run.set(rows_loaded=n)
         return n
 
+    def _check(self, name: str, df: DataFrame, keys: list[str], required: list[str], *more: DataFrame) -> None:
+        """DQ-1..4 before a reference table is written: unique keys, required
+        columns, and whatever else the table constrains (frames of offenders)."""
+        frames = {"a repeated key": key_violations(df, keys), "a NULL in a required column": null_violations(df, required, keys)}
+        frames |= {"a value out of range": x for x in more}
+        for what, bad in frames.items():
+            if not bad.isEmpty():
+                raise ConstraintError(f"{name}: {what}, nothing written")
+
     def snapshot(self, as_of: dt.datetime | None = None) -> None:
         """SCD-1/2: one check-strategy snapshot of both station tables."""
         as_of_col = _ts(as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
@@ -173,29 +230,34 @@ class Pipeline:
         bh = self.lake.read("bronze.hydro") if utc_days is None else self.lake.read_partitions("bronze.hydro", utc_days)
         if bh is None:
             return None
-        hist = self.lake.read("snapshots.snap_hydro_stations")
-        stations = self.lake.read("ref.hydro_stations")
+        # before the first seed the reference tables exist but are empty
+        stations = self._read_or_empty("ref.hydro_stations", HYDRO_STATIONS)
+        hist = self._read_or_empty("snapshots.snap_hydro_stations", HYDRO_HISTORY)
         return silver_hydro(bh, hist, stations, VALID_FROM, VALID_TO).withColumn("dt", F.to_date("timeline_ts_utc"))
 
+    def _read_or_empty(self, name: str, schema) -> DataFrame:
+        df = self.lake.read(name)
+        return self.spark.createDataFrame([], schema) if df is None else df
+
     def silver_meteo_frame(self, utc_days: list | None = None) -> DataFrame | None:
-        """SIL-2 for the given UTC days: a UTC day is made of two local
-        calendar days of bronze.meteo, so both are read and the result is cut
-        back to the requested days."""
+        """SIL-2 for the given UTC days: local calendar days from the day before
+        to the day after hold a UTC day's hours whatever the zone, so those
+        are read and the result is cut back to the requested days."""
         if utc_days is None:
             bm = self.lake.read("bronze.meteo")
         else:
-            local = sorted({d for u in utc_days for d in (u, u + dt.timedelta(days=1))})
+            local = around(utc_days)
             bm = self.lake.read_partitions("bronze.meteo", local)
         if bm is None:
             return None
-        sm = silver_meteo(bm, self.tz).withColumn("dt", F.to_date("observation_ts"))
+        sm = silver_meteo(bm).withColumn("dt", F.to_date("observation_ts"))
         if utc_days is not None:
             sm = sm.filter(F.col("dt").isin(utc_days))
         return sm
 
     def _empty_silver_meteo(self) -> DataFrame:
         empty = self.spark.createDataFrame([], METEO_RAW)
-        return silver_meteo(empty, self.tz).withColumn("dt", F.to_date("observation_ts"))
+        return silver_meteo(empty).withColumn("dt", F.to_date("observation_ts"))
 
     def build_silver(self, utc_days: list | None = None) -> None:
         """SIL-1/2 for the given UTC days (all when None)."""
@@ -239,9 +301,8 @@ class Pipeline:
         return gold_hydro_meteo(
             sh,
             sm,
-            self.lake.read("ref.station_proximity"),
-            self.lake.read("ref.meteo_stations"),
-            self.tz,
+            self._read_or_empty("ref.station_proximity", PROXIMITY),
+            self._read_or_empty("ref.meteo_stations", METEO_STATIONS),
             meteo_names_from=names,
         ).withColumn("dt", F.to_date("timeline_ts_utc"))
 
@@ -252,11 +313,39 @@ class Pipeline:
             self.lake.overwrite_partitions("gold.hydro_meteo", gold)
 
     def build(self, utc_days: list | None = None, as_of: dt.datetime | None = None) -> None:
-        """Model build: snapshots, then silver, then gold."""
+        """Model build: snapshots, then silver, then gold.
+
+        The result is that of a full build. Given days are enough while what
+        all days depend on is as it was at the last build: station tables,
+        histories and proximity (their versions), and the weather stations'
+        names. If one has changed, every day of the tables that read it is
+        built again."""
         with logged_run(self.log, DAG_DAILY, "build"):
             self.snapshot(as_of)
+            before = json.loads(self.lake.fs.read_text(self._built_path) or "{}")
+            versions = {n: self.lake.current_version(n) for n in REFERENCE_TABLES}
+            if before.get("versions") != versions:
+                utc_days = None
             self.build_silver(utc_days)
-            self.build_gold(utc_days)
+            names = self._names_mark()
+            if before.get("names") != names:
+                self.build_gold(None)
+            else:
+                self.build_gold(utc_days)
+            self.lake.fs.write_text(self._built_path, json.dumps({"versions": versions, "names": names}))
+
+    @property
+    def _built_path(self) -> str:
+        return f"{self.root}/tables/_BUILT"
+
+    def _names_mark(self) -> list:
+        """Number and hash sum of the distinct weather station names."""
+        names = self.lake.read("silver.meteo_station_names")
+        if names is None:
+            return []
+        pairs = names.select("jaam_kood", "jaam_nimi").distinct()
+        r = pairs.agg(F.count("*").alias("n"), F.sum((F.xxhash64("jaam_kood", "jaam_nimi") / 2**20).cast("long")).alias("h")).first()
+        return [r["n"], r["h"]]
 
     # ----------------------------------------------------------------- jobs
     def run_day(self, day: dt.date, as_of: dt.datetime | None = None, on_duplicate: str = "fail") -> dict:
@@ -267,7 +356,7 @@ class Pipeline:
         """
         h = self.ingest("hydro", [day], on_duplicate, as_of)
         m = self.ingest("meteo", [day], run_ts=as_of)
-        touched = sorted(set(h.days) | {d - dt.timedelta(days=1) for d in m.days} | set(m.days))
+        touched = sorted(set(h.days) | set(around(m.days)))
         self.build(touched, as_of)
         return {"hydro_rows": h.rows_loaded, "meteo_rows": m.rows_loaded, "days": touched}
 
@@ -276,13 +365,18 @@ class Pipeline:
         day ``interval_start - lag_days``."""
         return self.run_day(target_date(interval_start, lag_days), **kw)
 
-    def run_range(self, start: dt.date, end: dt.date, as_of: dt.datetime | None = None) -> dict:
+    def run_range(
+        self, start: dt.date, end: dt.date, as_of: dt.datetime | None = None, on_duplicate: str = "fail", on_missing: str = "fail"
+    ) -> dict:
         """JOB-3: backfill ``[start, end]`` in one pass: all files at once,
         later files win per key (same result as day-by-day ascending), one
-        upsert per table, one build of the touched days."""
+        upsert per table, one build of the touched days. A day without
+        records fails the load; ``on_missing="skip"`` loads the others and
+        returns the missing days."""
         days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
-        h = self.ingest("hydro", days, run_ts=as_of)
-        m = self.ingest("meteo", days, run_ts=as_of)
-        touched = sorted(set(h.days) | {d - dt.timedelta(days=1) for d in m.days} | set(m.days))
+        h = self.ingest("hydro", days, on_duplicate, as_of, on_missing)
+        m = self.ingest("meteo", days, run_ts=as_of, on_missing=on_missing)
+        touched = sorted(set(h.days) | set(around(m.days)))
         self.build(touched, as_of)
-        return {"hydro_rows": h.rows_loaded, "meteo_rows": m.rows_loaded, "days": touched}
+        missing = {"hydro": h.missing_days, "meteo": m.missing_days}
+        return {"hydro_rows": h.rows_loaded, "meteo_rows": m.rows_loaded, "days": touched, "missing": missing}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-DEC = T.DecimalType(18, 6)
+# unbounded NUMERIC in the sources: wide enough that published values are not rounded
+DEC = T.DecimalType(34, 16)
 DIST = T.DecimalType(9, 3)
 
 # --- fixed values -----------------------------------------------------------
@@ -126,6 +127,10 @@ HYDRO_STATIONS = T.StructType(
     ]
 )
 
+HYDRO_HISTORY = T.StructType(
+    list(HYDRO_STATIONS.fields) + [T.StructField("valid_from", T.TimestampType()), T.StructField("valid_to", T.TimestampType())]
+)
+
 METEO_STATION_COLS = [
     "station_code",
     "station_category",
@@ -167,9 +172,11 @@ RUN_LOG = T.StructType(
         T.StructField("task_id", T.StringType()),
         T.StructField("target_date", T.DateType()),
         T.StructField("source_file", T.StringType()),
+        T.StructField("seq", T.IntegerType()),
         T.StructField("status", T.StringType(), False),
         T.StructField("rows_processed", T.LongType()),
         T.StructField("rows_loaded", T.LongType()),
+        T.StructField("rows_deduplicated", T.LongType()),
         T.StructField("error_message", T.StringType()),
     ]
 )

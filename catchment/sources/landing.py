@@ -31,29 +31,40 @@ def _json_reader(spark: SparkSession, schema: T.StructType):
 
 
 def with_file_columns(df: DataFrame) -> DataFrame:
-    """Add ``source_file``, ``file_modified_at`` and ``file_date`` (TIM-7;
-    falls back to the ``dt=`` folder of landed JSON lines)."""
+    """Add where each record was landed:
+
+    * ``file_date``: the day in the file name (TIM-7), else of the ``dt=`` folder;
+    * ``landing_unit``: what was landed at once - one raw array file, or all
+      part files of a ``dt=`` folder together;
+    * ``relanded_at``: modification time of a raw file, NULL for folders, so a
+      raw file dropped beside a day's folder is the later landing of that day;
+    * ``source_file`` and ``file_offset``: with ``record_pos`` the record order
+      inside a landing unit.
+    """
     day_dir = F.regexp_extract(F.col("_metadata.file_path"), r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
     landed_day = F.when(day_dir != "", day_dir.cast("date"))
+    name = F.col("_metadata.file_name")
+    in_folder = file_date(name).isNull() & landed_day.isNotNull()
     return df.select(
         *[F.col(c) for c in df.columns],
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("file_modified_at"),
-        F.coalesce(file_date(F.col("_metadata.file_name")), landed_day).alias("file_date"),
+        name.alias("source_file"),
+        F.col("_metadata.file_block_start").alias("file_offset"),
+        F.when(in_folder, F.concat(F.lit("dt="), day_dir)).otherwise(name).alias("landing_unit"),
+        F.when(~in_folder, F.col("_metadata.file_modification_time")).alias("relanded_at"),
+        F.coalesce(file_date(name), landed_day).alias("file_date"),
     )
 
 
 def with_record_pos(df: DataFrame) -> DataFrame:
-    """Add ``record_pos``. A JSON-array file is one line, hence one split, so
-    the id increases in record order inside such a file."""
+    """Add ``record_pos``: increases in record order inside one file split, so
+    (``source_file``, ``file_offset``, ``record_pos``) orders a landing unit."""
     return df.withColumn("record_pos", F.monotonically_increasing_id())
 
 
 def read_landing(spark: SparkSession, source: str, path: str | list[str]) -> DataFrame:
     """SRC-1/2: read landed records with the declared schema.
 
-    Adds ``source_file``, ``file_modified_at``, ``file_date`` and
-    ``record_pos`` (position, for the "first record stays" tiebreak).
+    Adds the columns of :func:`with_file_columns` and ``record_pos``.
     Missing optional keys read as NULL; required ones are checked with
     :func:`catchment.operators.require_fields`.
     """
@@ -68,7 +79,9 @@ def read_landing_schema(source: str) -> T.StructType:
         list(RAW_SCHEMAS[source].fields)
         + [
             T.StructField("source_file", T.StringType()),
-            T.StructField("file_modified_at", T.TimestampType()),
+            T.StructField("file_offset", T.LongType()),
+            T.StructField("landing_unit", T.StringType()),
+            T.StructField("relanded_at", T.TimestampType()),
             T.StructField("file_date", T.DateType()),
             T.StructField("record_pos", T.LongType()),
         ]

@@ -2,9 +2,8 @@
 
 Raw landing files older than the retention window (by the date in their
 name, not by modification time) are compressed into an archive laid out by
-source / year / month of that date, then removed from the landing area.
-Work is a Spark job over the file listing: listing, date parsing, the
-split, and the archive write are all distributed.
+source / year / month / day of that date, then removed from the landing
+area. Listing, date parsing, the split, and the archive write are Spark jobs.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.timeconv import file_date
 from ..schemas import RETENTION_DAYS
+from .landing import RAW_SCHEMAS, read_landing
+from .store import _FS
 
 
 def list_raw_files(spark: SparkSession, raw_dirs: dict[str, str]) -> DataFrame:
@@ -87,6 +88,11 @@ def retention_counts(plan: DataFrame) -> DataFrame:
     return plan.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_files"))
 
 
+def _paths(fs, raw_dir: str, day) -> list[str]:
+    """What holds a day in a raw dir: dated files and the ``dt=`` folder."""
+    return fs.glob(f"{raw_dir}/*_{day}.json") + fs.glob(f"{raw_dir}/dt={day}")
+
+
 def archive_landing_files(
     spark: SparkSession,
     raw_dirs: dict[str, str],
@@ -94,51 +100,47 @@ def archive_landing_files(
     as_of: dt.date | None = None,
     max_age_days: int = RETENTION_DAYS,
 ) -> dict[str, int]:
-    """RET-1: compress old raw files into ``archive_root/source=/year=/month=/file_name=``.
-
-    Each archived file becomes one record ``{file_name, content}`` in gzip
-    JSON; an archived file of the same name is replaced. Raw files are deleted only after the archive holds every one
-    of them. Returns the outcome counts.
+    """RET-1: move old landed days into an archive that reads back.
+
+    The records of the archived days are written as gzip JSON lines under
+    ``source=/year=/month=/dt=<day>/unit=<what was landed>`` by all tasks in
+    parallel; :func:`catchment.sources.landing.read_landing` reads any part of
+    it as it reads the landing area. Archiving the same file or folder again
+    replaces it. The raw files of a day are deleted only when the archive
+    holds as many records of each unit as were read. Only days and counts
+    reach the driver. Returns the outcome counts.
     """
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
-    plan = plan_retention(list_raw_files(spark, raw_dirs), as_of, max_age_days).cache()
+    plan = plan_retention(list_raw_files(spark, raw_dirs), as_of, max_age_days)
     counts = {r["outcome"]: r["n_files"] for r in retention_counts(plan).collect()}
-    to_move = plan.filter(F.col("outcome") == "archived")
-    n_move = counts.get("archived", 0)
-    if n_move:
-        paths = [r["file_path"] for r in to_move.select("file_path").collect()]
-        content = (
-            spark.read.option("wholetext", True)
-            .text(paths)
-            .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("content"))
+    old = plan.filter(F.col("outcome") == "archived").groupBy("source").agg(F.collect_set("file_date").alias("days")).collect()
+    fs = _FS(spark)
+    for row in old:
+        source = row["source"]
+        paths = [p for d in sorted(row["days"]) for p in _paths(fs, raw_dirs[source].rstrip("/"), d)]
+        records = read_landing(spark, source, paths)
+        landed = [f.name for f in RAW_SCHEMAS[source].fields]
+        unit = F.regexp_replace("landing_unit", "[=/]", "-").alias("unit")
+        held = records.select(*landed, unit, F.lit(source).alias("source"), F.date_format("file_date", "yyyy").alias("year"),
+                              F.date_format("file_date", "MM").alias("month"), F.col("file_date").cast("string").alias("dt"))
+        parts = ["source", "year", "month", "dt", "unit"]
+        (
+            held.hint("rebalance", "dt", "unit")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "gzip")
+            .option("ignoreNullFields", "false")
+            .partitionBy(*parts)
+            .json(archive_root)
         )
-        payload = content.join(to_move, "file_path").select(
-            "content",
-            F.col("source"),
-            F.col("archive_year").alias("year"),
-            F.col("archive_month").alias("month"),
-            "file_name",
-        )
-        # One partition per archived file: re-archiving a name replaces only
-        # that file, other files of the month stay.
-        payload.write.mode("overwrite").partitionBy("source", "year", "month", "file_name").option(
-            "compression", "gzip"
-        ).json(archive_root)
-        written = [
-            f"{archive_root}/source={r['source']}/year={r['archive_year']}/month={r['archive_month']}/file_name={r['file_name']}"
-            for r in to_move.select("source", "archive_year", "archive_month", "file_name").collect()
-        ]
-        stored = spark.read.option("basePath", archive_root).json(written)
-        if stored.select("file_name").distinct().count() < n_move:
-            raise RuntimeError("archive is missing files; raw files kept")
-        _delete_paths(spark, paths)
-    plan.unpersist()
+        days = ",".join(str(d) for d in sorted(row["days"]))
+        stored = fs.glob(f"{archive_root}/source={source}/year=*/month=*/dt={{{days}}}")
+        want = {(r["dt"], r["unit"]): r["n"] for r in held.groupBy("dt", "unit").agg(F.count(F.lit(1)).alias("n")).collect()}
+        path = F.col("_metadata.file_path")
+        back = spark.read.option("recursiveFileLookup", "true").text(stored).select(F.regexp_extract(path, "/dt=([^/]+)", 1).alias("dt"), F.regexp_extract(path, "/unit=([^/]+)", 1).alias("unit")) if stored else None
+        got = {} if back is None else {(r["dt"], r["unit"]): r["n"] for r in back.groupBy("dt", "unit").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if any(got.get(k) != n for k, n in want.items()):
+            raise RuntimeError(f"archive of {source} is missing records; raw files kept")
+        for p in paths:
+            fs.delete(p)
     return {k: counts.get(k, 0) for k in ("archived", "skipped", "unrecognised")}
-
-
-def _delete_paths(spark: SparkSession, paths: list[str]) -> None:
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, False)

@@ -9,7 +9,7 @@ numbers are cast with ANSI semantics (bad text raises), and booleans are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,9 @@ from ..functions.predicates import empty_to_null, text_flag
 from ..schemas import DEC, HYDRO_STATION_COLS, METEO_STATION_COLS
 
 
-def _read_text_csv(spark: SparkSession, path: str, cols: list[str]) -> DataFrame:
+def _read_text_csv(spark: SparkSession, path: str, cols: list[str], place: Column | None = None) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    return (
+    df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("encoding", "UTF-8")
@@ -28,6 +28,11 @@ def _read_text_csv(spark: SparkSession, path: str, cols: list[str]) -> DataFrame
         .option("emptyValue", "")
         .csv(path)
     )
+    return df if place is None else df.select(*cols, place.alias("_place"))
+
+
+def _kept(text: DataFrame) -> list[str]:
+    return ["_place"] if "_place" in text.columns else []
 
 
 def clean_hydro_stations(text: DataFrame) -> DataFrame:
@@ -46,6 +51,7 @@ def clean_hydro_stations(text: DataFrame) -> DataFrame:
         F.col("latitude").cast(DEC).alias("latitude"),
         F.col("longitude").cast(DEC).alias("longitude"),
         text_flag("is_active").alias("is_active"),
+        *_kept(text),
     )
 
 
@@ -59,14 +65,16 @@ def clean_meteo_stations(text: DataFrame) -> DataFrame:
         F.col("longitude").cast(DEC).alias("longitude"),
         empty_to_null("altitude_m").cast(DEC).alias("altitude_m"),
         text_flag("is_active").alias("is_active"),
+        *_kept(text),
     )
 
 
-def read_hydro_stations(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-8: hydro station seed -> typed table."""
-    return clean_hydro_stations(_read_text_csv(spark, path, HYDRO_STATION_COLS))
+def read_hydro_stations(spark: SparkSession, path: str, place: Column | None = None) -> DataFrame:
+    """SRC-8: hydro station seed -> typed table; ``place`` (an expression over
+    the file rows) is carried as ``_place``, for the order of repeated codes."""
+    return clean_hydro_stations(_read_text_csv(spark, path, HYDRO_STATION_COLS, place))
 
 
-def read_meteo_stations(spark: SparkSession, path: str) -> DataFrame:
+def read_meteo_stations(spark: SparkSession, path: str, place: Column | None = None) -> DataFrame:
     """SRC-9: meteo station seed -> typed table."""
-    return clean_meteo_stations(_read_text_csv(spark, path, METEO_STATION_COLS))
+    return clean_meteo_stations(_read_text_csv(spark, path, METEO_STATION_COLS, place))

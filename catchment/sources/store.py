@@ -33,6 +33,7 @@ class _FS:
 
     def __init__(self, spark: SparkSession):
         self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsc.hadoopConfiguration()
 
     def _p(self, path: str):
@@ -50,9 +51,12 @@ class _FS:
         out = fs.create(self._p(tmp), True)
         out.write(bytearray(text.encode("utf-8")))
         out.close()
-        if fs.exists(self._p(path)):
-            fs.delete(self._p(path), False)
-        fs.rename(self._p(tmp), self._p(path))
+        # one replacing rename: a reader sees the old or the new text, never none
+        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        replace = self._gateway.new_array(rename, 1)
+        replace[0] = rename.OVERWRITE
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
+        context.rename(self._p(tmp), self._p(path), replace)
 
     def read_text(self, path: str) -> str | None:
         if not self.exists(path):
@@ -83,11 +87,10 @@ class _FS:
 class Lakehouse:
     """Named tables under ``root``: ``schema.table`` -> ``root/schema/table``."""
 
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 5):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fs = _FS(spark)
-        self.keep_versions = keep_versions
 
     def path(self, name: str) -> str:
         schema, table = name.split(".", 1)
@@ -98,9 +101,26 @@ class Lakehouse:
         if name in PARTITIONED:
             p = self.path(name)
             return p if self.fs.exists(p) else None
-        version = self.fs.read_text(f"{self.path(name)}/_CURRENT")
+        version = self.current_version(name)
         return f"{self.path(name)}/{version}" if version else None
 
+    def current_version(self, name: str) -> str | None:
+        """The version that the pointer names; without a pointer the newest
+        committed one. A folder with versions but none committed is an error,
+        not an empty table: history must not start afresh unnoticed."""
+        version = self.fs.read_text(f"{self.path(name)}/_CURRENT")
+        if version:
+            return version
+        versions = self.versions(name)
+        done = [v for v in versions if self.fs.exists(f"{self.path(name)}/{v}/_SUCCESS")]
+        if versions and not done:
+            raise RuntimeError(f"{name}: no pointer and no committed version under {self.path(name)}")
+        return done[-1] if done else None
+
+    def versions(self, name: str) -> list[str]:
+        """All stored versions, oldest first."""
+        return sorted(v for v in self.fs.list_dirs(self.path(name)) if v.startswith("v"))
+
     def exists(self, name: str) -> bool:
         return self.current_path(name) is not None
 
@@ -132,14 +152,17 @@ class Lakehouse:
         version = f"v{stamp}-{uuid.uuid4().hex[:8]}"
         df.write.mode("errorifexists").parquet(f"{self.path(name)}/{version}")
         self.fs.write_text(f"{self.path(name)}/_CURRENT", version)
-        self._prune_versions(name, version)
         return version
 
-    def _prune_versions(self, name: str, current: str) -> None:
-        versions = sorted(v for v in self.fs.list_dirs(self.path(name)) if v.startswith("v"))
-        for old in versions[: max(0, len(versions) - self.keep_versions)]:
-            if old != current:
-                self.fs.delete(f"{self.path(name)}/{old}")
+    def prune_versions(self, name: str, older_than: dt.datetime) -> list[str]:
+        """Maintenance, never run by a job: delete the versions written before
+        ``older_than`` (UTC) other than the current one. Choose it older than
+        the longest reader."""
+        current, limit = self.current_version(name), older_than.strftime("v%Y%m%dT%H%M%S%f")
+        old = [v for v in self.versions(name) if v < limit and v != current]
+        for v in old:
+            self.fs.delete(f"{self.path(name)}/{v}")
+        return old
 
     def register_views(self, names: Sequence[str] | None = None) -> list[str]:
         """Temp views ``<schema>_<table>`` over the current version of each

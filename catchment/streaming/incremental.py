@@ -4,8 +4,7 @@ New landing files are picked up by a file stream; every micro-batch goes
 through the same validation, per-key collapse (later file wins) and keyed
 upsert as the batch job, inside ``foreachBatch``. The upsert is idempotent,
 so a micro-batch replayed after a failure (at-least-once) yields the same
-tables. Progress lives in a checkpoint under the session's shared
-checkpoint folder.
+tables. Progress lives in a checkpoint under the pipeline's root.
 """
 
 from __future__ import annotations
@@ -14,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.bronze import prepare_batch, upsert_bronze
-from ..plans.jobs import Pipeline
-from ..session import checkpoint_root
+from ..plans.jobs import Pipeline, around
 from ..sources.landing import read_landing_stream, with_record_pos
 
 
@@ -36,7 +34,8 @@ def start_ingest_stream(
     rebuilds silver and gold for the days it touched.
     """
     spark = pipeline.spark
-    ckpt = checkpoint or f"{checkpoint_root(spark)}/ingest_{source}"
+    # progress must outlive the session: it lives beside the tables it describes
+    ckpt = checkpoint or f"{pipeline.root}/checkpoints/ingest_{source}"
     stream = read_landing_stream(
         spark, source, f"{pipeline.landing_root}/source={source}", max_files_per_trigger
     )
@@ -44,16 +43,13 @@ def start_ingest_stream(
     def process(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        raw = with_record_pos(batch)
-        result = upsert_bronze(pipeline.lake, source, prepare_batch(source, raw))
+        raw = with_record_pos(batch).persist()
+        try:
+            result = upsert_bronze(pipeline.lake, source, prepare_batch(source, raw))
+        finally:
+            raw.unpersist()
         if build:
-            import datetime as dt
-
-            days = set(result.days)
-            if source == "meteo":
-                days |= {d - dt.timedelta(days=1) for d in result.days}
-            pipeline.build_silver(sorted(days))
-            pipeline.build_gold(sorted(days))
+            pipeline.build(around(result.days) if source == "meteo" else result.days)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     if available_now:

@@ -12,6 +12,7 @@ from catchment.operators import EmptyBatchError
 from catchment.plans.jobs import Pipeline, target_date
 from catchment.sources.retention import archive_landing_files
 from catchment.streaming.incremental import run_ingest_stream
+from tests.conftest import rows
 
 HYDRO_HEADER = (
     "station_code,station_category,station_name,station_fullname,water_body,catchment_name,"
@@ -237,15 +238,31 @@ def test_retention_archives_old_files(spark, scratch):
     }
     for n in names:
         with open(os.path.join(raw, n), "w") as f:
-            f.write('[{"jaam_kood": 1}]')
-    counts = archive_landing_files(spark, {"hydro": raw}, os.path.join(root, "archive"), as_of=today)
+            f.write('[{"jaam_kood": 1}, {"jaam_kood": 2, "vaartus": 1.25}]')
+    archive = os.path.join(root, "archive")
+    counts = archive_landing_files(spark, {"hydro": raw}, archive, as_of=today)
     assert counts == {"archived": 2, "skipped": 1, "unrecognised": 2}
     left = sorted(os.listdir(raw))
     assert f"hydro_{today - dt.timedelta(days=8)}.json" not in left and "notes.txt" in left and "x.json" in left
-    arch = spark.read.json(os.path.join(root, "archive"))
-    got = sorted((r.file_name, r.year, r.month) for r in arch.collect())
-    assert got == [("hydro_2026-04-30.json", 2026, 4), (f"hydro_{today - dt.timedelta(days=8)}.json", 2026, 5)]
-    assert arch.first().content.startswith("[")
+    from catchment.sources.landing import read_landing
+
+    got = read_landing(spark, "hydro", archive).select("file_date", "jaam_kood", "vaartus").collect()
+    days = [dt.date(2026, 4, 30), today - dt.timedelta(days=8)]
+    assert sorted((r.file_date, r.jaam_kood, float(r.vaartus or 0)) for r in got) == sorted((d, k, v) for d in days for k, v in ((1, 0.0), (2, 1.25)))
+
+
+def test_archived_day_ingests_to_the_same_bronze(spark, scratch):
+    root = tempfile.mkdtemp(prefix="ret3-", dir=scratch)
+    landing, day = os.path.join(root, "landing"), dt.date(2024, 5, 2)
+    land(landing, "hydro", day, hydro_records(day))
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    p.ingest("hydro", [day])
+    archive_landing_files(spark, {"hydro": os.path.join(landing, "source=hydro")}, os.path.join(root, "archive"), as_of=dt.date(2024, 6, 1))
+    assert os.listdir(os.path.join(landing, "source=hydro")) in ([], [f".hydro_{day}.json.crc"])
+    again = Pipeline(spark, os.path.join(root, "lake2"), os.path.join(root, "archive"))
+    again.ingest("hydro", None)
+    cols = [c for c in p.lake.read("bronze.hydro").columns if c != "loaded_at"]
+    assert rows(p.lake.read("bronze.hydro"), *cols) == rows(again.lake.read("bronze.hydro"), *cols)
 
 
 def test_target_date():
@@ -371,3 +388,151 @@ def test_incremental_build_equals_full_rebuild(world):
         a = sorted(map(tuple, stored.select(*cols).collect()), key=repr)
         b = sorted(map(tuple, full.select(*cols).collect()), key=repr)
         assert a == b, name
+
+
+def land_parts(folder, source, day, *parts):
+    """One landed day as several JSON-lines part files, written in order."""
+    d = os.path.join(folder, f"source={source}", f"dt={day}")
+    os.makedirs(d, exist_ok=True)
+    for i, records in enumerate(parts):
+        path = os.path.join(d, f"part-{i:05d}.json")
+        with open(path, "w", encoding="utf-8") as f:
+            f.writelines(json.dumps(r, ensure_ascii=False) + "\n" for r in records)
+        os.utime(path, (1_700_000_000 + 60 * i,) * 2)
+
+
+@pytest.mark.parametrize("how", ["batch", "stream"])
+def test_publication_order_holds_across_part_files(spark, scratch, how):
+    root = tempfile.mkdtemp(prefix="parts-", dir=scratch)
+    day = dt.date(2024, 5, 2)
+    first = {**meteo_records(day)[0], "vaartus": 12.0, "avaandmed_ts": "2024-05-03T12:00:00+00:00"}
+    second = {**first, "vaartus": 10.0, "avaandmed_ts": "2024-05-03T10:00:00+00:00"}
+    land_parts(os.path.join(root, "landing"), "meteo", day, [first], [second])
+    p = Pipeline(spark, os.path.join(root, "lake"), os.path.join(root, "landing"))
+    if how == "batch":
+        p.ingest("meteo", [day])
+    else:
+        run_ingest_stream(p, "meteo")
+    assert [float(r.vaartus) for r in p.lake.read("bronze.meteo").collect()] == [12.0]
+
+
+def test_duplicate_across_part_files_of_a_day_fails(spark, scratch):
+    from catchment.operators import DuplicateKeyError
+
+    root = tempfile.mkdtemp(prefix="parts2-", dir=scratch)
+    day = dt.date(2024, 5, 2)
+    record = hydro_records(day)[0]
+    land_parts(os.path.join(root, "landing"), "hydro", day, [record], [dict(record, vaartus=-1.0)])
+    p = Pipeline(spark, os.path.join(root, "lake"), os.path.join(root, "landing"))
+    with pytest.raises(DuplicateKeyError):
+        p.ingest("hydro", [day])
+    p.ingest("hydro", [day], on_duplicate="last")
+    assert [float(r.vaartus) for r in p.lake.read("bronze.hydro").collect()] == [-1.0]
+
+
+def test_daily_build_equals_full_build_after_reference_changes(spark, scratch):
+    root = tempfile.mkdtemp(prefix="change-", dir=scratch)
+    landing = os.path.join(root, "landing")
+    days = [dt.date(2024, 6, 2), dt.date(2024, 6, 10)]
+    for i, d in enumerate(days):
+        land(landing, "hydro", d, hydro_records(d))
+        recs = meteo_records(d)
+        if i:
+            for r in recs:
+                if r["jaam_kood"] == "MA":
+                    r["jaam_nimi"] = "Name MA (second)"
+        land(landing, "meteo", d, recs)
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    p.run_seed(*write_seeds(os.path.join(root, "seeds")), dt.datetime(2024, 7, 1))
+    p.run_day(days[0], as_of=dt.datetime(2024, 7, 1, 1))
+    old = {r.station_altitude_msl_m for r in p.lake.read("gold.hydro_meteo").filter("hydro_station_code = 101").collect()}
+    assert {float(x) for x in old} == {5.56}
+    hydro_csv, meteo_csv = write_seeds(os.path.join(root, "seeds2"), altitude_101="6.00")
+    p.load_stations("hydro", hydro_csv, dt.datetime(2024, 7, 2))
+    p.run_day(days[1], as_of=dt.datetime(2024, 7, 2, 1))
+    gold = p.lake.read("gold.hydro_meteo")
+    assert {float(r.station_altitude_msl_m) for r in gold.filter("hydro_station_code = 101").collect()} == {6.0}
+    # the second name fans out the earlier day too
+    early = gold.filter("hydro_station_code = 101 AND timeline_ts_utc < '2024-06-04'")
+    assert {r[0] for r in early.select("meteo_station_name").distinct().collect()} == {"Name MA", "Name MA (second)"}
+    cols = sorted(gold.columns)
+    assert rows(gold, *cols) == rows(p.gold_frame(None), *cols)
+
+
+def test_repeated_code_in_a_seed_keeps_its_last_row(spark, scratch):
+    root = tempfile.mkdtemp(prefix="seed-", dir=scratch)
+    hydro_csv, _ = write_seeds(os.path.join(root, "seeds"))
+    with open(hydro_csv, "a", encoding="utf-8") as f:
+        f.write("101,monitoring,G101 again,,,,,,7.25,59.0,24.0,TRUE\n")
+    p = Pipeline(spark, os.path.join(root, "lake"), os.path.join(root, "landing"))
+    assert p.load_stations("hydro", hydro_csv) == 3
+    got = p.lake.read("ref.hydro_stations").filter("station_code = 101").collect()
+    assert [(r.station_name, float(r.station_altitude_msl_m)) for r in got] == [("G101 again", 7.25)]
+
+
+def test_range_with_a_missing_day(spark, scratch):
+    root = tempfile.mkdtemp(prefix="gap-", dir=scratch)
+    landing = os.path.join(root, "landing")
+    for d in (dt.date(2024, 5, 2), dt.date(2024, 5, 4)):
+        land(landing, "hydro", d, hydro_records(d))
+        land(landing, "meteo", d, meteo_records(d))
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    with pytest.raises(EmptyBatchError, match="2024-05-03"):
+        p.run_range(dt.date(2024, 5, 2), dt.date(2024, 5, 4))
+    assert p.lake.read("bronze.hydro") is None
+    out = p.run_range(dt.date(2024, 5, 2), dt.date(2024, 5, 4), on_missing="skip")
+    assert out["missing"] == {"hydro": [dt.date(2024, 5, 3)], "meteo": [dt.date(2024, 5, 3)]}
+    from catchment.plans.audit import day_coverage
+
+    gaps = day_coverage(p.log.read(), "2024-05-01", "2024-05-04", {"hydro": "ingest_hydro", "meteo": "ingest_meteo"})
+    assert rows(gaps) == [(s, dt.date(2024, 5, d)) for s in ("hydro", "meteo") for d in (1, 3)]
+
+
+def test_daily_run_before_the_first_seed(spark, scratch):
+    root = tempfile.mkdtemp(prefix="noseed-", dir=scratch)
+    landing, day = os.path.join(root, "landing"), dt.date(2024, 5, 2)
+    land(landing, "hydro", day, hydro_records(day))
+    land(landing, "meteo", day, meteo_records(day))
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    p.run_day(day)
+    gold = p.lake.read("gold.hydro_meteo")
+    assert gold.count() == len(hydro_records(day)) // 2
+    assert gold.filter("station_category IS NOT NULL OR meteo_station_code IS NOT NULL").isEmpty()
+
+
+def test_lost_pointer_falls_back_to_the_newest_version(spark, scratch):
+    from catchment.sources.store import Lakehouse
+
+    lake = Lakehouse(spark, tempfile.mkdtemp(prefix="ptr-", dir=scratch))
+    lake.write_version("ref.x", spark.range(2))
+    newest = lake.write_version("ref.x", spark.range(5))
+    os.remove(os.path.join(lake.path("ref.x"), "_CURRENT"))
+    assert lake.current_version("ref.x") == newest and lake.read("ref.x").count() == 5
+    assert lake.prune_versions("ref.x", dt.datetime(2999, 1, 1)) and lake.versions("ref.x") == [newest]
+    os.remove(os.path.join(lake.path("ref.x"), newest, "_SUCCESS"))
+    with pytest.raises(RuntimeError):
+        lake.read("ref.x")
+
+
+def test_run_log_keeps_the_whole_error_and_the_identity(spark, scratch):
+    from catchment.plans.audit import RunLog, logged_run
+
+    log = RunLog(spark, os.path.join(tempfile.mkdtemp(prefix="log-", dir=scratch), "log"))
+    with pytest.raises(ValueError), logged_run(log, "daily", "t", dt.date(2024, 5, 2), "f.json"):
+        raise ValueError("x" * 9000 + " the cause")
+    r = log.state().first()
+    assert r.error_message.endswith(" the cause") and len(r.error_message) > 9000
+    assert (r.dag_id, r.task_id, r.target_date, r.source_file, r.status) == ("daily", "t", dt.date(2024, 5, 2), "f.json", "error")
+    log.compact()
+    assert log.read().count() == 2
+
+
+def test_submit_settings_stay_in_force():
+    import subprocess
+    import sys
+
+    code = "from catchment import get_spark; s = get_spark(); print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'))"
+    args = "--master local[2] --conf spark.sql.shuffle.partitions=77 --conf spark.ui.enabled=false pyspark-shell"
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYSPARK_SUBMIT_ARGS": args}, cwd=here, capture_output=True, text=True, timeout=120)
+    assert "GOT local[2] 77" in out.stdout
