@@ -9,23 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import corrected_level
 from ..functions.timeconv import instant_to_wall, wall_to_instant
 from ..operators.history import VALID_FROM, VALID_TO, point_in_time_join, scd2_apply
-from ..operators.joins import checked_broadcast
 from ..operators.keyed import classify_changes, latest_revision, merge_rows
-from ..operators.quality import key_violations, null_violations, range_violations, set_violations
+from ..operators.quality import key_violations, null_violations, range_violations, set_violations, with_defaults
 from ..operators.reshape import pivot_long
-from ..schemas import HYDRO_REQUIRED, HYDRO_STATION_CHECK, METEO_KEY, PROXIMITY_KEY, RUN_STATUSES
+from ..schemas import HYDRO_KEY, HYDRO_REQUIRED, HYDRO_STATION_CHECK, METEO_KEY, METEO_STATION_CHECK, PROXIMITY_KEY, RUN_STATUSES
 from ..session import configure
 from ..sources.landing import filter_calendar_day, filter_local_day
 from ..sources.retention import plan_retention, retention_counts
-from ..sources.seeds import clean_hydro_stations
+from ..sources.seeds import clean_hydro_stations, clean_meteo_stations
 from . import standins as S
-from .audit import run_state
+from .audit import day_coverage, run_state
+from .bronze import prepare_batch
 from .gold import gold_hydro_meteo
 from .reference_tables import proximity_matrix
 from .silver import silver_hydro, silver_meteo
@@ -37,6 +37,7 @@ UPSERT_CORRECTION = 1000.0         # corrected value offset in the batch
 SNAPSHOT_AS_OF = "2024-02-01 00:00:00"
 WINDOW_DAY = "2024-01-15"
 RETENTION_AS_OF = "2001-01-01"
+COVERAGE_FROM, COVERAGE_TO = "2023-12-25", "2024-02-15"
 # --------------------------------------------------------------------------
 
 
@@ -159,12 +160,10 @@ def q_point_in_time(spark, d):
         VALID_TO,
     )
     j = point_in_time_join(facts, hist, "jaam_kood", "_h_code", "timeline_ts_utc")
-    cur = checked_broadcast(
-        S.gauges(spark, d).select(
-            F.col("station_code").alias("_g_code"),
-            F.col("station_category").alias("_g_category"),
-            F.col("station_altitude_msl_m").alias("_g_altitude"),
-        )
+    cur = S.gauges(spark, d).select(
+        F.col("station_code").alias("_g_code"),
+        F.col("station_category").alias("_g_category"),
+        F.col("station_altitude_msl_m").alias("_g_altitude"),
     )
     j = j.join(cur, j["jaam_kood"] == cur["_g_code"], "left")
     alt = F.coalesce(F.col("_h_altitude"), F.col("_g_altitude"))
@@ -339,9 +338,16 @@ def run_events(spark, d) -> DataFrame:
     status = S.case_map("event_type", S.EVENT_RUN_STATUS)
     return e.select(
         F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
-        F.col("ts").cast("timestamp").alias("event_time"),
+        # whole days: many events of equal time, ordered by seq
+        F.date_trunc("day", F.col("ts")).cast("timestamp").alias("event_time"),
         "event_id",
         status.alias("status"),
+        F.col("event_id").cast("int").alias("seq"),
+        F.when(F.col("user_id") % 3 != 0, F.lit("daily_load")).alias("dag_id"),
+        F.when(F.col("user_id") % 2 == 0, F.lit("ingest_hydro")).otherwise(F.lit("ingest_meteo")).alias("task_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("user_id") % 40).cast("int")).alias("target_date"),
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("file-"), F.col("event_id").cast("string"))).alias("source_file"),
+        F.when(status == "success", F.floor(F.col("value") * 9).cast("bigint")).alias("rows_deduplicated"),
         F.when(status == "success", F.floor(F.col("value") * 10).cast("bigint")).alias("rows_processed"),
         F.when(status == "success", F.floor(F.col("value")).cast("bigint")).alias("rows_loaded"),
         F.when(status == "error", F.concat(F.lit("failed: "), F.col("event_id").cast("string"))).alias("error_message"),
@@ -366,6 +372,129 @@ def q_audit_state(spark, d):
     return S.to_ntz(run_state(run_events(spark, d)))
 
 
+def q_day_coverage(spark, d):
+    """AUD-4: days of a range without a successful load, per source."""
+    return day_coverage(run_events(spark, d), COVERAGE_FROM, COVERAGE_TO, {"hydro": "ingest_hydro", "meteo": "ingest_meteo"})
+
+
+def _in_parts(readings: DataFrame, day: Column) -> DataFrame:
+    """Readings as a landing area holds them: every day in three part files
+    and some records landed again a day later."""
+    part = F.col("event_id") % 3
+    return readings.select(
+        "*",
+        F.concat(F.lit("part-"), part.cast("string"), F.lit(".json")).alias("source_file"),
+        F.lit(0).cast("bigint").alias("file_offset"),
+        F.col("event_id").alias("record_pos"),
+        F.date_add(day, (F.col("event_id") % 2).cast("int")).alias("file_date"),
+        F.lit("dt").alias("landing_unit"),
+        F.lit(None).cast("timestamp").alias("relanded_at"),
+    )
+
+
+def q_ingest_hydro_multipart(spark, d):
+    """SRC-1, UPS-1, UPS-6: days landed in several part files, collapsed to
+    one row per key (the later record of the later day stays)."""
+    r = S.hydro_readings(spark, d)
+    out = prepare_batch("hydro", _in_parts(r, F.to_date("published_ts")), "last")
+    return S.to_ntz(out.select(*r.columns).drop("published_ts"))
+
+
+def q_ingest_meteo_multipart(spark, d):
+    """SRC-2, AGG-4, UPS-2: days landed in several part files; the latest
+    publication wins in whichever part it stands."""
+    r = S.meteo_readings(spark, d)
+    return S.to_ntz(prepare_batch("meteo", _in_parts(r, _meteo_day())).select(*r.columns))
+
+
+def q_keyed_upsert_hydro(spark, d):
+    """UPS-1: stored gauge readings merged with a corrected batch."""
+    rows = S.bronze_hydro(spark, d)
+    at = F.col("timeline_ts_utc")
+    old = rows.filter(at < F.lit(UPSERT_OLD_BEFORE).cast("timestamp"))
+    new = rows.filter(at >= F.lit(UPSERT_NEW_FROM).cast("timestamp"))
+    return S.to_ntz(merge_rows(old, new.withColumn("vaartus", F.col("vaartus") + F.lit(UPSERT_CORRECTION)), HYDRO_KEY))
+
+
+def weather_incoming(spark, d) -> DataFrame:
+    """A newer weather station extract: names and altitudes changed, some
+    stations missing, and one new station for each."""
+    w = S.weather_stations(spark, d)
+    k = F.substring("station_code", 2, 9).cast("int") % 4
+    changed = w.filter(k != 3).select(
+        "station_code",
+        "station_category",
+        F.when(k == 1, F.concat("station_name", F.lit(" (renamed)"))).otherwise(F.col("station_name")).alias("station_name"),
+        "latitude",
+        "longitude",
+        F.when(k == 2, F.coalesce("altitude_m", F.lit(0.0)) + 1).otherwise(F.col("altitude_m")).alias("altitude_m"),
+        "is_active",
+    )
+    return changed.unionByName(w.withColumn("station_code", F.concat(F.lit("N"), "station_code")))
+
+
+def q_weather_station_changes(spark, d):
+    """UPS-4: classify a newer weather station extract per key."""
+    return classify_changes(
+        S.weather_stations(spark, d), weather_incoming(spark, d), ["station_code"], METEO_STATION_CHECK, loaded_col=None
+    )
+
+
+def _two_snapshots(first: DataFrame, second: DataFrame, check: list[str]) -> DataFrame:
+    start = F.lit("2023-12-01").cast("timestamp")
+    return scd2_apply(scd2_apply(None, first, ["station_code"], check, start), second, ["station_code"], check, F.to_timestamp(F.lit(SNAPSHOT_AS_OF)))
+
+
+def q_scd2_weather_snapshots(spark, d):
+    """SCD-2: two snapshot runs over the weather stations, all check columns."""
+    return S.to_ntz(_two_snapshots(S.weather_stations(spark, d), weather_incoming(spark, d), METEO_STATION_CHECK))
+
+
+def q_scd2_gauge_snapshots(spark, d):
+    """SCD-1: two snapshot runs over the gauges, all 11 check columns."""
+    g = S.gauges(spark, d)
+    k = F.col("station_code") % 3
+    newer = g.withColumn("water_body", F.when(k == 1, F.concat("water_body", F.lit(" (new)"))).otherwise(F.col("water_body"))).withColumn(
+        "is_active", F.when(k == 2, ~F.col("is_active")).otherwise(F.col("is_active"))
+    )
+    return S.to_ntz(_two_snapshots(g, newer, HYDRO_STATION_CHECK).select(*g.columns, VALID_FROM, VALID_TO))
+
+
+def q_seed_cleaning_weather(spark, d):
+    """SRC-9, STR-1..3: typing of weather station seed cells."""
+    w = S.weather_stations(spark, d)
+    k = F.substring("station_code", 2, 9).cast("int") % 3
+    text = w.select(
+        "station_code",
+        "station_category",
+        "station_name",
+        F.format_string("%.2f", "latitude").alias("latitude"),
+        F.format_string("%.2f", "longitude").alias("longitude"),
+        F.when(F.col("altitude_m").isNull(), F.lit("")).otherwise(F.format_string("%.1f", "altitude_m")).alias("altitude_m"),
+        F.when(k == 0, F.lit(" True")).when(k == 1, F.lit("true ")).otherwise(F.lit("no")).alias("is_active"),
+    )
+    out = clean_meteo_stations(text)
+    return out.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in out.schema.fields])
+
+
+def q_column_defaults(spark, d):
+    """DQ-5: column defaults where a value is absent."""
+    g = S.gauges(spark, d).select("station_code", F.when(F.col("station_code") % 4 != 0, F.col("is_active")).alias("is_active"))
+    return S.to_ntz(with_defaults(g, {"is_active": F.lit(True), "loaded_at": F.to_timestamp(F.lit(SNAPSHOT_AS_OF))}))
+
+
+def q_gold_after_reference_change(spark, d):
+    """SNP -> SIL-1 -> GLD-1: gold once a snapshot run has versioned changed
+    station parameters: readings before it keep the old version."""
+    current = S.gauges(spark, d).select("station_code", *S.HISTORY_CHECK)
+    hist = scd2_apply(
+        S.station_history(spark, d), current, ["station_code"], S.HISTORY_CHECK, F.to_timestamp(F.lit(SNAPSHOT_AS_OF))
+    )
+    sh = silver_hydro(S.bronze_hydro(spark, d), hist, S.gauges(spark, d))
+    sm = silver_meteo(S.bronze_meteo(spark, d))
+    return S.to_ntz(gold_hydro_meteo(sh, sm, _proximity(spark, d), S.weather_stations(spark, d)))
+
+
 def landed_files(spark, d) -> DataFrame:
     """Raw file names as a landing area would list them (one per order date
     and status; pending orders give unparsable names, low-priority ones a
@@ -433,6 +562,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "hourly_duplicates": q_hourly_duplicates,
         "domain_violations": q_domain_violations,
         "audit_state": q_audit_state,
+        "day_coverage": q_day_coverage,
+        "ingest_hydro_multipart": q_ingest_hydro_multipart,
+        "ingest_meteo_multipart": q_ingest_meteo_multipart,
+        "keyed_upsert_hydro": q_keyed_upsert_hydro,
+        "weather_station_changes": q_weather_station_changes,
+        "scd2_weather_snapshots": q_scd2_weather_snapshots,
+        "scd2_gauge_snapshots": q_scd2_gauge_snapshots,
+        "seed_cleaning_weather": q_seed_cleaning_weather,
+        "column_defaults": q_column_defaults,
+        "gold_after_reference_change": q_gold_after_reference_change,
         "retention_split": q_retention_split,
         "retention_counts": q_retention_counts,
         "weather_station_names": q_weather_station_names,

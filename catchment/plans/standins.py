@@ -27,10 +27,21 @@ from ..operators.keyed import latest_revision
 from ..schemas import HYDRO_KEY, METEO_KEY
 
 # --- fixed values of the stand-in mapping --------------------------------
-# event_type -> hydro series ('view' deliberately stays outside the dictionary)
-EVENT_HYDRO_SERIES = {"click": "WL avg", "error": "WL min", "purchase": "WT avg", "signup": "Äravool avg"}
-# event_type -> meteo element code
-EVENT_METEO_ELEMENTS = {"click": "PR1H", "error": "TA", "purchase": "RH", "signup": "WS10M", "view": "SDUR1H"}
+# event_type -> hydro series, by event id in turn ('view' deliberately stays outside the dictionary)
+EVENT_HYDRO_SERIES = {
+    "click": ["WL avg", "WL min", "WL max"],
+    "error": ["WT avg", "WT min", "WT max"],
+    "purchase": ["Äravool avg", "Äravool min", "Äravool max"],
+    "signup": ["WL avg"],
+}
+# event_type -> meteo element code, by event id in turn
+EVENT_METEO_ELEMENTS = {
+    "click": ["PR1H", "TA"],
+    "error": ["TAN1H", "TAX1H"],
+    "purchase": ["RH", "PA0"],
+    "signup": ["WS10M", "WSX1H"],
+    "view": ["WD10M", "SDUR1H"],
+}
 # event_type -> run-log status ('view' maps to a status outside the allowed set)
 EVENT_RUN_STATUS = {"click": "running", "purchase": "success", "error": "error", "signup": "triggered", "view": "retried"}
 N_WEATHER_STATIONS = 25
@@ -71,6 +82,15 @@ def case_map(col: str, mapping: dict[str, str], default: Column | None = None) -
     return out.otherwise(default) if default is not None else out
 
 
+def in_turn(col: str, turn: str, mapping: dict[str, list[str]], default: Column) -> Column:
+    """The value of ``mapping`` for ``col``; its choices alternate by ``turn``."""
+    out = default
+    for k, v in mapping.items():
+        choice = F.element_at(F.array(*map(F.lit, v)), (F.col(turn) % len(v)).cast("int") + 1)
+        out = F.when(F.col(col) == F.lit(k), choice).otherwise(out)
+    return out
+
+
 def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -151,7 +171,7 @@ def hydro_readings(spark: SparkSession, sf_dir: str, events: DataFrame | None =
         F.concat(F.lit("River "), _s(F.col("user_id") % 11)).alias("veekogu_nimi"),
         hour.alias("timeline_ts_utc"),
         (hour + F.expr("INTERVAL 2 HOURS")).alias("timeline_ts_local"),
-        case_map("event_type", EVENT_HYDRO_SERIES, F.col("event_type")).alias("aegrida_nimi"),
+        in_turn("event_type", "event_id", EVENT_HYDRO_SERIES, F.col("event_type")).alias("aegrida_nimi"),
         F.col("value").alias("vaartus"),
         F.col("ts").cast("timestamp").alias("published_ts"),
     )
@@ -182,7 +202,7 @@ def meteo_readings(spark: SparkSession, sf_dir: str, events: DataFrame | None =
         F.dayofmonth("ts").alias("paev"),
         F.hour("ts").alias("tund"),
         F.col("value").alias("vaartus"),
-        case_map("event_type", EVENT_METEO_ELEMENTS).alias("element_kood"),
+        in_turn("event_type", "event_id", EVENT_METEO_ELEMENTS, F.lit(None).cast("string")).alias("element_kood"),
         F.col("event_type").alias("element_nimi_eng"),
         F.lit("unit").alias("element_yhik_eng"),
         F.date_trunc("minute", F.col("ts")).cast("timestamp").alias("avaandmed_ts"),
