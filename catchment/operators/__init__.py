@@ -1,5 +1,4 @@
 from .history import open_end_ts, point_in_time_join, scd2_apply, scd2_from_extracts, scd2_pending_changes
-from .joins import checked_broadcast
 from .keyed import (
     DuplicateKeyError,
     assert_unique,
@@ -29,7 +28,6 @@ __all__ = [
     "RequiredFieldError",
     "assert_unique",
     "changed_count",
-    "checked_broadcast",
     "classify_changes",
     "duplicate_keys",
     "key_violations",

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import any_distinct
 from ..schemas import OPEN_END
-from .joins import DEFAULT_BROADCAST_MAX_ROWS
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -130,6 +129,10 @@ def scd2_apply(
     closed = history.filter(~is_open).select(*cols, VALID_FROM, VALID_TO)
     open_rows = history.filter(is_open).select(*cols, VALID_FROM, VALID_TO)
 
+    # a version cannot end before it starts: a backdated run is refused
+    ends = F.when(F.col(f"o.{VALID_FROM}") <= as_of, as_of).otherwise(
+        F.raise_error(F.concat(F.lit("snapshot time before the open version's start "), F.col(f"o.{VALID_FROM}").cast("string")))
+    )
     o = open_rows.withColumn("_p", F.lit(True)).alias("o")
     c = cur.withColumn("_p", F.lit(True)).alias("c")
     j = o.join(c, on=list(keys), how="full_outer")
@@ -143,7 +146,7 @@ def scd2_apply(
         return F.struct(*fields, vf.alias(VALID_FROM), vt.alias(VALID_TO))
 
     old_version = F.when(
-        has_o, version("o", F.col(f"o.{VALID_FROM}"), F.when(changed, as_of).otherwise(F.col(f"o.{VALID_TO}")))
+        has_o, version("o", F.col(f"o.{VALID_FROM}"), F.when(changed, ends).otherwise(F.col(f"o.{VALID_TO}")))
     )
     new_version = F.when((has_c & ~has_o) | changed, version("c", as_of, open_end_ts()))
     rows = j.select(F.inline(F.filter(F.array(old_version, new_version), lambda x: x.isNotNull())))
@@ -179,81 +182,21 @@ def point_in_time_join(
     valid_from: str = VALID_FROM,
     valid_to: str = VALID_TO,
     how: str = "left",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    bucket: str = "month",
-    max_versions_per_key: int = 16,
 ) -> DataFrame:
     """JN-1: facts joined to the history version valid at the fact time.
 
     Condition: ``key = key AND ts >= valid_from AND ts < valid_to``
-    (half-open); output = fact columns + history columns, as a plain join.
-
-    One small aggregate over the history decides the shape:
+    (half-open); output = fact columns + history columns, as a plain join:
+    overlapping versions give a row each, an empty interval matches nothing.
 
-    * at most ``broadcast_max_rows`` versions and at most
-      ``max_versions_per_key`` per key: one broadcast join on the key with the
-      interval as residual (facts are not shuffled);
-    * otherwise closed versions are exploded over the time buckets they
-      cover and joined on (key, bucket), and the open version of each key
-      (one per key) is joined on the key. A fact meets a few candidates
-      instead of every version of its key, and when the history is too large
-      to broadcast, one hot key's facts spread over its buckets instead of
-      landing in one task. Intervals are disjoint per key, so each fact still
-      meets at most one version.
+    One lazy equi-join on the key with the interval as residual, whatever the
+    sizes. Spark broadcasts the history when its measured size allows, else
+    both sides shuffle on the key and adaptive execution splits a hot
+    station's facts.
     """
-    shape = (
-        history.groupBy(hist_key)
-        .agg(F.count(F.lit(1)).alias("_v"))
-        .agg(F.sum("_v").alias("rows"), F.max("_v").alias("max_v"))
-        .first()
-    )
-    rows, max_v = int(shape["rows"] or 0), int(shape["max_v"] or 0)
-    small = rows <= broadcast_max_rows
-    if small and max_v <= max_versions_per_key:
-        h = F.broadcast(history)
-        cond = (
-            (facts[fact_key] == h[hist_key])
-            & (facts[fact_ts] >= h[valid_from])
-            & (facts[fact_ts] < h[valid_to])
-        )
-        return facts.join(h, cond, how)
-
-    bc = F.broadcast if small else (lambda d: d)
-    h_cols = history.columns
-    is_open = F.col(valid_to) >= open_end_ts()
-    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    closed = (
-        history.filter(~is_open)
-        .select(*[F.col(c).alias(f"_pc_{c}") for c in h_cols], F.lit(True).alias("_pc_hit"))
-        .withColumn(
-            "_pc_b",
-            F.explode(F.sequence(F.date_trunc(bucket, F.col(f"_pc_{valid_from}")), F.date_trunc(bucket, F.col(f"_pc_{valid_to}")), step)),
-        )
-    )
-    opened = history.filter(is_open).select(*[F.col(c).alias(f"_po_{c}") for c in h_cols], F.lit(True).alias("_po_hit"))
-    fb = facts.withColumn("_pit_b", F.date_trunc(bucket, F.col(fact_ts)))
-    ts = F.col(fact_ts)
-    j = fb.join(
-        bc(closed),
-        (fb[fact_key] == F.col(f"_pc_{hist_key}"))
-        & (F.col("_pit_b") == F.col("_pc_b"))
-        & (ts >= F.col(f"_pc_{valid_from}"))
-        & (ts < F.col(f"_pc_{valid_to}")),
-        "left",
-    )
-    j = j.join(
-        bc(opened),
-        (j[fact_key] == F.col(f"_po_{hist_key}")) & (ts >= F.col(f"_po_{valid_from}")) & (ts < F.col(f"_po_{valid_to}")),
-        "left",
-    )
-    hit_closed = F.col("_pc_hit").isNotNull()
-    out = j.select(
-        *[F.col(c) for c in facts.columns],
-        *[F.when(hit_closed, F.col(f"_pc_{c}")).otherwise(F.col(f"_po_{c}")).alias(c) for c in h_cols],
-        (hit_closed | F.col("_po_hit").isNotNull()).alias("_pit_hit"),
+    cond = (
+        (facts[fact_key] == history[hist_key])
+        & (facts[fact_ts] >= history[valid_from])
+        & (facts[fact_ts] < history[valid_to])
     )
-    if how == "inner":
-        out = out.filter("_pit_hit")
-    elif how != "left":
-        raise ValueError(f"point_in_time_join supports how='left' or 'inner', got {how!r}")
-    return out.drop("_pit_hit")
+    return facts.join(history, cond, how)

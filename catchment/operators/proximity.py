@@ -22,8 +22,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, chord_km, haversine_km, unit_xyz_km
-from .joins import DEFAULT_BROADCAST_MAX_ROWS
+from ..session import checkpoint_root
 
+# Sites are counted anyway (for the first cube edge); up to this many, some
+# 60 bytes each, their tables are broadcast, beyond it they are shuffled.
+BROADCAST_MAX_SITES = 1_000_000
 
 _OFFSETS_SQL = "array(" + ", ".join(
     f"named_struct('dx', {dx}, 'dy', {dy}, 'dz', {dz})"
@@ -103,8 +106,8 @@ def _site_leaves(s_xyz: DataFrame, s0: float, max_per_leaf: int, max_depth: int)
         if big.isEmpty():
             done.append(cur)
             break
-        done.append(cur.join(F.broadcast(big), ["lx", "ly", "lz"], "left_anti"))
-        cur = cur.join(F.broadcast(big), ["lx", "ly", "lz"], "left_semi").select(*base)
+        done.append(cur.join(big, ["lx", "ly", "lz"], "left_anti"))
+        cur = cur.join(big, ["lx", "ly", "lz"], "left_semi").select(*base)
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
@@ -135,7 +138,7 @@ def nearest_k(
     site_lat: str = "latitude",
     site_lon: str = "longitude",
     start_cell_km: float | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int = BROADCAST_MAX_SITES,
     max_sites_per_leaf: int = 64,
     max_leaf_depth: int = 12,
 ) -> DataFrame:
@@ -154,11 +157,15 @@ def nearest_k(
     the true k-th neighbour is in an opened leaf, so the result stays exact
     while a point next to a dense cluster opens only the cluster's near side.
 
-    Per round there is one action (is anything still pending?); round
-    results are persisted so the final union re-reads them instead of
-    recomputing earlier rounds. Site-side tables are broadcast when the site
-    count is within ``broadcast_max_rows``, else joined by shuffle.
+    What steers the rounds has to be known before the next one is planned:
+    site density (one small aggregate), over-full cubes, and after each round
+    what is still pending. Leaves, round results and pending points are
+    checkpointed to the session's shared folder: no round is computed again,
+    nothing stays cached, and a lost executor loses nothing. Site-side tables
+    are broadcast when the counted sites are within ``broadcast_max_rows``,
+    else joined by shuffle.
     """
+    checkpoint_root(points.sparkSession)
     # Points are hash-partitioned by key once; the broadcast joins keep that
     # partitioning, so the per-point windows and the anti-join of every round
     # need no further shuffle.
@@ -168,15 +175,14 @@ def nearest_k(
     small = n_sites <= broadcast_max_rows
     bc = F.broadcast if small else (lambda d: d)
     s0 = float(start_cell_km) if start_cell_km else auto_size
-    leaf_sites = _site_leaves(s_xyz, s0, max_sites_per_leaf, max_leaf_depth).persist()
+    leaf_sites = _site_leaves(s_xyz, s0, max_sites_per_leaf, max_leaf_depth).checkpoint()
     leaves = leaf_sites.groupBy("_d", "lx", "ly", "lz").agg(
         F.count(F.lit(1)).alias("_n_sites"),
         *[F.min(f"s_{a}").alias(f"_min_{a}") for a in "xyz"],
         *[F.max(f"s_{a}").alias(f"_max_{a}") for a in "xyz"],
-    ).persist()
+    ).checkpoint()
     pending = p_all
     settled: list[DataFrame] = []
-    pendings: list[DataFrame] = []
     size = s0
     diameter = 2 * EARTH_RADIUS_KM
     leaf_id = ["_d", "lx", "ly", "lz"]
@@ -226,17 +232,12 @@ def nearest_k(
             settled.append(ranked)
             break
         ok = (F.col("_n") >= k) & (chord_km(F.col("_kth")) < F.lit(size * (1 - 1e-9)))
-        ranked = ranked.withColumn("_done", ok).persist()
+        ranked = ranked.withColumn("_done", ok).checkpoint()
         settled.append(ranked.filter("_done"))
-        pending = pending.join(ranked.filter("_done").select("p_key"), "p_key", "left_anti").persist()
-        pendings.append(pending)
+        pending = pending.join(ranked.filter("_done").select("p_key"), "p_key", "left_anti").checkpoint()
         if pending.isEmpty():
             break
         size *= 2
-    # pending sets only steer the rounds; the kept rounds stay cached (and
-    # can be recomputed from lineage), so the pending caches are released
-    for frame in pendings:
-        frame.unpersist()
     out = settled[0]
     for part in settled[1:]:
         out = out.unionByName(part, allowMissingColumns=True)

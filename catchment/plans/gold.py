@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeconv import instant_to_wall
-from ..operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
 from ..schemas import LOCAL_TZ
 
 GOLD_COLUMNS = [
@@ -57,17 +56,16 @@ def gold_hydro_meteo(
     proximity: DataFrame,
     meteo_stations: DataFrame,
     tz: str = LOCAL_TZ,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     meteo_names_from: DataFrame | None = None,
 ) -> DataFrame:
     """GLD-1: PRJ-3, TIM-2, FLT-1 -> JN-3 -> JN-4 -> JN-5 -> JN-6 -> PRJ-5.
 
-    Small dimensions (rank-1 proximity, station coordinates) are broadcast
-    behind a row-count check. The gauge-hour x weather-hour join (JN-4) is
+    One lazy plan: no side is counted or run first. Spark broadcasts the
+    small dimensions (rank-1 proximity, station coordinates, names) when
+    their measured bytes allow. The gauge-hour x weather-hour join (JN-4) is
     the only big-big join; it shuffles on (station, hour) and AQE splits a
     weather station shared by many gauges. The DISTINCT (code, name) side
-    is partially aggregated and broadcast behind the same row check, so the
-    big side is shuffled once. ``meteo_names_from`` (default ``silver_meteo``) is
+    is partially aggregated. ``meteo_names_from`` (default ``silver_meteo``) is
     the full weather table for the name lookup when ``silver_meteo`` is
     pruned to the days being built.
     """
@@ -96,13 +94,10 @@ def gold_hydro_meteo(
         "discharge_min",
         "discharge_max",
     )
-    p = checked_broadcast(
-        proximity.filter(F.col("proximity_rank") == 1).select(
-            F.col("hydro_station_code").alias("_p_code"),
-            "meteo_station_code",
-            F.col("distance_km").alias("meteo_distance_km"),
-        ),
-        broadcast_max_rows,
+    p = proximity.filter(F.col("proximity_rank") == 1).select(
+        F.col("hydro_station_code").alias("_p_code"),
+        "meteo_station_code",
+        F.col("distance_km").alias("meteo_distance_km"),
     )
     me = silver_meteo.select(
         F.col("jaam_kood").alias("_me_code"),
@@ -118,21 +113,15 @@ def gold_hydro_meteo(
         "wind_direction_deg",
         "sunshine_duration_min",
     )
-    ms = checked_broadcast(
-        meteo_stations.select(
-            F.col("station_code").alias("_ms_code"),
-            F.col("latitude").alias("meteo_latitude"),
-            F.col("longitude").alias("meteo_longitude"),
-        ),
-        broadcast_max_rows,
+    ms = meteo_stations.select(
+        F.col("station_code").alias("_ms_code"),
+        F.col("latitude").alias("meteo_latitude"),
+        F.col("longitude").alias("meteo_longitude"),
     )
-    # (code, name) pairs are bounded by stations x names: broadcast after the
-    # row check, so the joined gauge-hours are not shuffled a second time
-    names = checked_broadcast(
+    names = (
         (meteo_names_from if meteo_names_from is not None else silver_meteo)
         .select(F.col("jaam_kood").alias("_m_code"), F.col("jaam_nimi").alias("meteo_station_name"))
-        .distinct(),
-        broadcast_max_rows,
+        .distinct()
     )
 
     j = h.join(p, h["hydro_station_code"] == p["_p_code"], "left")

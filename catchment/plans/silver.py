@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.predicates import corrected_level
 from ..functions.timeconv import wall_to_instant
 from ..operators.history import VALID_FROM, VALID_TO, point_in_time_join
-from ..operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
 from ..operators.reshape import pivot_long
 from ..schemas import HYDRO_SERIES, LOCAL_TZ, METEO_ELEMENTS, SILVER_HYDRO_DESCRIPTORS, SILVER_METEO_KEYS
 
@@ -41,7 +40,6 @@ def silver_hydro(
     stations: DataFrame,
     valid_from: str = VALID_FROM,
     valid_to: str = VALID_TO,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """SIL-1: pivot the 9 hydro series, attach the station version valid at
     the reading time, fall back to the current station row, and add the
@@ -58,16 +56,13 @@ def silver_hydro(
         F.col(valid_from).cast("timestamp").alias("_s_from"),
         F.col(valid_to).cast("timestamp").alias("_s_to"),
     )
-    current = checked_broadcast(
-        stations.select(
-            F.col("station_code").alias("_r_code"),
-            F.col("station_category").alias("_r_category"),
-            F.col("station_altitude_msl_m").alias("_r_altitude"),
-        ),
-        broadcast_max_rows,
+    current = stations.select(
+        F.col("station_code").alias("_r_code"),
+        F.col("station_category").alias("_r_category"),
+        F.col("station_altitude_msl_m").alias("_r_altitude"),
     )
     joined = point_in_time_join(
-        pivoted, snap, "jaam_kood", "_s_code", "timeline_ts_utc", "_s_from", "_s_to", "left", broadcast_max_rows
+        pivoted, snap, "jaam_kood", "_s_code", "timeline_ts_utc", "_s_from", "_s_to"
     )
     joined = joined.join(current, joined["jaam_kood"] == current["_r_code"], "left")
     altitude = F.coalesce(F.col("_s_altitude"), F.col("_r_altitude"))

@@ -238,38 +238,33 @@ def test_quality_operators(spark):
     assert rows(key_violations(df.union(df.filter("id = 1")), ["id"])) == [(1, 2)]
 
 
-def test_point_in_time_bucketed_path_equals_broadcast_path(spark):
-    """A history too large to broadcast is joined on (key, month) buckets;
-    results must equal the broadcast join, including open-ended versions."""
-    end = dt.datetime(9999, 12, 31)
-    hist = spark.createDataFrame(
-        [
-            (1, 1.0, dt.datetime(2023, 11, 20), dt.datetime(2024, 2, 3, 5)),
-            (1, 2.0, dt.datetime(2024, 2, 3, 5), end),
-            (2, 7.0, dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11)),
-            (3, 9.0, dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1)),  # outside the facts' range
-        ],
-        "code int, alt double, valid_from timestamp_ntz, valid_to timestamp_ntz",
-    ).select("code", "alt", *[F.col(c).cast("timestamp").alias(c) for c in ("valid_from", "valid_to")])
-    facts = (
-        spark.range(0, 24 * 120)
-        .select(
-            (F.col("id") % 4).cast("int").alias("st"),
-            (F.lit(dt.datetime(2023, 12, 1)).cast("timestamp") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("ts"),
-            F.col("id"),
-        )
-    )
-    small = point_in_time_join(facts, hist, "st", "code", "ts")
-    bucketed = point_in_time_join(facts, hist, "st", "code", "ts", broadcast_max_rows=0)
-    split_bc = point_in_time_join(facts, hist, "st", "code", "ts", max_versions_per_key=0)
-    assert bucketed.columns == small.columns == split_bc.columns
-    a = rows(small, "id", "alt")
-    assert a == rows(bucketed, "id", "alt") == rows(split_bc, "id", "alt")
-    inner = point_in_time_join(facts, hist, "st", "code", "ts", how="inner", max_versions_per_key=0)
-    assert rows(inner, "id", "alt") == [r for r in a if r[1] is not None]
-    assert len(a) == 24 * 120
-    assert sum(1 for _, v in a if v == 2.0) > 0
-    assert sum(1 for _, v in a if v == 7.0) == 6  # station 2 every 4 h during one day
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_point_in_time_on_overlapping_empty_and_backdated_intervals(spark, threshold):
+    """Broadcast or shuffled, the join is the plain interval join: a row per
+    matching version, none for an empty or inverted interval."""
+    rnd = random.Random(5)
+    hist = [(rnd.randint(0, 3), i, rnd.randint(0, 40), rnd.randint(0, 60)) for i in range(60)] + [(1, 99, 10, 10_000)]
+    facts = [(i, rnd.randint(0, 4), rnd.randint(0, 50)) for i in range(200)]
+    hdf = spark.createDataFrame([(k, v, h(a), h(b)) for k, v, a, b in hist], "code int, v int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    fdf = spark.createDataFrame([(i, k, h(t)) for i, k, t in facts], "id int, st int, ts timestamp_ntz")
+    want = []
+    for i, k, t in facts:
+        hits = [(i, v) for c, v, a, b in hist if c == k and a <= t < b]
+        want += hits or [(i, None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = rows(point_in_time_join(fdf, hdf, "st", "code", "ts"), "id", "v")
+        inner = rows(point_in_time_join(fdf, hdf, "st", "code", "ts", how="inner"), "id", "v")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == srt(want) and inner == srt(w for w in want if w[1] is not None)
+
+
+def test_scd2_refuses_a_run_before_the_open_version(spark):
+    hist = spark.createDataFrame([(1, 1.0, h(5), dt.datetime(9999, 12, 31))], "k int, v double, valid_from timestamp, valid_to timestamp")
+    cur = spark.createDataFrame([(1, 2.0)], "k int, v double")
+    with pytest.raises(Exception, match="before the open version"):
+        scd2_apply(hist, cur, ["k"], ["v"], F.lit(h(3)).cast("timestamp")).collect()
 
 
 def test_nearest_k_ties_break_by_site_code(spark):
@@ -299,16 +294,10 @@ def test_nearest_k_dense_cluster_matches_brute_force(spark):
     assert by_point == _brute(points, cluster + spread, 3)
 
 
-def test_checked_broadcast_respects_the_bound(spark):
-    from catchment.operators import checked_broadcast
+def test_queries_leave_nothing_cached(spark):
+    from catchment.plans.registry import QUERIES
 
-    facts = spark.range(2000).select((F.col("id") % 50).alias("k"), F.col("id"))
-    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = facts.join(checked_broadcast(dim, 100), "k")._jdf.queryExecution().executedPlan().toString()
-        large = facts.join(checked_broadcast(dim, 10), "k")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small
-    assert "BroadcastHashJoin" not in large
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    for name in ("gold_hydro_meteo", "proximity_upsert", "domain_violations"):
+        QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
