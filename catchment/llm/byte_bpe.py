@@ -28,28 +28,37 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 1_000_000  # a worker's cache is emptied beyond this
+CACHE_ENTRIES = 300_000  # a worker's cache is emptied beyond this
 ROW_BYTES = 256  # longer pre-tokens are encoded one by one
-ROWS_AT_ONCE = 65_536
+ROWS_AT_ONCE = 8_192
 NEVER = np.iinfo(np.int64).max
 
 
+def parse_ranks(rank_file: bytes) -> dict[bytes, int]:
+    """Token bytes and rank of each line of a rank file."""
+    return {base64.b64decode(a): int(b) for a, b in (x.split() for x in rank_file.splitlines() if x)}
+
+
+def tokens_of(ranks: dict[bytes, int]) -> list[bytes]:
+    """Token bytes by id."""
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
 class Vocabulary:
-    """Ranks of a byte-level BPE: tokens by id, and the rank of every pair of
-    tokens that join to a token."""
+    """Ids of single bytes, and the rank of every pair of tokens that join to
+    a token."""
 
     def __init__(self, rank_file: bytes):
-        lines = (x.split() for x in rank_file.splitlines() if x)
-        self.ranks = {base64.b64decode(a): int(b) for a, b in lines}
-        self.tokens = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
-        self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        ranks = parse_ranks(rank_file)
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.pairs = {
-            (self.ranks[t[:i]], self.ranks[t[i:]]): rank
-            for t, rank in self.ranks.items()
+            (ranks[t[:i]], ranks[t[i:]]): rank
+            for t, rank in ranks.items()
             for i in range(1, len(t))
-            if t[:i] in self.ranks and t[i:] in self.ranks
+            if t[:i] in ranks and t[i:] in ranks
         }
         keys = np.array([a << 32 | b for a, b in self.pairs], np.int64)
         order = np.argsort(keys)
@@ -166,11 +175,20 @@ class Vocabulary:
 _worker: dict = {}
 
 
-def _vocabulary(ranks: Broadcast) -> dict:
+def _vocabulary(ranks: Broadcast) -> tuple[Vocabulary, dict]:
     """This worker's vocabulary and cache, built once."""
-    if _worker.get("id") != hash(ranks.value):
-        _worker.update(id=hash(ranks.value), vocab=Vocabulary(ranks.value), cache={})
-    return _worker
+    key = ("encode", hash(ranks.value))
+    if key not in _worker:
+        _worker[key] = Vocabulary(ranks.value), {}
+    return _worker[key]
+
+
+def _tokens(ranks: Broadcast) -> list[bytes]:
+    """This worker's tokens by id, built once."""
+    key = ("decode", hash(ranks.value))
+    if key not in _worker:
+        _worker[key] = tokens_of(parse_ranks(ranks.value))
+    return _worker[key]
 
 
 def load_ranks(spark: SparkSession, path: str) -> Broadcast:
@@ -184,8 +202,7 @@ def encode(text: Column, ranks: Broadcast, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        state, pat = _vocabulary(ranks), regex.compile(pattern)
-        vocab, cache = state["vocab"], state["cache"]
+        (vocab, cache), pat = _vocabulary(ranks), regex.compile(pattern)
         for part in parts:
             blobs = []
             for a in range(0, len(part), 500):
@@ -212,10 +229,9 @@ def decode(ids: Column, ranks: Broadcast) -> Column:
     """Bytes of token ids."""
 
     @F.arrow_udf("binary")
-    def text(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = _vocabulary(ranks)["vocab"].tokens
-        for part in parts:
-            yield pa.array([b"".join([tokens[i] for i in x.tolist()]) for x in _lists(part)], pa.binary())
+    def text(part: pa.Array) -> pa.Array:
+        tokens = _tokens(ranks)
+        return pa.array([b"".join([tokens[i] for i in x.tolist()]) for x in _lists(part)], pa.binary())
 
     return text(ids)
 
@@ -224,8 +240,7 @@ def pack(ids: Column) -> Column:
     """Token ids as little-endian unsigned 32-bit integers."""
 
     @F.arrow_udf("binary")
-    def packed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in parts:
-            yield pa.array([x.tobytes() for x in _lists(part)], pa.binary())
+    def packed(part: pa.Array) -> pa.Array:
+        return pa.array([x.tobytes() for x in _lists(part)], pa.binary())
 
     return packed(ids)
