@@ -606,6 +606,60 @@ FROM retention_plan"""
     q["retention_counts"] = (
         _with(LANDED_FILES, RETENTION_PLAN) + "\nSELECT outcome, count(*) AS n_files FROM retention_plan GROUP BY outcome"
     )
+    hours = """
+per_hour AS (
+  SELECT hydro_station_code, timeline_ts_utc, max(catchment_name) AS catchment_name,
+    CAST(max(observation_ts_local) AS DATE) AS day, max(precipitation_mm) AS rain, max(wl_avg) AS level,
+    max(discharge_avg) AS discharge, max(air_temp_avg) AS temp
+  FROM gold GROUP BY hydro_station_code, timeline_ts_utc)"""
+    q["rain_response"] = (
+        _with(*GOLD_CTES, hours)
+        + """,
+pairs AS (
+  SELECT r.hydro_station_code, date_diff('hour', r.timeline_ts_utc, l.timeline_ts_utc) AS lag, r.rain AS x, l.level AS y
+  FROM per_hour r JOIN per_hour l ON r.hydro_station_code = l.hydro_station_code AND r.rain IS NOT NULL AND l.level IS NOT NULL
+    AND l.timeline_ts_utc BETWEEN r.timeline_ts_utc AND r.timeline_ts_utc + INTERVAL 72 HOUR),
+sums AS (
+  SELECT hydro_station_code, lag, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(y * y) AS syy, sum(x * y) AS sxy
+  FROM pairs GROUP BY 1, 2),
+scored AS (
+  SELECT hydro_station_code, lag, n,
+    round((n * sxy - sx * sy) / sqrt((n * sxx - sx * sx) * (n * syy - sy * sy)), 4) AS correlation
+  FROM sums WHERE n >= 3 AND (n * sxx - sx * sx) * (n * syy - sy * sy) > 1e-6)
+SELECT hydro_station_code, CAST(lag AS INTEGER) AS best_lag_hours, correlation, n AS n_pairs
+FROM scored QUALIFY row_number() OVER (PARTITION BY hydro_station_code ORDER BY correlation DESC, lag) = 1"""
+    )
+    q["rain_events"] = (
+        _with(*GOLD_CTES, hours)
+        + """,
+wet AS (
+  SELECT *, timeline_ts_utc - lag(timeline_ts_utc) OVER (PARTITION BY hydro_station_code ORDER BY timeline_ts_utc) AS dry
+  FROM per_hour WHERE rain > 0),
+islands AS (
+  SELECT *, sum(CASE WHEN dry IS NULL OR dry > INTERVAL 6 HOUR THEN 1 ELSE 0 END)
+    OVER (PARTITION BY hydro_station_code ORDER BY timeline_ts_utc) AS k FROM wet),
+events AS (
+  SELECT hydro_station_code, min(timeline_ts_utc) AS event_start, max(timeline_ts_utc) AS event_end, round(sum(rain), 4) AS rain_mm
+  FROM islands GROUP BY hydro_station_code, k),
+levels AS (
+  SELECT e.*,
+    (SELECT min(level) FROM per_hour h WHERE h.hydro_station_code = e.hydro_station_code
+       AND h.timeline_ts_utc BETWEEN e.event_start - INTERVAL 6 HOUR AND e.event_start) AS base_level,
+    (SELECT max(level) FROM per_hour h WHERE h.hydro_station_code = e.hydro_station_code
+       AND h.timeline_ts_utc BETWEEN e.event_start AND e.event_end + INTERVAL 72 HOUR) AS peak_level
+  FROM events e)
+SELECT *, round(peak_level - base_level, 4) AS rise FROM levels"""
+    )
+    q["daily_summary"] = (
+        _with(*GOLD_CTES, hours)
+        + """
+SELECT catchment_name, day, count(DISTINCT hydro_station_code) AS gauges,
+  round((SELECT avg(s) FROM (SELECT sum(g.rain) AS s FROM per_hour g
+     WHERE g.day = h.day AND g.catchment_name IS NOT DISTINCT FROM h.catchment_name GROUP BY g.hydro_station_code)), 9) AS rain_mm,
+  min(level) AS level_min, round(avg(level), 9) AS level_avg, max(level) AS level_max,
+  round(avg(discharge), 9) AS discharge_avg, round(avg(temp), 9) AS temp_avg
+FROM per_hour h GROUP BY catchment_name, day"""
+    )
     q["weather_station_names"] = (
         _with(METEO_READINGS, BRONZE_METEO, SILVER_METEO)
         + "\nSELECT DISTINCT jaam_kood AS meteo_station_code, jaam_nimi AS meteo_station_name FROM silver_meteo"

@@ -28,6 +28,7 @@ from .audit import day_coverage, run_state
 from .bronze import prepare_batch
 from .gold import gold_hydro_meteo
 from .reference_tables import proximity_matrix
+from .reports import daily_summary, rain_events, rain_response
 from .silver import silver_hydro, silver_meteo
 
 # --- fixed values of the registered checks ------------------------------
@@ -255,6 +256,21 @@ def q_gold_hydro_meteo(spark, d):
     return S.to_ntz(gold_frame(spark, d))
 
 
+def q_rain_response(spark, d):
+    """RPT-1: the lag at which a gauge's level follows rain best."""
+    return rain_response(gold_frame(spark, d))
+
+
+def q_rain_events(spark, d):
+    """RPT-2: rain events and the level's rise after them."""
+    return S.to_ntz(rain_events(gold_frame(spark, d)))
+
+
+def q_daily_summary(spark, d):
+    """RPT-3: rain, level, discharge and temperature per catchment and day."""
+    return daily_summary(gold_frame(spark, d))
+
+
 def q_day_window_hydro(spark, d):
     """SRC-4: one local day of hydro readings (half-open window)."""
     return S.to_ntz(filter_local_day(S.hydro_readings(spark, d), WINDOW_DAY))
@@ -575,5 +591,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "retention_split": q_retention_split,
         "retention_counts": q_retention_counts,
         "weather_station_names": q_weather_station_names,
+        "rain_response": q_rain_response,
+        "rain_events": q_rain_events,
+        "daily_summary": q_daily_summary,
     }.items()
 }
