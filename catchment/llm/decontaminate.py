@@ -60,14 +60,16 @@ def _starts(df: DataFrame, hashes: str, span: int, k: int, short: list[int]) ->
         return _window(i, span, least, g[i], g[i + span - k])
 
     out = [F.when(n >= span, _over(n - span + 1, whole))]
-    for m in short:
 
-        def few(i: Column, m: int = m) -> Column:
+    def few(m: int) -> Callable[[Column], Column]:
+        def at(i: Column) -> Column:
             a = F.xxhash64(*(h[i + j] for j in range(m)), F.lit(m))
             b = F.xxhash64(F.lit(m), *(h[i + j] for j in reversed(range(m))))
             return _window(i, m, a, a, b)
 
-        out.append(F.when(n >= m, _over(n - m + 1, few)))
+        return at
+
+    out += [F.when(n >= m, _over(n - m + 1, few(m))) for m in short]
     none = F.array().cast("array<struct<at:int,words:int,print:bigint,id_a:bigint,id_b:bigint>>")
     return df, F.concat(*(F.coalesce(x, none) for x in out))
 
@@ -151,4 +153,5 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
     text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     judged = find_contamination(docs, bench, [F.col(id_col).alias("_id"), text_key.alias("_key")], text_col=text_col, **options)
     bad = judged.filter("n_hit > 0").select("_id", "_key").distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (text_key == F.col("_key")), "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.struct(F.col(id_col).alias("id"), text_key.alias("key")).alias("own"))
+    return rows.join(bad, F.col("own.id").eqNullSafe(F.col("_id")) & (F.col("own.key") == F.col("_key")), "left_anti").select("doc.*")

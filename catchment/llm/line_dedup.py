@@ -52,7 +52,7 @@ def line_windows(docs: DataFrame, run: int, id_col: str, text_col: str) -> DataF
     h, no = F.col("h"), F.col("no")
 
     def least(i: Column) -> Column:
-        m = F.least(*(h[i + j] for j in range(run)))
+        m = F.least(*(h[i + j] for j in range(run))) if run > 1 else h[i]
         at = F.coalesce(*(F.when(h[i + j] == m, i + j) for j in reversed(range(run))))
         return F.struct(m.alias("print"), at.alias("at"))
 

@@ -141,7 +141,7 @@ dw AS (
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns WHERE len(w) >= n)),
 hit AS (SELECT dw.doc_id, dw.n, dw.i, bw.item_id FROM dw JOIN bw USING (n, g)),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
-its AS (SELECT doc_id, list(DISTINCT CAST(item_id AS VARCHAR)) AS ids FROM hit GROUP BY 1)
+its AS (SELECT doc_id, list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (WHERE item_id IS NOT NULL) AS ids FROM hit GROUP BY 1)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
   sha256(coalesce(array_to_string(list_sort(ids), ','), '')) AS items_sha256,
