@@ -7,6 +7,8 @@ is made per word.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -20,8 +22,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-CHUNK_BYTES = 2 << 20  # text handled at once inside a task
-BATCH_ROWS = 2000  # rows of an Arrow batch: texts are long
+CHUNK_BYTES = 1 << 20  # text handled at once inside a task
+BATCH_ROWS = 1000  # rows of an Arrow batch: texts are long
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -93,6 +95,26 @@ def unstage(*staged: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_state: dict = {}
+
+
+def worker_state(owner: str) -> dict:
+    """What a Python worker keeps between tasks (models, caches) for one
+    operator; another operator's turn drops it."""
+    if _state.get("owner") != owner:
+        _state.clear()
+        _state.update(owner=owner, kept={})
+    return _state["kept"]
+
+
+def give_back() -> None:
+    """Return a worker's freed memory to the system: workers live on between
+    tasks, and an executor's limit counts what they hold."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts (null: none) and the offsets of each text."""
     arr = pc.fill_null(texts, "").cast(pa.large_binary())
