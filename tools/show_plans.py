@@ -3,7 +3,7 @@
 Builds a small lake from the driver tables (like bench.py's pipeline part),
 then plans the daily gold build with adaptive execution off and automatic
 broadcast off, so the plan shows what a large cluster runs when sides are
-big; explicit, row-checked broadcasts of dimensions remain.
+big; small dimensions are broadcast at run time.
 
 usage: python tools/show_plans.py [sf_dir] [explain mode] [--markdown docs/PLANS.md]
 """
@@ -62,7 +62,7 @@ def main() -> None:
 
     raw = p.landed("meteo", day)
     batch = (
-        prepare_batch("meteo", raw, checked=True)
+        prepare_batch("meteo", raw)
         .select(*BRONZE_COLUMNS["meteo"])
         .withColumn("loaded_at", F.current_timestamp())
         .withColumn("dt", partition_day("meteo"))
@@ -88,20 +88,19 @@ NOTES = {
     "silver.hydro build (one UTC day)": (
         "One shuffle: the pivot's partial `HashAggregate` combines map-side (nine `max(CASE ...)` per "
         "station-hour), then the final aggregate. Station history (point-in-time: equi-key plus interval "
-        "residual) and the current station table (fallback) are broadcast after a row-count check: the readings "
-        "are never shuffled for them. (A history with many versions per station, or one beyond the broadcast "
-        "bound, switches to closed versions joined on (station, month) plus open versions on the station; see "
-        "`point_in_time_join`.)"
+        "residual) and the current station table (fallback) are plain joins without a hint: broadcast while their "
+        "measured bytes allow, as at run time here, else shuffled on the station (the shape printed, with "
+        "automatic broadcast off)."
     ),
     "silver.meteo build (one UTC day)": (
-        "One shuffle (pivot). A UTC day is made of two local calendar days, hence two bronze day folders. The "
+        "One shuffle (pivot). The local calendar days around a UTC day are read, whatever the zone. The "
         "wall-clock to instant conversion is a built-in expression inside the codegen stage."
     ),
     "daily gold build (one UTC day)": (
         "Both silver sides are read from the day's folder only. Rank-1 proximity (filter pushed into the scan) "
-        "and station coordinates are broadcast; the station-name lookup reads the small per-day name table, is "
-        "aggregated map-side and broadcast, so the gauge-hours are shuffled exactly once: for the (station, hour) "
-        "join with the weather hours (sort-merge here because both sides are large in the shape shown; with AQE "
+        "and station coordinates carry no hint; the station-name lookup reads the small name table, aggregated "
+        "map-side. At run time Spark broadcasts these small sides, and the gauge-hours are shuffled once: for the "
+        "(station, hour) join with the weather hours (sort-merge here because both sides are large in the shape shown; with AQE "
         "on, a weather station shared by many gauges is split by the skew-join rule)."
     ),
 }
@@ -114,14 +113,14 @@ def write_markdown(path: str, sections) -> None:
 
 Printed by `python tools/show_plans.py /root/testdata/sf0.001 formatted --markdown docs/PLANS.md` after building a
 lake from the driver tables. Adaptive execution and automatic broadcast are switched **off** for the printout, so
-the plans show the shape a large cluster runs when the fact sides are big; only the explicit, row-checked
-broadcasts of dimension tables remain. Paths are scratch folders of that run.
+the plans show the shape that is left when every side is big; small dimensions are broadcast at run time by their
+measured bytes. Paths are scratch folders of that run.
 
-| step | shuffles of the big input | files read | broadcast (row-checked) |
+| step | shuffles of the big input | files read | broadcast at run time |
 | --- | --- | --- | --- |
-| bronze merge | 1 (key), shared by dedup and anti-join | touched day folders | - (daily batch broadcast at runtime when small) |
+| bronze merge | 1 (key), shared by dedup and anti-join | touched day folders | daily batch, when small |
 | silver.hydro | 1 (pivot keys, map-side combine) | day folder | station history, stations |
-| silver.meteo | 1 (pivot keys, map-side combine) | two local-day folders | - |
+| silver.meteo | 1 (pivot keys, map-side combine) | three local-day folders | - |
 | gold | 1 (station, hour) | day folders of both sides | rank-1 proximity, coordinates, station names |
 
 """
