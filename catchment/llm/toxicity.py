@@ -31,16 +31,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, flat, mix, ship, window_hashes, words
+from .common import Words, chunks, flat, mix, ship, window_hashes, words, worker_state
 
-TOXIC_ROWS = 1000
-CLEAN_ROWS = 2000
+TOXIC_ROWS = 800
+CLEAN_ROWS = 1600
 FEATURE_BITS = 18
 ROUNDS = 25
 CACHE_ENTRIES = 500_000
 SCORE_BYTES = 8 << 20  # every chunk takes as many steps as its longest text has words
 _EDGE = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>*#$%&|-_/\\~^`+=@"
-_worker: dict = {}
 
 
 def word_features(word: bytes) -> list[int]:
@@ -61,9 +60,10 @@ class Crf:
     ident: int = 0
 
     def emissions(self, w: Words) -> np.ndarray:
-        if _worker.get("crf") != self.ident:
-            _worker.update(crf=self.ident, cache={})
-        cache = _worker["cache"]
+        kept = worker_state("toxicity")
+        if kept.get("crf") != self.ident:
+            kept.update(crf=self.ident, cache={})
+        cache = kept["cache"]
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
         out = np.empty(len(w.distinct))
@@ -156,6 +156,7 @@ def fit(texts: list[str], toxic: list[int]) -> Crf:
     w = words(*flat(arr))
     keep = _apart(w, w.hashes())
     y, w = y[keep], words(*flat(arr.take(pa.array(keep))))
+    del arr
     feats = [word_features(x) for x in w.distinct.to_pylist()]
     owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
     feat = np.concatenate([np.zeros(0, np.int64), *map(np.array, feats)]).astype(np.int64)
