@@ -28,7 +28,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 300_000  # a worker's cache is emptied beyond this
+from .common import give_back, worker_state
+
+CACHE_ENTRIES = 250_000  # a worker's cache is emptied beyond this
 ROW_BYTES = 256  # longer pre-tokens are encoded one by one
 ROWS_AT_ONCE = 8_192
 NEVER = np.iinfo(np.int64).max
@@ -172,23 +174,20 @@ class Vocabulary:
         return out
 
 
-_worker: dict = {}
-
-
 def _vocabulary(ranks: Broadcast) -> tuple[Vocabulary, dict]:
     """This worker's vocabulary and cache, built once."""
-    key = ("encode", hash(ranks.value))
-    if key not in _worker:
-        _worker[key] = Vocabulary(ranks.value), {}
-    return _worker[key]
+    kept, key = worker_state("byte_bpe"), ("encode", hash(ranks.value))
+    if key not in kept:
+        kept[key] = Vocabulary(ranks.value), {}
+    return kept[key]
 
 
 def _tokens(ranks: Broadcast) -> list[bytes]:
     """This worker's tokens by id, built once."""
-    key = ("decode", hash(ranks.value))
-    if key not in _worker:
-        _worker[key] = tokens_of(parse_ranks(ranks.value))
-    return _worker[key]
+    kept, key = worker_state("byte_bpe"), ("decode", hash(ranks.value))
+    if key not in kept:
+        kept[key] = tokens_of(parse_ranks(ranks.value))
+    return kept[key]
 
 
 def load_ranks(spark: SparkSession, path: str) -> Broadcast:
@@ -215,6 +214,7 @@ def encode(text: Column, ranks: Broadcast, pattern: str) -> Column:
             ends = np.cumsum([0, *(len(b) // 4 for b in blobs)])
             values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(blobs))])
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        give_back()
 
     return ids(text)
 

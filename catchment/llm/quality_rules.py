@@ -16,13 +16,15 @@ change nothing; an empty table gives the starting model and no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, flat, per_text, stage, words
+from .common import chunks, flat, give_back, per_text, stage, words, worker_state
 
 _COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -104,8 +106,11 @@ def count_features(texts: pa.Array) -> pa.Array:
 
 def quality_counts(text: Column) -> Column:
     @F.arrow_udf(FEATURES)
-    def counts(t: pa.Array) -> pa.Array:
-        return count_features(t)
+    def counts(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_state("quality_rules")
+        for t in parts:
+            yield count_features(t)
+        give_back()
 
     return counts(text)
 
@@ -200,6 +205,6 @@ def keep_quality(docs: DataFrame, text_col: str = "text", threshold: float = 0.5
     pass counts again in place, so no text is shuffled or stored."""
     counted = docs.select(F.struct("*").alias("doc"), quality_counts(F.col(text_col)).alias("f"))
     votes = counted.select("doc", "f", pattern_of(F.col("f")).alias("pattern"))
-    model = label_model(votes.groupBy("pattern").count())
+    model = label_model(stage(votes.select("pattern"), "patterns").groupBy("pattern").count())
     judged = votes.join(F.broadcast(model), "pattern").filter(~base_failed(F.col("f")) & (F.col("p_quality") >= threshold))
     return judged.select("doc.*")

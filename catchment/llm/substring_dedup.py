@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, flat, mix, stage, unstage, window_hashes, words
+from .common import chunks, flat, give_back, mix, stage, unstage, window_hashes, words, worker_state
 
 WINDOW = 13
 GRAM = 5
@@ -63,6 +63,7 @@ def anchors(text: Column, window: int, k: int) -> Column:
 
     @F.arrow_udf("array<bigint>")
     def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_state("substring_dedup")
         for part in parts:
             values, ends = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
             for texts in chunks(part):
@@ -74,6 +75,7 @@ def anchors(text: Column, window: int, k: int) -> Column:
                 values.append(anchor[new].view(np.int64))
                 ends.append(ends[-1][-1] + np.cumsum(np.bincount(doc[new], minlength=len(texts))))
             yield pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(values)))
+        give_back()
 
     return of(text)
 

@@ -21,23 +21,23 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import worker_state
+
 CACHE_ENTRIES = 1_000_000  # a worker's cache is emptied beyond this
 TIER_ENTRIES = 65_536  # frequent pre-tokens that are broadcast
 TIER_SAMPLE_ROWS = 4_000  # about so many documents choose them
 
-_state: dict = {}
-
-
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    if _state.get("path") != path:
+    kept = worker_state("token_counts")
+    if kept.get("path") != path:
         import json
 
         with open(path, encoding="utf-8") as f:
             special = [t["content"] for t in json.load(f)["added_tokens"]]
-        _state.update(path=path, tok=Tokenizer.from_file(path), special=special, cache={})
-    return _state
+        kept.update(path=path, tok=Tokenizer.from_file(path), special=special, cache={})
+    return kept
 
 
 def _pieces(text: str, pattern, special: list[str]) -> tuple[list[str], int]:
