@@ -23,6 +23,8 @@ from catchment.llm.quality_rules import keep_quality
 
 # Near duplicates: word n-grams and the least similarity, NUM / DEN.
 NGRAM, NUM, DEN = 5, 80, 100
+# Line dedup: words from which a later run of one or two lines is deleted too.
+LONG_WORDS = 50
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +34,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the runs of lines that earlier ones hold; those left
+    """Documents without the runs of lines that earlier ones hold (three lines
+    and more, LONG_WORDS words and more, or a whole document); those left
     without a word go. ``n_chars`` follows the text."""
-    kept = drop_repeated_lines(docs)
+    kept = drop_repeated_lines(docs, long_words=LONG_WORDS)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -165,6 +165,24 @@ def dedup_lines(docs, run=3):
     return out
 
 
+def dedup_passages(docs, run=3, long_words=50):
+    """``dedup_lines`` that also deletes later runs of fewer lines with
+    ``long_words`` words or that are a whole document."""
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        lines = (text or "").split("\n")
+        worded = [(k, x.strip(LINE_SPACE)) for k, x in enumerate(lines) if x.strip(LINE_SPACE)]
+        gone = set()
+        for size in range(1, run + 1):
+            for a in range(len(worded) - size + 1):
+                w = tuple(x for _, x in worded[a : a + size])
+                if w in seen and (size in (run, len(worded)) or sum(len(WORD.findall(x)) for x in w) >= long_words):
+                    gone |= {k for k, _ in worded[a : a + size]}
+                seen.add(w)
+        out[i] = len(worded), len(gone), text if not gone else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
 # --- sharding --------------------------------------------------------------
 def jump(key, shards):
     b, j = -1, 0

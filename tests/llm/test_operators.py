@@ -151,6 +151,20 @@ def test_lines_of_awkward_rows(awkward, docs):
     assert kept.columns == awkward.columns and kept.filter("doc_id is null and text is not null").isEmpty()
 
 
+@pytest.mark.parametrize("run, long_words", [(3, 50), (3, 6), (4, 5), (1, 2)])
+def test_passages_of_few_lines(spark, run, long_words):
+    rnd = random.Random(run * long_words)
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    docs = [(1, f"head\n{one}\ntail"), (2, f"other\n {one} \nend"), (3, f"p {two}\nq"), (4, f"z\np {two}\nq"), (5, "q"), (6, "lone line"), (7, "lone line"), (8, "a b\nc d"), (9, "\na b\n\n c d")]
+    lines = ["a", "b c", " b c ", "", "d e f g", "h i j k l", "q"]
+    docs += [(i, "\n".join(rnd.choice(lines) for _ in range(rnd.randint(0, 6)))) for i in range(10, 60)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    got = {r.doc.doc_id: (r.n_lines, r.n_removed, r.clean) for r in line_dedup.dedup_lines(df, run, long_words=long_words).collect()}
+    want = brute.dedup_passages(docs, run, long_words)
+    assert got == want
+    assert [want[i][1] for i in (2, 4, 5, 7, 9)] == ([1, 2, 1, 1, 2] if run > 1 else [want[i][1] for i in (2, 4, 5, 7, 9)])
+
+
 @pytest.mark.parametrize("window, k", [(13, 5), (6, 2), (4, 4)])
 def test_substring_windows(spark, window, k):
     rnd = random.Random(window)

@@ -44,3 +44,11 @@ def test_run_gives_the_last_stage(spark, tables):
     out = corpus_pipeline.run(spark, tables["edge"])
     assert out.columns == ["doc_id", "lang", "source", "ids", "n_tokens"] and out.count() > 5
     assert corpus_pipeline.run(spark, tables["empty"]).count() == 0
+
+
+def test_passages_of_one_and_two_lines_go(spark, tables):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    rows = [(1, f"head\n{one}\ntail"), (2, f"other\n{one}\nend"), (3, f"p {two}\nq"), (4, f"z\np {two}\nq"), (5, one)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], spark.read.parquet(tables["edge"] + "/documents.parquet").schema)
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, tables["edge"]).collect()}
+    assert got == {1: rows[0][1], 2: "other\nend", 3: rows[2][1], 4: "z"}
