@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchment.llm.byte_bpe import encode, load_ranks
+from catchment.llm.byte_bpe import decode, encode, load_ranks
 from catchment.llm.common import ship, stage, table
 from catchment.llm.decontaminate import drop_contaminated
 from catchment.llm.line_dedup import drop_repeated_lines
@@ -53,11 +53,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
+    """Token ids of each document, decoded again: a text that its ids don't
+    give back byte by byte fails the stage."""
     ship(spark)
     ranks = load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = docs.select("doc_id", "lang", "source", encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids"))
-    return ids.withColumn("n_tokens", F.size("ids").cast("long"))
+    ids = docs.select("doc_id", "lang", "source", "text", encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids"))
+    same = decode(F.col("ids"), ranks) == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    lost = F.raise_error(F.concat(F.lit("byte_bpe: the ids do not decode to the text of document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    return ids.select("doc_id", "lang", "source", F.when(same, F.col("ids")).otherwise(lost).alias("ids"), F.size("ids").cast("long").alias("n_tokens"))
 
 
 STAGES = [

@@ -3,7 +3,9 @@
 import base64
 
 import public_tokenizers
+import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
@@ -52,3 +54,12 @@ def test_passages_of_one_and_two_lines_go(spark, tables):
     df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], spark.read.parquet(tables["edge"] + "/documents.parquet").schema)
     got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, tables["edge"]).collect()}
     assert got == {1: rows[0][1], 2: "other\nend", 3: rows[2][1], 4: "z"}
+
+
+def test_ids_that_do_not_decode_to_the_text_fail(spark, tables, monkeypatch):
+    df = spark.createDataFrame([(1, "two words", "en", "s", 9), (None, None, "en", "s", 0)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert [r.n_tokens for r in corpus_pipeline.byte_bpe(spark, df, "").orderBy("doc_id").collect()] == [0, 2]
+    encode = corpus_pipeline.encode
+    monkeypatch.setattr(corpus_pipeline, "encode", lambda *a: F.slice(encode(*a), 1, 1))
+    with pytest.raises(Exception, match="do not decode to the text of document 1"):
+        corpus_pipeline.byte_bpe(spark, df, "").collect()
