@@ -6,8 +6,11 @@ into itself. Slots number the rows of a shard without gaps.
 
 Slots are dealt without sorting a shard in one task: rows fall into (shard,
 bucket) cells of bounded size by a hash of the row, a small count table gives
-each cell its first slot, and only a cell's rows are ranked together. Texts
-stay in the scan; id, size and checksum are all that is shuffled.
+each cell its first slot, and only a cell's rows are ranked together. Rows that
+repeat id and text more often than a cell holds take the last slots of their
+shard, in cells of their own by a hash of the stored row number; only which of
+these equal rows takes which slot depends on that number. Texts stay in the
+scan; id, size and checksum are all that is shuffled.
 
 Defined cases: a null text has size 1 and the checksum of no bytes; a null id
 is hashed as one fixed key; rows that repeat an id share its shard and take
@@ -49,6 +52,21 @@ def shard_of(key: Column, shards: int) -> Column:
     return jump(key)
 
 
+def deal_cells(placed: DataFrame, shards: int) -> DataFrame:
+    """``placed`` with the cell of each row."""
+    cells = max(1, placed.count() // (shards * ROWS_PER_CELL))
+    row = ["key", "text_crc32", "size"]
+    many = placed.groupBy(*row).agg(F.count("*").alias("n")).filter(F.col("n") > ROWS_PER_CELL)
+    many = stage(many.select(*row, F.ceil(F.col("n") / ROWS_PER_CELL).cast("long").alias("parts")), "shard-copies")
+    # size and checksum spread the rows of one id over the cells too
+    one = F.pmod(F.xxhash64(*row), F.lit(cells)).cast("int")
+    part = F.pmod(F.xxhash64("row"), F.col("parts"))
+    zero = F.lit(0).cast("long")
+    rare = F.struct(one.alias("no"), *(zero.alias(c) for c in row), zero.alias("part"))
+    own = F.struct(F.lit(cells).alias("no"), *(F.col(c).alias(c) for c in row), part.alias("part"))
+    return placed.join(many, row, "left").withColumn("cell", F.when(F.col("parts").isNull(), rare).otherwise(own)).drop("parts")
+
+
 def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, size, text_crc32, law, shard, slot and grown_shard of each row."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -58,15 +76,14 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
         key.alias("key"),
+        F.monotonically_increasing_id().alias("row"),
     )
     placed = stage(rows.withColumn("shard", shard_of(F.col("key"), shards)).withColumn("grown_shard", shard_of(F.col("key"), shards + 1)), "shards")
-    cells = max(1, placed.count() // (shards * ROWS_PER_CELL))
-    # size and checksum spread the rows of one id over the cells too
-    placed = placed.withColumn("cell", F.pmod(F.xxhash64("key", "text_crc32", "size"), F.lit(cells)).cast("int"))
+    placed = deal_cells(placed, shards)
     counts = placed.groupBy("shard", "cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    rank = F.row_number().over(Window.partitionBy("shard", "cell").orderBy("key", "text_crc32", "size"))
+    rank = F.row_number().over(Window.partitionBy("shard", "cell").orderBy("key", "text_crc32", "size", "row"))
     return (
         placed.withColumn("rank", rank)
         .join(first, ["shard", "cell"])

@@ -211,6 +211,22 @@ def test_slots_over_many_cells_and_repeated_rows(spark, monkeypatch, awkward):
     assert len({r.shard for r in out if r.doc_id is None}) == 1
 
 
+def test_rows_that_repeat_id_and_text_fill_several_cells(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_CELL", 40)
+    dealt, deal = [], sharding.deal_cells
+    monkeypatch.setattr(sharding, "deal_cells", lambda *a: dealt.append(deal(*a)) or dealt[-1])
+    df = spark.range(300).select((F.col("id") % 3 * F.col("id")).alias("doc_id"), F.lit("x").alias("text")).repartition(4)
+    out = sharding.assign_shards(df, 2).collect()
+    assert len(out) == 300
+    for s in range(2):
+        own = sorted(r.slot for r in out if r.shard == s)
+        assert own == list(range(len(own)))
+    copies = sorted(r.slot for r in out if r.doc_id == 0)
+    assert len(copies) == 100 and copies == list(range(copies[0], copies[0] + 100))
+    sizes = [r["count"] for r in dealt[0].filter(F.col("cell.part") + F.col("cell.size") > 0).groupBy("shard", "cell").count().collect()]
+    assert sum(sizes) == 100 and len(sizes) == 3 and max(sizes) < 60
+
+
 # --- byte pairs --------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def vocab():
