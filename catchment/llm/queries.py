@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import decode, encode, load_ranks, pack
+from .collocations import mine_collocations
 from .common import table
 from .decontaminate import find_contamination
+from .language_id import identify_language
 from .line_dedup import dedup_lines
 from .ngram_jaccard import jaccard_components
 from .quality_rules import judge_quality
 from .sharding import assign_shards
+from .source_divergence import source_divergence
 from .substring_dedup import dedup_substrings
 from .token_counts import count_tokens
 from .toxicity import score_toxicity
@@ -85,6 +88,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -96,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_language_id": op12_language_id,
+    "op13_collocations": op13_collocations,
 }
 
 _OP2 = r"""
@@ -190,4 +208,75 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(m.n, 0) AS n_removed, sha
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard": _OP2, "op5_decontamination": _OP5, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10}
+_OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+occ AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM occ GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+grp AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM occ GROUP BY 1, 2, 3),
+cell AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(n.n, 0) AS n
+  FROM grp g JOIN kept k USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+size AS (SELECT lang, source, sum(n) AS size, count(*) AS v, sum(total) AS lang_size FROM cell GROUP BY 1, 2),
+p AS (
+  SELECT lang, source, term, n,
+    1 + (1000000000::HUGEINT * (n + 1)) // (size + v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (total + 1)) // (lang_size + v)::HUGEINT AS q
+  FROM cell JOIN size USING (lang, source)),
+pair AS (
+  SELECT g.lang, g.source, 'pair' AS part, o.source AS item,
+    coalesce(f.value, 0) AS value
+  FROM grp g JOIN grp o ON o.lang = g.lang AND o.source <> g.source
+  LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS other, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3) f
+  ON f.lang = g.lang AND f.source = g.source AND f.other = o.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+both_parts AS (SELECT * FROM pair UNION ALL SELECT * FROM term),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+_OP13 = r"""
+WITH piece AS (
+  SELECT lang, d, unnest(ps) AS p, generate_subscripts(ps, 1) AS i
+  FROM (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+        FROM documents)),
+ws AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') AS w FROM piece),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM ws, range(1, 6) t(k) WHERE len(w) >= k)
+  GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM ws GROUP BY 1),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, j, x.f AS l, y.f AS r, n.n,
+    (1000::HUGEINT * c.a * n.n) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c JOIN n USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.k = j AND x.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - j AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+worst AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM cut),
+inner_part AS (
+  SELECT lang, phrase AS longer, a AS f, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand))),
+gone AS (SELECT DISTINCT c.lang, c.phrase FROM cand c JOIN inner_part x ON x.lang = c.lang AND x.phrase = c.phrase AND 100 * x.f >= 100 * c.a),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM worst ANTI JOIN gone USING (lang, phrase) WHERE o = 1)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM best WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_jaccard": _OP2,
+    "op5_decontamination": _OP5,
+    "op9_substring_dedup": _OP9,
+    "op10_line_dedup": _OP10,
+    "op11_source_divergence": _OP11,
+    "op13_collocations": _OP13,
+}

@@ -191,3 +191,56 @@ def jump(key, shards):
         key = (key * 2862933555777941757 + 1) % 2**64
         j = int((b + 1) * (float(1 << 31) / ((key >> 33) + 1)))
     return b
+
+
+def divergence(rows, min_docs=3, top=200):
+    """(lang, source, part, item, value, rank) of (lang, source, text) rows."""
+    docs = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", fold(t or ""))) for lang, source, t in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        own = [(s, Counter(ws)) for x, s, ws in docs if x == lang]
+        df = Counter(w for _, ws in own for w in ws)
+        kept = sorted((w for w in df if df[w] >= min_docs), key=str.encode)
+        counts = {s: Counter() for s, _ in own}
+        for s, ws in own:
+            counts[s].update(ws)
+        whole = sum(counts.values(), Counter())
+
+        def share(c):
+            d = sum(c[w] for w in kept) + len(kept)
+            return {w: 1 + 10**9 * (c[w] + 1) // d for w in kept}
+
+        q, p = share(whole), {s: share(c) for s, c in counts.items()}
+        for s in counts:
+            pair = [(sum((p[s][w] - p[o][w]) ** 2 // p[o][w] for w in kept), o) for o in counts if o != s]
+            term = [((p[s][w] - q[w]) ** 2 // q[w], w) for w in kept if counts[s][w] and p[s][w] > q[w]]
+            for part, found, most in (("pair", pair, None), ("term", term, top)):
+                for rank, (v, item) in enumerate(sorted(found, key=lambda x: (-x[0], x[1].encode()))[:most], 1):
+                    out.append((lang, s, part, item, v, rank))
+    return out
+
+
+def collocations(rows, max_words=5, least=100, top=2000, closed=100):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    f, n = {}, Counter()
+    for lang, t in rows:
+        lang = "und" if lang is None else lang
+        c = f.setdefault(lang, Counter())
+        for piece in re.split(r"[.,;:!?\x0a-\x0d]", fold(t or "")):
+            ws = re.findall(r"[^ \t]+", piece)
+            n[lang] += len(ws)
+            for k in range(1, max_words + 1):
+                c.update(tuple(ws[i : i + k]) for i in range(len(ws) - k + 1))
+    out = []
+    for lang, c in f.items():
+        cand = {p: a for p, a in c.items() if len(p) > 1 and a >= least}
+        found = []
+        for p, a in cand.items():
+            inside = lambda q, p=p: any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+            if any(len(q) > len(p) and 100 * b >= closed * a and inside(q) for q, b in cand.items()):
+                continue
+            score, k = min((1000 * a * n[lang] // (c[p[:k]] * c[p[k:]]), k) for k in range(1, len(p)))
+            found.append((-score, -a, " ".join(p).encode(), c[p[:k]], c[p[k:]]))
+        for rank, (score, a, p, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n[lang], -score))
+    return out
