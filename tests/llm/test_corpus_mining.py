@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from catchment.llm import collocations, language_id, source_divergence
 from catchment.llm.queries import QUERIES
@@ -158,22 +159,29 @@ def test_collocations_equal_brute_force(frame, plain):
 
 
 def test_collocations_in_many_small_blocks(frame, plain, monkeypatch):
-    monkeypatch.setattr(collocations, "TILE_BITS", 2)
+    monkeypatch.setattr(collocations, "BUCKET_KEYS", 50)
     monkeypatch.setattr(collocations, "ORDER_ROWS", 3)
     small = [r for r in plain if len(r[1] or "") < 10_000]
     few = frame.filter("text IS NULL OR length(text) < 10000").repartition(9)
     assert rows(collocations.mine_collocations(few, least=2)) == srt(brute.collocations([(lang, t) for _, t, lang, _ in small], 5, 2))
 
 
-def test_tally_of_dense_and_sparse_tiles(monkeypatch):
+def test_tally_of_dense_and_sparse_tiles(spark, monkeypatch):
     monkeypatch.setattr(collocations, "TILE_BITS", 3)
     monkeypatch.setattr(collocations, "DENSE", 40)
     rnd = np.random.default_rng(2)
     left, right = (np.minimum(rnd.zipf(1.3, 3000), 2**31) - 1 for _ in range(2))
     keys, counts, which = collocations.tally(left, right)
-    pair = left.astype(np.int64) << 32 | right
-    assert len(set(keys.tolist())) == len(keys) and (keys[which] == pair).all()
-    assert (counts == np.bincount(which, minlength=len(keys))).all()
+    assert (np.diff(keys) > 0).all() and (counts == np.bincount(which, minlength=len(keys))).all()
+    frame = spark.createDataFrame([(int(k),) for k in keys], "key long")
+    a, b = collocations.halves(F.col("key"))
+    back = np.array(frame.select(a, b).collect())
+    assert (back[which] == np.stack([left, right], 1)).all()
+
+
+@pytest.mark.parametrize("numbers", [np.zeros(0, np.int64), np.array([3, -1, 2**31 - 1], np.int32), np.array([0, 2**62, -5])])
+def test_packed_numbers(numbers):
+    assert collocations.unpack(collocations.pack(numbers)).tolist() == numbers.tolist()
 
 
 def test_scores_past_64_bits(spark):
