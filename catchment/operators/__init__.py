@@ -1,4 +1,4 @@
-from .history import open_end_ts, point_in_time_join, scd2_apply, scd2_from_extracts, scd2_pending_changes
+from .history import as_of_join, open_end_ts, point_in_time_join, scd2_apply, scd2_from_extracts, scd2_pending_changes
 from .keyed import (
     DuplicateKeyError,
     assert_unique,
@@ -23,6 +23,7 @@ from .quality import (
 from .reshape import melt_wide, pivot_long
 
 __all__ = [
+    "as_of_join",
     "DuplicateKeyError",
     "EmptyBatchError",
     "RequiredFieldError",

@@ -200,3 +200,75 @@ def point_in_time_join(
         & (facts[fact_ts] < history[valid_to])
     )
     return facts.join(history, cond, how)
+
+
+def _segments(history: DataFrame, hist_key: str, valid_from: str, valid_to: str) -> DataFrame:
+    """_k, _p, _b, _x: what is valid for a key from ``_p`` to its next ``_p``:
+    the version that started last, ``_b`` (``v``, until ``t``), and earlier
+    ones that still hold, ``_x``. Without overlaps ``_x`` is empty, and there
+    is one row for each version."""
+    version = F.struct(*[F.col(c) for c in history.columns])
+    v = history.filter((F.col(valid_from) < F.col(valid_to)) & F.col(hist_key).isNotNull())
+    v = v.select(F.col(hist_key).alias("_k"), F.col(valid_from).alias("_s"), F.col(valid_to).alias("_t"), version.alias("_v"))
+    by_start = Window.partitionBy("_k").orderBy("_s", "_t", F.xxhash64("_v"))
+    v = v.withColumn("_n", F.lead("_s").over(by_start))
+    base = v.filter(F.col("_n").isNull() | (F.col("_s") < F.col("_n"))).select("_k", F.col("_s").alias("_p"), F.struct(F.col("_v").alias("v"), F.col("_t").alias("t")).alias("_b"))
+    # a version that outlasts the start of the next one
+    tails = v.filter(F.col("_n") < F.col("_t")).select("_k", "_n", "_t", "_v")
+    none = F.lit(None).cast(base.schema["_b"].dataType).alias("_b")
+    points = base.unionByName(tails.select("_k", F.explode(F.array("_n", "_t")).alias("_p"), none)).groupBy("_k", "_p").agg(F.max("_b").alias("_b"))
+    points = points.withColumn("_b", F.last("_b", ignorenulls=True).over(Window.partitionBy("_k").orderBy("_p")))
+    held = points.select("_k", "_p").join(tails, "_k").filter((F.col("_n") <= F.col("_p")) & (F.col("_p") < F.col("_t")))
+    held = held.groupBy("_k", "_p").agg(F.collect_list("_v").alias("_x"))
+    return points.join(held, ["_k", "_p"], "left").select("_k", "_p", "_b", F.coalesce("_x", F.array().cast(held.schema["_x"].dataType)).alias("_x"))
+
+
+def as_of_join(
+    facts: DataFrame,
+    history: DataFrame,
+    fact_key: str,
+    hist_key: str,
+    fact_ts: str,
+    valid_from: str = VALID_FROM,
+    valid_to: str = VALID_TO,
+    how: str = "left",
+) -> DataFrame:
+    """JN-1 for long histories: the rows of :func:`point_in_time_join` at a
+    cost of facts plus versions, however many versions a key has.
+
+    Facts and the starts of what is valid are sorted together per (key,
+    month), and each fact takes the last start before it; a month opens with
+    what its key had last. Months after a key's last start need no rows: one
+    row per key answers them. Overlapping versions travel as a list. So no
+    task sorts a key's whole facts, and no fact meets versions it does not
+    need. Facts without a key or time match nothing.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(how)
+    seg = _segments(history, hist_key, valid_from, valid_to)
+    month = lambda c: F.date_trunc("month", c).cast("timestamp_ntz")
+    state = F.struct("_p", "_b", "_x")
+    starts = seg.select("_k", month("_p").alias("_m"), F.lit(1).alias("_o"), F.col("_p").alias("_at"), state.alias("_g"))
+    # the state at the start of each later month up to the key's last start
+    last_in_month = starts.groupBy("_k", "_m").agg(F.max_by("_g", "_at").alias("_g"))
+    after = F.lead("_m").over(Window.partitionBy("_k").orderBy("_m"))
+    months = last_in_month.withColumn("_to", after).filter("_to IS NOT NULL")
+    step = F.expr("INTERVAL 1 MONTH")
+    edges = months.select("_k", F.explode(F.sequence(F.col("_m") + step, F.col("_to"), step)).alias("_m"), "_g")
+    edges = edges.select("_k", "_m", F.lit(0).alias("_o"), F.lit(None).cast(seg.schema["_p"].dataType).alias("_at"), "_g")
+    final = seg.groupBy("_k").agg(F.max_by(state, "_p").alias("_final")).withColumnRenamed("_k", "_fk")
+
+    row = F.struct(*[F.col(c) for c in facts.columns]).alias("_f")
+    key_type, at_type = seg.schema["_k"].dataType, seg.schema["_p"].dataType
+    own = facts.select(F.col(fact_key).cast(key_type).alias("_k"), month(F.col(fact_ts)).alias("_m"), F.lit(2).alias("_o"), F.col(fact_ts).cast(at_type).alias("_at"), row)
+    own = own.join(final, F.col("_k") == F.col("_fk"), "left").drop("_fk")
+    blank = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("_f", "_final")]
+    marks = starts.unionByName(edges).select("*", *blank)
+    both = own.withColumn("_g", F.lit(None).cast(marks.schema["_g"].dataType)).unionByName(marks)
+    seen = F.last("_g", ignorenulls=True).over(Window.partitionBy("_k", "_m").orderBy(F.col("_at").asc_nulls_first(), "_o").rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("_g", F.when(F.col("_at") >= F.col("_final._p"), F.col("_final")).otherwise(seen)).filter("_f IS NOT NULL")
+    base = F.when(F.col("_at") < F.col("_g._b.t"), F.array("_g._b.v")).otherwise(F.array().cast(seg.schema["_x"].dataType))
+    none = F.array().cast(seg.schema["_x"].dataType)
+    valid = F.when(F.col("_k").isNull() | F.col("_at").isNull(), none).otherwise(F.concat(base, F.coalesce("_g._x", none)))
+    explode = F.explode_outer if how == "left" else F.explode
+    return found.select("_f", explode(valid).alias("_v")).select("_f.*", "_v.*")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.keyed import DuplicateKeyError, latest_revision, merge_rows
+from ..operators.keyed import DuplicateKeyError, latest_revision
 from ..operators.quality import EmptyBatchError, RequiredFieldError
 from ..schemas import HYDRO_KEY, HYDRO_RAW, HYDRO_REQUIRED, METEO_KEY, METEO_RAW, METEO_REQUIRED
 from ..sources.store import Lakehouse
@@ -108,6 +108,55 @@ def prepare_batch(source: str, raw: DataFrame, on_duplicate: str = "fail", profi
     return latest_revision(raw, keys, version, _record_order(raw))
 
 
+# Where a stored row was landed: what decides between it and a later arrival.
+PROVENANCE = ["landed_on", "relanded_at", "landed_in", "landings"]
+
+
+def with_provenance(source: str, raw: DataFrame, batch: DataFrame) -> DataFrame:
+    """``batch`` (one row per key of ``raw``) with the place of its record in
+    the order of publication, and every landing that held the key."""
+    keys = KEYS[source]
+    place = {"landed_on": ("file_date", "date"), "relanded_at": ("relanded_at", "timestamp"), "landed_in": ("source_file", "string")}
+    known = {a: (F.col(c) if c in batch.columns else F.lit(None)).cast(t).alias(a) for a, (c, t) in place.items()}
+    unit = [F.coalesce(F.col(c).cast("string"), F.lit("")) if c in raw.columns else F.lit("") for c in ("file_date", "landing_unit", "source_file")]
+    landings = raw.select(*keys, F.struct(F.concat_ws("|", *unit[:2]).alias("unit"), unit[2].alias("file")).alias("l"))
+    landings = landings.groupBy(*keys).agg(F.sort_array(F.collect_set("l")).alias("landings"))
+    return batch.select(*BRONZE_COLUMNS[source], *known.values()).join(landings, keys)
+
+
+def _repeats(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of ``new`` that another file of one of their landing units held before."""
+    elsewhere = F.exists("n.landings", lambda a: F.exists("o.landings", lambda b: (a["unit"] == b["unit"]) & (a["file"] != b["file"])))
+    return new.alias("n").join(old.alias("o"), keys).filter(elsewhere)
+
+
+def merge_landed(source: str, old: DataFrame, new: DataFrame, ordered: bool) -> DataFrame:
+    """Stored rows and a batch, one row per key.
+
+    ``ordered``: the record that comes later in the order of publication stays,
+    whichever arrived first, by the rules of :func:`prepare_batch`; of one
+    file's record and its replay, the replay. Otherwise the batch's row does,
+    as a job run again overwrites. One join; both sides meet on the key.
+    """
+    keys = KEYS[source]
+    n, o = (lambda c: F.col(f"n.{c}")), (lambda c: F.col(f"o.{c}"))
+    take = n("landings").isNotNull()
+    if ordered:
+        if source == "hydro":
+            version = ["landed_on", "relanded_at", "landed_in"]
+            later = F.struct(*map(n, version)) >= F.struct(*map(o, version))
+        else:
+            version = ["landed_on", "avaandmed_ts", "relanded_at"]
+            a, b = F.struct(*map(n, version)), F.struct(*map(o, version))
+            later = (a > b) | ((a == b) & (n("landed_in") <= o("landed_in")))
+        take = take & (o("loaded_at").isNull() | F.coalesce(later, F.lit(True)))
+    merged = new.alias("n").join(old.alias("o"), keys, "full_outer")
+    values = [c for c in new.columns if c not in (*keys, "landings")]
+    none = F.array().cast(new.schema["landings"].dataType)
+    landings = F.sort_array(F.array_union(F.coalesce(n("landings"), none), F.coalesce(o("landings"), none)))
+    return merged.select(*keys, *[F.when(take, n(c)).otherwise(o(c)).alias(c) for c in values], landings.alias("landings")).select(*new.columns)
+
+
 @dataclass
 class LoadResult:
     rows_processed: int
@@ -116,30 +165,43 @@ class LoadResult:
     missing_days: list = field(default_factory=list)
 
 
-def upsert_bronze(lake: Lakehouse, source: str, batch: DataFrame, loaded_at: Column | None = None) -> LoadResult:
+def upsert_bronze(
+    lake: Lakehouse, source: str, batch: DataFrame, loaded_at: Column | None = None, ordered: bool = False, on_duplicate: str = "fail"
+) -> LoadResult:
     """UPS-1/2: merge a key-unique batch into ``bronze.<source>``.
 
     Only the day partitions the batch touches are read (partition pruning)
     and rewritten (dynamic overwrite); on a key match every non-key column
     is replaced (NULLs too) and ``loaded_at`` refreshed; nothing is deleted.
+    ``batch`` carries its provenance (:func:`with_provenance`); ``ordered``
+    merges by it, and a key that another file of the same landing unit held
+    in an earlier batch is checked as within one batch. The days are marked in
+    the ledger until a build has covered them.
     """
     name = f"bronze.{source}"
     stamp = loaded_at if loaded_at is not None else F.current_timestamp()
-    b = (
-        batch.select(*BRONZE_COLUMNS[source])
-        .withColumn("loaded_at", stamp)
-        .withColumn("dt", partition_day(source))
-        .persist()
-    )
+    columns = [*BRONZE_COLUMNS[source], *PROVENANCE]
+    b = batch.select(*columns).withColumn("loaded_at", stamp).withColumn("dt", partition_day(source)).persist()
     try:
         # one pass over the batch gives the touched days and the row count
         per_day = {r["dt"]: r["n"] for r in b.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()}
         if not per_day:
             raise EmptyBatchError(f"{name}: empty batch, nothing written")
         days = sorted(per_day)
+        merged = b
         old = lake.read_partitions(name, days)
-        merged = b if old is None else merge_rows(old.select(*b.columns), b, KEYS[source])
-        lake.overwrite_partitions(name, merged)
+        if old is not None:
+            # rows stored before provenance was kept: older than any
+            old = old.withColumns({c: F.lit(None).cast(b.schema[c].dataType) for c in PROVENANCE if c not in old.columns}).select(*b.columns)
+            if ordered:
+                again = _repeats(b, old, KEYS[source])
+                if source == "hydro" and on_duplicate == "fail" and not again.isEmpty():
+                    raise DuplicateKeyError(f"hydro batch repeats keys {KEYS[source]} that another file of their landing held")
+                if source == "meteo" and not again.filter(F.col("n.avaandmed_ts").isNull() | F.col("o.avaandmed_ts").isNull()).isEmpty():
+                    raise RequiredFieldError("meteo: keys repeat across files without avaandmed_ts")
+            merged = merge_landed(source, old, b, ordered)
+        with lake.ledger.writing(name, days):
+            lake.overwrite_partitions(name, merged)
     finally:
         b.unpersist()
     n = sum(per_day.values())

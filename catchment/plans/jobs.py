@@ -10,6 +10,7 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,9 @@ from ..session import configure
 from ..sources.landing import read_landing, read_landing_schema
 from ..sources.seeds import read_hydro_stations, read_meteo_stations
 from ..sources.store import Lakehouse
+from . import impact
 from .audit import RunLog, logged_run
-from .bronze import batch_profile, prepare_batch, upsert_bronze
+from .bronze import batch_profile, prepare_batch, upsert_bronze, with_provenance
 from .gold import gold_hydro_meteo
 from .reference_tables import proximity_matrix
 from .silver import silver_hydro, silver_meteo
@@ -47,6 +49,19 @@ DAG_SEED = "station_seed"
 REFERENCE_TABLES = ["ref.hydro_stations", "ref.meteo_stations", "ref.station_proximity", "snapshots.snap_hydro_stations"]
 
 
+# Versions of one station from which readings are joined to them by sorting.
+LONG_HISTORY = 64
+# Names of weather stations that gold was built with.
+NAMES_BUILT = "built.meteo_names"
+BUILT_SCHEMAS = {
+    "ref.hydro_stations": HYDRO_STATIONS,
+    "ref.meteo_stations": METEO_STATIONS,
+    "ref.station_proximity": PROXIMITY,
+    "snapshots.snap_hydro_stations": HYDRO_HISTORY,
+    NAMES_BUILT: "jaam_kood string, jaam_nimi string",
+}
+
+
 def target_date(interval_start: dt.date, lag_days: int = SOURCE_LAG_DAYS) -> dt.date:
     """TIM-6: the day a run loads (interval start minus the source lag)."""
     return interval_start - dt.timedelta(days=lag_days)
@@ -126,7 +141,8 @@ class Pipeline:
                 absent = sorted(set(days or ()) - found.days)
                 if absent and on_missing != "skip":
                     raise EmptyBatchError(f"landing {source}: empty batch for {', '.join(map(str, absent))}, nothing written")
-                result = upsert_bronze(self.lake, source, prepare_batch(source, raw, on_duplicate, found), _ts(run_ts))
+                rows = with_provenance(source, raw, prepare_batch(source, raw, on_duplicate, found))
+                result = upsert_bronze(self.lake, source, rows, _ts(run_ts))
             finally:
                 raw.unpersist()
             result.rows_processed, result.missing_days = found.records, absent
@@ -136,10 +152,10 @@ class Pipeline:
                 rows_deduplicated=found.records - result.rows_loaded,
             )
         if target is None and days:
-            self._log_days(f"ingest_{source}", days, absent)
+            self.log_days(f"ingest_{source}", days, absent)
         return result
 
-    def _log_days(self, task_id: str, days: list[dt.date], absent: list[dt.date]) -> None:
+    def log_days(self, task_id: str, days: list[dt.date], absent: list[dt.date]) -> None:
         """One finished run per day of a range load, so day coverage sees it."""
         now = dt.datetime.now(dt.timezone.utc)
         blank = dict.fromkeys(f.name for f in RUN_LOG.fields)
@@ -233,7 +249,8 @@ class Pipeline:
         # before the first seed the reference tables exist but are empty
         stations = self._read_or_empty("ref.hydro_stations", HYDRO_STATIONS)
         hist = self._read_or_empty("snapshots.snap_hydro_stations", HYDRO_HISTORY)
-        return silver_hydro(bh, hist, stations, VALID_FROM, VALID_TO).withColumn("dt", F.to_date("timeline_ts_utc"))
+        most = hist.groupBy("station_code").count().agg(F.max("count")).first()[0] or 0
+        return silver_hydro(bh, hist, stations, VALID_FROM, VALID_TO, most > LONG_HISTORY).withColumn("dt", F.to_date("timeline_ts_utc"))
 
     def _read_or_empty(self, name: str, schema) -> DataFrame:
         df = self.lake.read(name)
@@ -315,44 +332,90 @@ class Pipeline:
     def build(self, utc_days: list | None = None, as_of: dt.datetime | None = None) -> None:
         """Model build: snapshots, then silver, then gold.
 
-        The result is that of a full build. Given days are enough while what
-        all days depend on is as it was at the last build: station tables,
-        histories and proximity (their versions), and the weather stations'
-        names. If one has changed, every day of the tables that read it is
-        built again."""
+        The stored tables become those of a full build (``utc_days`` None
+        makes one). Built are the given days, all days that bronze writes have
+        touched since a build covered them (the ledger), and the days that a
+        change of the reference tables reaches: the tables' versions and the
+        weather stations' names that the last build used are compared with
+        the current ones (``impact``). Without a trace of that build every day
+        is built."""
         with logged_run(self.log, DAG_DAILY, "build"):
             self.snapshot(as_of)
-            before = json.loads(self.lake.fs.read_text(self._built_path) or "{}")
+            marks = self.lake.ledger.marks()
+            built = json.loads(self.lake.fs.read_text(self._built_path) or "{}")
             versions = {n: self.lake.current_version(n) for n in REFERENCE_TABLES}
-            if before.get("versions") != versions:
-                utc_days = None
-            self.build_silver(utc_days)
-            names = self._names_mark()
-            if before.get("names") != names:
-                self.build_gold(None)
-            else:
-                self.build_gold(utc_days)
+            silver_days = self._silver_days(utc_days, marks, built.get("versions"), versions)
+            self.build_silver(silver_days)
+            names = self._keep_names(built.get("names"))
+            gold_days = None if silver_days is None else self._gold_days(silver_days, built, versions, names)
+            self.build_gold(gold_days)
             self.lake.fs.write_text(self._built_path, json.dumps({"versions": versions, "names": names}))
+            self.lake.ledger.clear(marks)
 
     @property
     def _built_path(self) -> str:
         return f"{self.root}/tables/_BUILT"
 
-    def _names_mark(self) -> list:
-        """Number and hash sum of the distinct weather station names."""
+    def _silver_days(self, given: list | None, marks: list, old: dict | None, new: dict) -> list | None:
+        """UTC days of silver to build: given, touched by bronze writes, or
+        reached by a change of gauges or their history. None: all."""
+        if given is None or old is None:
+            return None
+        days = set(given)
+        for m in marks:
+            days |= set(m.days if m.table == "bronze.hydro" else around(m.days))
+        changed = [n for n in ("ref.hydro_stations", "snapshots.snap_hydro_stations") if old.get(n) != new[n]]
+        stored = self.lake.read("silver.hydro")
+        if changed and stored is not None:
+            before, now = ({n: self._version_or_empty(n, v.get(n)) for n in changed} for v in (old, new))
+            if any(x is None for x in (*before.values(), *now.values())):
+                return None
+            history = self._read_or_empty("snapshots.snap_hydro_stations", HYDRO_HISTORY)
+            spans = [impact.history_changes(before[n], now[n]) if n.startswith("snap") else impact.fallback_changes(before[n], now[n], history) for n in changed]
+            days |= set(impact.reading_days(stored, reduce(DataFrame.union, spans)))
+        return sorted(days)
+
+    def _gold_days(self, silver_days: list, built: dict, versions: dict, names: str | None) -> list | None:
+        """The days of silver built now, and those of gauges for which the
+        weather side has changed. None: all."""
+        parts = {"proximity": "ref.station_proximity", "stations": "ref.meteo_stations"}
+        old = {k: built["versions"].get(n) for k, n in parts.items()} | {"names": built.get("names")}
+        new = {k: versions[n] for k, n in parts.items()} | {"names": names}
+        stored = self.lake.read("silver.hydro")
+        if old == new or stored is None:
+            return silver_days
+        table = parts | {"names": NAMES_BUILT}
+        frames = [{k: self._version_or_empty(table[k], v) for k, v in x.items()} for x in (old, new)]
+        if any(f is None for x in frames for f in x.values()):
+            return None
+        gauges = impact.weather_changes(*frames)
+        return sorted(set(silver_days) | set(impact.reading_days(stored, impact.always(gauges))))
+
+    def _version_or_empty(self, name: str, version: str | None) -> DataFrame | None:
+        """A version of a table, empty where there was none yet; None if it
+        has been pruned."""
+        if version is None:
+            return self.spark.createDataFrame([], BUILT_SCHEMAS[name])
+        return self.lake.read_version(name, version)
+
+    def _keep_names(self, last: str | None) -> str | None:
+        """Version of the weather stations' distinct names as gold uses them;
+        a new one only if they have changed."""
         names = self.lake.read("silver.meteo_station_names")
         if names is None:
-            return []
+            return last
         pairs = names.select("jaam_kood", "jaam_nimi").distinct()
-        r = pairs.agg(F.count("*").alias("n"), F.sum((F.xxhash64("jaam_kood", "jaam_nimi") / 2**20).cast("long")).alias("h")).first()
-        return [r["n"], r["h"]]
+        before = self.lake.read_version(NAMES_BUILT, last)
+        if before is not None and impact.differing(before, pairs).isEmpty():
+            return last
+        return self.lake.write_version(NAMES_BUILT, pairs)
 
     # ----------------------------------------------------------------- jobs
     def run_day(self, day: dt.date, as_of: dt.datetime | None = None, on_duplicate: str = "fail") -> dict:
         """JOB-1: ingest both sources of one local day, then build.
 
         The build starts only when both ingests succeed; it rebuilds the UTC
-        days the two loads touched.
+        days the two loads touched, and those that earlier loads left unbuilt.
         """
         h = self.ingest("hydro", [day], on_duplicate, as_of)
         m = self.ingest("meteo", [day], run_ts=as_of)

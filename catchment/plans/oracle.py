@@ -527,6 +527,14 @@ SELECT f.event_id, f.jaam_kood, f.timeline_ts_utc, f.vaartus, h.valid_from AS ve
 FROM hydro_readings f
 LEFT JOIN history h ON f.jaam_kood = h.station_code AND f.timeline_ts_utc >= h.valid_from AND f.timeline_ts_utc < h.valid_to
 LEFT JOIN gauges g ON f.jaam_kood = g.station_code"""
+    )
+    q["point_in_time_sorted"] = q["point_in_time"]
+    q["stream_bronze_meteo"] = (
+        _with(METEO_READINGS)
+        + f"""
+SELECT * EXCLUDE (event_id) FROM (
+  SELECT * REPLACE (avaandmed_ts + to_milliseconds(CAST(event_id % 60000 AS BIGINT)) AS avaandmed_ts) FROM meteo_readings)
+QUALIFY row_number() OVER (PARTITION BY {METEO_KEY} ORDER BY avaandmed_ts DESC) = 1"""
     )
     q["nearest_three"] = _with(GAUGES, WEATHER, _proximity("proximity", 3, True)) + "\nSELECT * FROM proximity"
     q["proximity_upsert"] = (

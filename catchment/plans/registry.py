@@ -7,6 +7,7 @@ clock, decimals as doubles, for a type-stable comparison).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,12 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import corrected_level
 from ..functions.timeconv import instant_to_wall, wall_to_instant
-from ..operators.history import VALID_FROM, VALID_TO, point_in_time_join, scd2_apply
+from ..operators.history import VALID_FROM, VALID_TO, as_of_join, point_in_time_join, scd2_apply
 from ..operators.keyed import classify_changes, latest_revision, merge_rows
 from ..operators.quality import key_violations, null_violations, range_violations, set_violations, with_defaults
 from ..operators.reshape import pivot_long
-from ..schemas import HYDRO_KEY, HYDRO_REQUIRED, HYDRO_STATION_CHECK, METEO_KEY, METEO_STATION_CHECK, PROXIMITY_KEY, RUN_STATUSES
-from ..session import configure
+from ..schemas import HYDRO_KEY, HYDRO_REQUIRED, HYDRO_STATION_CHECK, METEO_KEY, METEO_RAW, METEO_STATION_CHECK, PROXIMITY_KEY, RUN_STATUSES
+from ..session import checkpoint_root, configure
 from ..sources.landing import filter_calendar_day, filter_local_day
 from ..sources.retention import plan_retention, retention_counts
 from ..sources.seeds import clean_hydro_stations, clean_meteo_stations
@@ -149,7 +150,7 @@ def q_scd2_apply_step(spark, d):
     return S.to_ntz(out)
 
 
-def q_point_in_time(spark, d):
+def q_point_in_time(spark, d, join=point_in_time_join):
     """JN-1, JN-2, CND-2, CND-3: readings with the station version valid at
     reading time, falling back to the current station row."""
     facts = S.hydro_readings(spark, d).select("event_id", "jaam_kood", "timeline_ts_utc", "vaartus")
@@ -160,7 +161,7 @@ def q_point_in_time(spark, d):
         VALID_FROM,
         VALID_TO,
     )
-    j = point_in_time_join(facts, hist, "jaam_kood", "_h_code", "timeline_ts_utc")
+    j = join(facts, hist, "jaam_kood", "_h_code", "timeline_ts_utc")
     cur = S.gauges(spark, d).select(
         F.col("station_code").alias("_g_code"),
         F.col("station_category").alias("_g_category"),
@@ -186,6 +187,34 @@ def _proximity(spark, d, **kw):
     return proximity_matrix(S.gauges(spark, d), S.weather_stations(spark, d), **kw)
 
 
+def q_point_in_time_sorted(spark, d):
+    """JN-1 for long histories: the same rows by one sort per station and month."""
+    return q_point_in_time(spark, d, as_of_join)
+
+
+def q_stream_bronze_meteo(spark, d):
+    """STM-1: readings landed as three part files a day, streamed into
+    bronze in three micro-batches; bronze holds what one batch gives."""
+    from ..plans.jobs import Pipeline
+    from ..streaming.incremental import run_ingest_stream
+
+    root = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
+    r = S.meteo_readings(spark, d)
+    # milliseconds tell equal publications apart: the names of written files don't order them
+    published = F.timestamp_millis(F.unix_millis("avaandmed_ts") + F.col("event_id") % 60_000)
+    raw = r.withColumn("avaandmed_ts", published).select(*METEO_RAW.names, _meteo_day().alias("dt"), (F.col("event_id") % 3).alias("part"))
+    files = 0
+    for part in range(3):
+        own = raw.filter(F.col("part") == part).drop("part").coalesce(1).sortWithinPartitions("dt")
+        # one part file of each day; a micro-batch takes one part of all days
+        own.write.mode("append").partitionBy("dt").option("ignoreNullFields", "false").json(f"{root}/landing/source=meteo")
+        files = max(files, own.select("dt").distinct().count())
+    pipeline = Pipeline(spark, f"{root}/lake", f"{root}/landing")
+    run_ingest_stream(pipeline, "meteo", max_files_per_trigger=files)
+    stored = pipeline.lake.read("bronze.meteo").withColumn("vaartus", F.col("vaartus").cast("double"))
+    return S.to_ntz(stored.select(*METEO_RAW.names))
+
+
 def q_nearest_three(spark, d):
     """PRX-1, MTH-1, WIN-1, TOP-1: three nearest active weather stations."""
     return _proximity(spark, d)
@@ -566,6 +595,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "scd2_history_split": q_scd2_history_split,
         "scd2_apply_step": q_scd2_apply_step,
         "point_in_time": q_point_in_time,
+        "point_in_time_sorted": q_point_in_time_sorted,
+        "stream_bronze_meteo": q_stream_bronze_meteo,
         "nearest_three": q_nearest_three,
         "proximity_upsert": q_proximity_upsert,
         "local_wall_clock": q_local_wall_clock,

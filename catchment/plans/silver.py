@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import corrected_level
 from ..functions.timeconv import wall_to_instant
-from ..operators.history import VALID_FROM, VALID_TO, point_in_time_join
+from ..operators.history import VALID_FROM, VALID_TO, as_of_join, point_in_time_join
 from ..operators.reshape import pivot_long
 from ..schemas import HYDRO_SERIES, LOCAL_TZ, METEO_ELEMENTS, SILVER_HYDRO_DESCRIPTORS, SILVER_METEO_KEYS
 
@@ -40,6 +40,7 @@ def silver_hydro(
     stations: DataFrame,
     valid_from: str = VALID_FROM,
     valid_to: str = VALID_TO,
+    long_history: bool = False,
 ) -> DataFrame:
     """SIL-1: pivot the 9 hydro series, attach the station version valid at
     the reading time, fall back to the current station row, and add the
@@ -47,6 +48,8 @@ def silver_hydro(
 
     The fallback is ``COALESCE(version, current)`` per column, so it also
     fires when the matched version's altitude is NULL (kept for parity).
+    ``long_history`` joins as of the reading time by sorting (stations with
+    many versions) instead of an equi-join with the interval as residual.
     """
     pivoted = pivot_long(hydro_source(bronze_hydro), SILVER_HYDRO_DESCRIPTORS, "aegrida_nimi", "vaartus", HYDRO_SERIES)
     snap = station_history.select(
@@ -61,7 +64,8 @@ def silver_hydro(
         F.col("station_category").alias("_r_category"),
         F.col("station_altitude_msl_m").alias("_r_altitude"),
     )
-    joined = point_in_time_join(
+    versions = as_of_join if long_history else point_in_time_join
+    joined = versions(
         pivoted, snap, "jaam_kood", "_s_code", "timeline_ts_utc", "_s_from", "_s_to"
     )
     joined = joined.join(current, joined["jaam_kood"] == current["_r_code"], "left")

@@ -13,8 +13,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,11 +82,77 @@ class _FS:
             return []
         return [s.getPath().getName() for s in self._fs(path).listStatus(self._p(path)) if s.isDirectory()]
 
+    def list_files(self, path: str) -> list[str]:
+        if not self.exists(path):
+            return []
+        return [s.getPath().getName() for s in self._fs(path).listStatus(self._p(path)) if not s.isDirectory()]
+
+    def rename(self, old: str, new: str) -> bool:
+        return bool(self._fs(old).rename(self._p(old), self._p(new)))
+
     def delete(self, path: str, recursive: bool = True) -> None:
         if self.exists(path):
             self._fs(path).delete(self._p(path), recursive)
 
 
+@dataclass(frozen=True)
+class Mark:
+    """A write of some days of a table that no build has covered yet; ``done``
+    once the write has been committed."""
+
+    path: str
+    table: str
+    days: tuple[dt.date, ...]
+    done: bool
+
+
+class Ledger:
+    """Write-ahead record of the days that writes touched and that what is
+    derived from them does not show yet.
+
+    A writer opens a mark (one small file that lists its days) before it
+    writes, and closes it after the commit. A build reads all marks first,
+    covers their days, and clears those that were closed when it read them: a
+    write that commits while the build runs keeps its mark for the next one.
+    An open mark whose writer died is closed by the table's next writer (a
+    table has one writer at a time); until then every build covers its days.
+    """
+
+    def __init__(self, fs: _FS, path: str):
+        self.fs = fs
+        self.path = path
+
+    @contextmanager
+    def writing(self, table: str, days: Sequence[dt.date]):
+        folder = f"{self.path}/{table}"
+        for name in self.fs.list_files(folder):
+            if name.endswith(".open"):
+                self.fs.rename(f"{folder}/{name}", f"{folder}/{name.removesuffix('.open')}.done")
+        mark = f"{folder}/{uuid.uuid4().hex}"
+        self.fs.write_text(f"{mark}.open", json.dumps([str(d) for d in days]))
+        yield
+        self.fs.rename(f"{mark}.open", f"{mark}.done")
+
+    def marks(self) -> list[Mark]:
+        out = []
+        for table in self.fs.list_dirs(self.path):
+            for name in self.fs.list_files(f"{self.path}/{table}"):
+                stem, _, state = name.rpartition(".")
+                if state not in ("open", "done"):
+                    continue
+                text = self.fs.read_text(f"{self.path}/{table}/{name}")
+                if text is None and state == "open":  # closed since the listing
+                    text = self.fs.read_text(f"{self.path}/{table}/{stem}.done")
+                days = tuple(dt.date.fromisoformat(d) for d in json.loads(text or "[]"))
+                out.append(Mark(f"{self.path}/{table}/{name}", table, days, state == "done"))
+        return out
+
+    def clear(self, marks: Sequence[Mark]) -> None:
+        for m in marks:
+            if m.done:
+                self.fs.delete(m.path)
+
+
 class Lakehouse:
     """Named tables under ``root``: ``schema.table`` -> ``root/schema/table``."""
 
@@ -91,6 +160,7 @@ class Lakehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fs = _FS(spark)
+        self.ledger = Ledger(self.fs, f"{self.root}/_LEDGER")
 
     def path(self, name: str) -> str:
         schema, table = name.split(".", 1)
@@ -183,9 +253,10 @@ class Lakehouse:
                 made.append(view)
         return made
 
-    def partition_values(self, df: DataFrame, col: str = "dt") -> list:
-        """Distinct partition values of a batch (a handful of days)."""
-        return [r[0] for r in df.select(col).distinct().collect()]
+    def read_version(self, name: str, version: str | None) -> DataFrame | None:
+        """One stored version; ``None`` when it has been pruned."""
+        path = f"{self.path(name)}/{version}"
+        return self.spark.read.parquet(path) if version and self.fs.exists(f"{path}/_SUCCESS") else None
 
     def read_partitions(self, name: str, values: Sequence) -> DataFrame | None:
         """Only the given partitions of a partitioned table.

@@ -1,10 +1,14 @@
 """STM-1: incremental landing -> bronze ingestion with Structured Streaming.
 
 New landing files are picked up by a file stream; every micro-batch goes
-through the same validation, per-key collapse (later file wins) and keyed
-upsert as the batch job, inside ``foreachBatch``. The upsert is idempotent,
-so a micro-batch replayed after a failure (at-least-once) yields the same
-tables. Progress lives in a checkpoint under the pipeline's root.
+through the same validation and per-key collapse as the batch job, inside
+``foreachBatch``, and is merged by the order of publication that bronze keeps
+with each row. So the stored rows are those of one batch over all files,
+however a day's part files fall into micro-batches and whichever arrive
+first; a key that two files of one landing hold is caught as in a batch. The
+merge is idempotent, so a micro-batch replayed after a failure (at-least-once)
+yields the same tables. Progress lives in a checkpoint under the pipeline's
+root. Every micro-batch is a logged run, and every day it loaded another.
 """
 
 from __future__ import annotations
@@ -12,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.bronze import prepare_batch, upsert_bronze
-from ..plans.jobs import Pipeline, around
+from ..plans.audit import logged_run
+from ..plans.bronze import batch_profile, prepare_batch, upsert_bronze, with_provenance
+from ..plans.jobs import DAG_DAILY, Pipeline, around
 from ..sources.landing import read_landing_stream, with_record_pos
 
 
@@ -25,13 +30,15 @@ def start_ingest_stream(
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
     build: bool = False,
+    on_duplicate: str = "fail",
 ) -> StreamingQuery:
     """Start the stream for ``source`` ("hydro" or "meteo").
 
     ``available_now`` processes everything landed so far, then stops (the
     scheduled-batch form); otherwise it runs continuously with the given
     ``processing_time`` trigger. With ``build=True`` each micro-batch also
-    rebuilds silver and gold for the days it touched.
+    rebuilds silver and gold for the days it touched (without it, the next
+    build does, by the ledger).
     """
     spark = pipeline.spark
     # progress must outlive the session: it lives beside the tables it describes
@@ -44,8 +51,14 @@ def start_ingest_stream(
         if batch.isEmpty():
             return
         raw = with_record_pos(batch).persist()
+        task = f"ingest_{source}"
         try:
-            result = upsert_bronze(pipeline.lake, source, prepare_batch(source, raw))
+            with logged_run(pipeline.log, DAG_DAILY, task, source_file=f"micro-batch {epoch_id}") as run:
+                found = batch_profile(source, raw)
+                rows = with_provenance(source, raw, prepare_batch(source, raw, on_duplicate, found))
+                result = upsert_bronze(pipeline.lake, source, rows, ordered=True, on_duplicate=on_duplicate)
+                run.set(rows_processed=found.records, rows_loaded=result.rows_loaded, rows_deduplicated=found.records - result.rows_loaded)
+            pipeline.log_days(task, sorted(d for d in found.days if d is not None), [])
         finally:
             raw.unpersist()
         if build:

@@ -19,6 +19,7 @@ from catchment.operators import (
     nearest_k,
     null_violations,
     pivot_long,
+    as_of_join,
     point_in_time_join,
     range_violations,
     require_fields,
@@ -255,9 +256,45 @@ def test_point_in_time_on_overlapping_empty_and_backdated_intervals(spark, thres
     try:
         got = rows(point_in_time_join(fdf, hdf, "st", "code", "ts"), "id", "v")
         inner = rows(point_in_time_join(fdf, hdf, "st", "code", "ts", how="inner"), "id", "v")
+        sorted_join = rows(as_of_join(fdf, hdf, "st", "code", "ts"), "id", "v")
+        sorted_inner = rows(as_of_join(fdf, hdf, "st", "code", "ts", how="inner"), "id", "v")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == srt(want) and inner == srt(w for w in want if w[1] is not None)
+    assert sorted_join == got and sorted_inner == inner
+
+
+def test_as_of_join_over_months_with_overlaps_nulls_and_repeats(spark):
+    """Histories over years, equal starts, repeated versions, gaps, open ends,
+    null keys and times, facts on the edges of months and versions."""
+    rnd = random.Random(11)
+    day = lambda n: dt.datetime(2020, 1, 1) + dt.timedelta(days=n)
+    starts = [0, 31, 60, 90, 400, 800]
+    hist = [(rnd.randint(0, 3), i, day(a := rnd.choice(starts)), day(a + rnd.choice([0, 1, 30, 59, 400]))) for i in range(40)]
+    hist += [(1, 90, day(60), dt.datetime(9999, 12, 31)), (1, 90, day(60), dt.datetime(9999, 12, 31)), (None, 91, day(0), day(900)), (5, 92, day(31), None)]
+    facts = [(i, rnd.choice([0, 1, 2, 3, 4, 5, None]), rnd.choice([day(rnd.choice(starts) + rnd.choice([-1, 0, 1, 30])), day(rnd.randint(-40, 2000)), None])) for i in range(300)]
+    hdf = spark.createDataFrame(hist, "code int, v int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    fdf = spark.createDataFrame(facts, "id int, st int, ts timestamp_ntz").repartition(3)
+    got, want = (rows(f(fdf, hdf, "st", "code", "ts")) for f in (as_of_join, point_in_time_join))
+    assert got == want and len(want) >= 400
+
+
+def test_as_of_join_of_a_station_with_many_versions(spark):
+    """10,000 versions and as many facts: no operator makes more rows than both."""
+    n = 10_000
+    hdf = spark.range(n).selectExpr("1 AS code", "id AS v", "timestampadd(HOUR, id, timestamp_ntz'2020-01-01') AS valid_from", "timestampadd(HOUR, id + 1, timestamp_ntz'2020-01-01') AS valid_to")
+    fdf = spark.range(n).selectExpr("id", "1 AS st", "timestampadd(MINUTE, id * 60 + 30, timestamp_ntz'2020-01-01') AS ts")
+    joined = as_of_join(fdf, hdf, "st", "code", "ts")
+    assert joined.filter("v = id").count() == n
+    def joins(node):  # noqa: E306
+        name = node.nodeName()
+        own = [node.metrics().apply("numOutputRows").value()] if "Join" in name and node.metrics().contains("numOutputRows") else []
+        kids = node.children()
+        return own + [x for i in range(kids.size()) for x in joins(kids.apply(i))]
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    assert max(joins(plan), default=0) <= 2 * n
 
 
 def test_scd2_refuses_a_run_before_the_open_version(spark):

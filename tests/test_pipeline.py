@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catchment.operators import EmptyBatchError
+from catchment.plans.bronze import PROVENANCE
 from catchment.plans.jobs import Pipeline, target_date
 from catchment.sources.retention import archive_landing_files
 from catchment.streaming.incremental import run_ingest_stream
@@ -157,7 +158,7 @@ def test_gold_rows_levels_and_weather(world):
 
 def test_replay_is_idempotent(world):
     p = world["p"]
-    cols = [c for c in p.lake.read("bronze.hydro").columns if c != "loaded_at"]
+    cols = [c for c in p.lake.read("bronze.hydro").columns if c not in ("loaded_at", *PROVENANCE)]
     before = sorted(map(tuple, p.lake.read("bronze.hydro").select(*cols).collect()))
     gold_before = p.lake.read("gold.hydro_meteo").count()
     p.run_day(world["day1"], as_of=dt.datetime(2024, 11, 1, 6))
@@ -203,7 +204,7 @@ def test_stream_equals_batch(world, spark, scratch):
     for name in ("bronze.hydro", "bronze.meteo"):
         a = p.lake.read(name)
         b = world["p"].lake.read(name)
-        cols = [c for c in a.columns if c != "loaded_at"]
+        cols = [c for c in a.columns if c not in ("loaded_at", *PROVENANCE)]
         assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
     # a second trigger finds no new files and changes nothing
     n = p.lake.read("bronze.hydro").count()
@@ -216,7 +217,7 @@ def test_backfill_range_equals_day_by_day(world, spark, scratch):
     p = Pipeline(spark, os.path.join(root, "lake"), world["landing"])
     p.run_seed(*write_seeds(os.path.join(root, "seeds")), AS_OF)
     p.run_range(world["day1"], world["day2"], as_of=dt.datetime(2024, 10, 30, 6))
-    cols = [c for c in p.lake.read("bronze.meteo").columns if c != "loaded_at"]
+    cols = [c for c in p.lake.read("bronze.meteo").columns if c not in ("loaded_at", *PROVENANCE)]
     a = sorted(map(tuple, p.lake.read("bronze.meteo").select(*cols).collect()))
     b = sorted(map(tuple, world["p"].lake.read("bronze.meteo").select(*cols).collect()))
     assert a == b
@@ -261,7 +262,7 @@ def test_archived_day_ingests_to_the_same_bronze(spark, scratch):
     assert os.listdir(os.path.join(landing, "source=hydro")) in ([], [f".hydro_{day}.json.crc"])
     again = Pipeline(spark, os.path.join(root, "lake2"), os.path.join(root, "archive"))
     again.ingest("hydro", None)
-    cols = [c for c in p.lake.read("bronze.hydro").columns if c != "loaded_at"]
+    cols = [c for c in p.lake.read("bronze.hydro").columns if c not in ("loaded_at", *PROVENANCE)]
     assert rows(p.lake.read("bronze.hydro"), *cols) == rows(again.lake.read("bronze.hydro"), *cols)
 
 
@@ -536,3 +537,158 @@ def test_submit_settings_stay_in_force():
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYSPARK_SUBMIT_ARGS": args}, cwd=here, capture_output=True, text=True, timeout=120)
     assert "GOT local[2] 77" in out.stdout
+
+
+def same_as_full_build(p):
+    """The stored tables equal those of a full build."""
+    for name, frame in (("silver.hydro", p.silver_hydro_frame), ("silver.meteo", p.silver_meteo_frame), ("gold.hydro_meteo", p.gold_frame)):
+        stored = p.lake.read(name)
+        cols = sorted(stored.columns)
+        assert rows(stored, *cols) == rows(frame(None), *cols), name
+
+
+def gold_files(p):
+    return {f.rsplit("/dt=")[1] for f in p.lake.read("gold.hydro_meteo").inputFiles()}
+
+
+def test_day_left_without_a_build_reaches_gold_with_the_next_one(spark, scratch):
+    root = tempfile.mkdtemp(prefix="ledger-", dir=scratch)
+    landing = os.path.join(root, "landing")
+    days = [dt.date(2024, 5, 1), dt.date(2024, 5, 10), dt.date(2024, 5, 20)]
+    for d in days:
+        land(landing, "hydro", d, hydro_records(d))
+        if d != days[1]:
+            land(landing, "meteo", d, meteo_records(d))
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    p.run_seed(*write_seeds(os.path.join(root, "seeds")), dt.datetime(2024, 4, 1))
+    p.run_day(days[0], as_of=dt.datetime(2024, 5, 2))
+    with pytest.raises(EmptyBatchError):
+        p.run_day(days[1])  # its weather has not landed: hydro is in bronze, nothing is built
+    assert [m.table for m in p.lake.ledger.marks()] == ["bronze.hydro"]
+    before = gold_files(p)
+    p.run_day(days[2], as_of=dt.datetime(2024, 5, 21))
+    assert not p.lake.ledger.marks()
+    built = {r.dt for r in p.lake.read("gold.hydro_meteo").select("dt").distinct().collect()}
+    assert {d for d in days} <= built
+    assert before < gold_files(p)  # 1 May keeps its files
+    same_as_full_build(p)
+    # a stream that does not build, then a day that does
+    land(landing, "meteo", days[1], meteo_records(days[1]))
+    run_ingest_stream(p, "meteo")
+    run_ingest_stream(p, "hydro")
+    assert {m.table for m in p.lake.ledger.marks()} == {"bronze.hydro", "bronze.meteo"}
+    p.build([])
+    assert not p.lake.ledger.marks()
+    same_as_full_build(p)
+    assert p.log.read().filter("task_id = 'ingest_meteo' AND target_date = '2024-05-10' AND status = 'success'").count() == 1
+
+
+def test_marks_of_failed_and_running_writers(spark, scratch):
+    root = tempfile.mkdtemp(prefix="marks-", dir=scratch)
+    ledger = Pipeline(spark, root, root).lake.ledger
+    day = dt.date(2024, 5, 1)
+    with pytest.raises(ValueError), ledger.writing("bronze.hydro", [day]):
+        raise ValueError("lost writer")
+    [m] = ledger.marks()
+    assert (m.table, m.days, m.done) == ("bronze.hydro", (day,), False)
+    ledger.clear([m])
+    assert ledger.marks() == [m]  # an open mark stays
+    with ledger.writing("bronze.hydro", [day, dt.date(2024, 5, 2)]):
+        seen = ledger.marks()
+        assert sorted(x.done for x in seen) == [False, True]
+    ledger.clear(seen)  # the write ended after the build had read its mark
+    [m] = ledger.marks()
+    assert m.done and len(m.days) == 2
+    ledger.clear([m])
+    assert ledger.marks() == []
+
+
+def test_stream_of_split_parts_equals_one_batch(spark, scratch):
+    """Parts of days in micro-batches of one file, in the worst order."""
+    root = tempfile.mkdtemp(prefix="split-", dir=scratch)
+    landing, d1, d2 = os.path.join(root, "landing"), dt.date(2024, 5, 2), dt.date(2024, 5, 3)
+    one = {**meteo_records(d1)[0], "avaandmed_ts": "2024-05-03T12:00:00+00:00", "vaartus": 12.0}
+    at = lambda t, v, **k: {**one, "avaandmed_ts": t, "vaartus": v, **k}
+    tie = {"element_kood": "RH"}
+    land_parts(landing, "meteo", d2, [at("2024-05-01T00:00:00+00:00", 20.0, tund=5)])  # a later landing with an early publication
+    land_parts(landing, "meteo", d1, [one, at(one["avaandmed_ts"], 1.0, **tie)], [at("2024-05-03T10:00:00+00:00", 10.0), at(one["avaandmed_ts"], 2.0, **tie)],
+               [at("2024-05-03T13:00:00+00:00", 13.0, tund=5), at("2024-05-03T11:00:00+00:00", 11.0)])
+    h = hydro_records(d1)
+    land_parts(landing, "hydro", d2, [dict(h[0], vaartus=7.0)])
+    land_parts(landing, "hydro", d1, h[:3], h[3:5])
+    for i, (source, d, part) in enumerate([("meteo", d2, 0), ("meteo", d1, 0), ("meteo", d1, 1), ("meteo", d1, 2), ("hydro", d2, 0), ("hydro", d1, 0), ("hydro", d1, 1)]):
+        os.utime(os.path.join(landing, f"source={source}", f"dt={d}", f"part-{part:05d}.json"), (1_700_000_000 + 60 * i,) * 2)
+    streamed, batch = (Pipeline(spark, os.path.join(root, x), landing) for x in ("stream", "batch"))
+    for source in ("meteo", "hydro"):
+        run_ingest_stream(streamed, source, max_files_per_trigger=1)
+        batch.ingest(source, None)
+        a, b = (p.lake.read(f"bronze.{source}").drop("loaded_at") for p in (streamed, batch))
+        assert rows(a) == rows(b)
+    got = {(r.tund, r.element_kood): float(r.vaartus) for r in streamed.lake.read("bronze.meteo").collect()}
+    assert got == {(0, "TA"): 12.0, (5, "TA"): 20.0, (0, "RH"): 1.0}
+    assert 7.0 in {float(r.vaartus) for r in streamed.lake.read("bronze.hydro").collect()}
+
+
+def test_stream_catches_keys_repeated_across_micro_batches(spark, scratch):
+    root = tempfile.mkdtemp(prefix="again-", dir=scratch)
+    landing, d1, d2 = os.path.join(root, "landing"), dt.date(2024, 5, 2), dt.date(2024, 5, 3)
+    h = hydro_records(d1)
+    # the stored row is a later landing's when the repeat arrives
+    land_parts(landing, "hydro", d1, h[:2])
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    run_ingest_stream(p, "hydro")
+    land_parts(landing, "hydro", d2, [dict(h[0], vaartus=1.0)])
+    run_ingest_stream(p, "hydro")
+    land_parts(landing, "hydro", d1, h[:2], [dict(h[0], vaartus=2.0)])
+    with pytest.raises(Exception, match="another file of their landing"):
+        run_ingest_stream(p, "hydro")
+    assert p.log.state().filter("status = 'error' AND task_id = 'ingest_hydro'").count() == 1
+    m = {**meteo_records(d1)[0], "avaandmed_ts": None}
+    land_parts(landing, "meteo", d1, [m], [dict(m, vaartus=3.0)])
+    with pytest.raises(Exception, match="avaandmed_ts"):
+        run_ingest_stream(p, "meteo", max_files_per_trigger=1)
+
+
+def test_reference_change_rebuilds_only_the_days_it_reaches(spark, scratch):
+    root = tempfile.mkdtemp(prefix="delta-", dir=scratch)
+    landing = os.path.join(root, "landing")
+    days = [dt.date(2024, 5, d) for d in (2, 10, 20)]
+    for d in days:
+        land(landing, "hydro", d, [r for r in hydro_records(d) if d == days[1] or r["jaam_kood"] != 103])
+        land(landing, "meteo", d, meteo_records(d))
+    p = Pipeline(spark, os.path.join(root, "lake"), landing)
+    p.run_seed(*write_seeds(os.path.join(root, "seeds")), dt.datetime(2024, 4, 1))
+    p.run_range(days[0], days[-1], as_of=dt.datetime(2024, 5, 21), on_missing="skip")
+    files = gold_files(p)
+
+    def changed():
+        nonlocal files
+        now = gold_files(p)
+        days = {f[:10] for f in now - files}
+        files = now
+        same_as_full_build(p)
+        return days
+
+    # a new altitude from 10 May on: the version before it keeps its days
+    hydro_csv, meteo_csv = write_seeds(os.path.join(root, "seeds2"), altitude_101="6.00")
+    p.load_stations("hydro", hydro_csv, dt.datetime(2024, 5, 10, 12))
+    p.build([], as_of=dt.datetime(2024, 5, 10, 12))
+    assert changed() == {"2024-05-10", "2024-05-19", "2024-05-20"}
+    p.build([], as_of=dt.datetime(2024, 5, 22))
+    assert changed() == set()
+    # gauge 103 has no altitude: its current row stands in, on the one day it has readings
+    with open(hydro_csv, encoding="utf-8-sig") as f:
+        text = f.read().replace("120.5,,,58.5", "120.5,,3.25,58.5")
+    with open(hydro_csv, "w", encoding="utf-8-sig") as f:
+        f.write(text)
+    assert p.load_stations("hydro", hydro_csv, dt.datetime(2024, 6, 1)) == 1
+    p.build([], as_of=dt.datetime(2024, 6, 1))
+    assert changed() == {"2024-05-09", "2024-05-10"}
+    # the weather station next to gauge 103 moves
+    with open(meteo_csv, encoding="utf-8") as f:
+        text = f.read().replace("58.4,22.6", "58.41,22.6")
+    with open(meteo_csv, "w", encoding="utf-8") as f:
+        f.write(text)
+    p.run_seed(hydro_csv, meteo_csv, dt.datetime(2024, 6, 2))
+    p.build([], as_of=dt.datetime(2024, 6, 2))
+    assert changed() == {"2024-05-09", "2024-05-10"}
