@@ -1,3 +1,4 @@
+from .constraints import Constraints, enforce, violations
 from .history import as_of_join, open_end_ts, point_in_time_join, scd2_apply, scd2_from_extracts, scd2_pending_changes
 from .keyed import (
     DuplicateKeyError,
@@ -10,6 +11,7 @@ from .keyed import (
 )
 from .proximity import nearest_k
 from .quality import (
+    ConstraintError,
     EmptyBatchError,
     RequiredFieldError,
     key_violations,
@@ -23,7 +25,11 @@ from .quality import (
 from .reshape import melt_wide, pivot_long
 
 __all__ = [
+    "Constraints",
+    "enforce",
+    "violations",
     "as_of_join",
+    "ConstraintError",
     "DuplicateKeyError",
     "EmptyBatchError",
     "RequiredFieldError",

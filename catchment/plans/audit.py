@@ -16,7 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import RUN_LOG
+from ..operators.quality import ConstraintError
+from ..schemas import RUN_LOG, RUN_STATUSES
 
 FINAL_STATES = ("success", "error", "skipped")
 
@@ -35,6 +36,8 @@ class RunLog:
     def append(self, **event) -> None:
         row = {f.name: event.get(f.name) for f in RUN_LOG.fields}
         row["event_time"] = row["event_time"] or _now()
+        if row["status"] not in RUN_STATUSES:
+            raise ConstraintError(f"run log: status {row['status']!r}; nothing written")
         self.spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(self.path)
 
     def compact(self) -> None:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.constraints import Constraints, enforce
 from ..operators.keyed import DuplicateKeyError, latest_revision
 from ..operators.quality import EmptyBatchError, RequiredFieldError
 from ..schemas import HYDRO_KEY, HYDRO_RAW, HYDRO_REQUIRED, METEO_KEY, METEO_RAW, METEO_REQUIRED
@@ -21,6 +22,10 @@ KEYS = {"hydro": HYDRO_KEY, "meteo": METEO_KEY}
 REQUIRED = {"hydro": HYDRO_REQUIRED, "meteo": METEO_REQUIRED}
 
 
+# CHECK constraints of calendar fields (24 closes a day).
+BRONZE_RANGES = {"hydro": {}, "meteo": {"kuu": (1, 12), "paev": (1, 31), "tund": (0, 24)}}
+
+
 def partition_day(source: str) -> Column:
     """Day partition of a bronze row; a function of its key, so a key never
     changes partition (hydro: UTC day of the reading; meteo: its calendar day)."""
@@ -188,6 +193,8 @@ def upsert_bronze(
         if not per_day:
             raise EmptyBatchError(f"{name}: empty batch, nothing written")
         days = sorted(per_day)
+        required = [*REQUIRED[source], *(c for c in KEYS[source] if c not in REQUIRED[source])]
+        enforce(name, b, Constraints(KEYS[source], required, BRONZE_RANGES[source]))
         merged = b
         old = lake.read_partitions(name, days)
         if old is not None:

@@ -15,9 +15,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.constraints import Constraints, enforce, violations
 from ..operators.history import VALID_FROM, VALID_TO, scd2_apply, scd2_pending_changes
 from ..operators.keyed import changed_count, classify_changes, latest_revision, merge_rows
-from ..operators.quality import ConstraintError, EmptyBatchError, key_violations, null_violations, range_violations
+from ..operators.quality import EmptyBatchError
 from ..schemas import (
     HYDRO_HISTORY,
     HYDRO_STATION_CHECK,
@@ -187,7 +188,7 @@ class Pipeline:
             if changed:
                 out = classified.drop("_action")
                 required = [f.name for f in (HYDRO_STATIONS if kind == "hydro" else METEO_STATIONS).fields if not f.nullable]
-                self._check(name, out, ["station_code"], required)
+                enforce(name, out, Constraints(["station_code"], required))
                 self.lake.write_version(name, out)
             classified.unpersist()
             run.set(rows_processed=changed, rows_loaded=changed)
@@ -203,22 +204,13 @@ class Pipeline:
                 self.lake.read("ref.hydro_stations"), self.lake.read("ref.meteo_stations"), PROXIMITY_K
             ).withColumn("loaded_at", _ts(run_ts))
             merged = new if current is None else merge_rows(current.select(*new.columns), new, PROXIMITY_KEY)
-            ranks = range_violations(merged, "proximity_rank", 1, PROXIMITY_K)
-            self._check("ref.station_proximity", merged, PROXIMITY_KEY, [f.name for f in PROXIMITY.fields if not f.nullable], ranks)
+            required = [f.name for f in PROXIMITY.fields if not f.nullable]
+            enforce("ref.station_proximity", merged, Constraints(PROXIMITY_KEY, required, {"proximity_rank": (1, PROXIMITY_K)}))
             self.lake.write_version("ref.station_proximity", merged)
             n = new.count()
             run.set(rows_loaded=n)
         return n
 
-    def _check(self, name: str, df: DataFrame, keys: list[str], required: list[str], *more: DataFrame) -> None:
-        """DQ-1..4 before a reference table is written: unique keys, required
-        columns, and whatever else the table constrains (frames of offenders)."""
-        frames = {"a repeated key": key_violations(df, keys), "a NULL in a required column": null_violations(df, required, keys)}
-        frames |= {"a value out of range": x for x in more}
-        for what, bad in frames.items():
-            if not bad.isEmpty():
-                raise ConstraintError(f"{name}: {what}, nothing written")
-
     def snapshot(self, as_of: dt.datetime | None = None) -> None:
         """SCD-1/2: one check-strategy snapshot of both station tables."""
         as_of_col = _ts(as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
@@ -328,6 +320,21 @@ class Pipeline:
         gold = self.gold_frame(utc_days)
         if gold is not None:
             self.lake.overwrite_partitions("gold.hydro_meteo", gold)
+            self.report_hours(utc_days)
+
+    def report_hours(self, utc_days: list | None = None) -> None:
+        """DQ-6 as a stored report: the gauge hours that gold holds more than
+        once (``gold.repeated_hours``, by day), of the built days."""
+        stored = self.lake.read("gold.hydro_meteo") if utc_days is None else self.lake.read_partitions("gold.hydro_meteo", utc_days)
+        if stored is None:
+            return
+        found = violations(stored, Constraints(["dt", "hydro_station_code", "timeline_ts_utc"])).select(
+            F.split("key", r"\|")[1].cast("int").alias("hydro_station_code"), F.split("key", r"\|")[2].cast("timestamp").alias("timeline_ts_utc"),
+            "n_rows", F.split("key", r"\|")[0].cast("date").alias("dt"),
+        )
+        # a day without repeats gets a row without a gauge: it replaces what the last build found
+        clean = stored.select("dt").distinct().select(F.lit(None).cast("int").alias("hydro_station_code"), F.lit(None).cast("timestamp").alias("timeline_ts_utc"), F.lit(0).cast("long").alias("n_rows"), "dt")
+        self.lake.overwrite_partitions("gold.repeated_hours", found.unionByName(clean))
 
     def build(self, utc_days: list | None = None, as_of: dt.datetime | None = None) -> None:
         """Model build: snapshots, then silver, then gold.

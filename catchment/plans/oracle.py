@@ -5,6 +5,7 @@ all-pairs joins, since it runs on small fixtures."""
 from __future__ import annotations
 
 from .registry import (
+    REPORT_RANGE,
     COVERAGE_FROM,
     COVERAGE_TO,
     RETENTION_AS_OF,
@@ -535,6 +536,22 @@ LEFT JOIN gauges g ON f.jaam_kood = g.station_code"""
 SELECT * EXCLUDE (event_id) FROM (
   SELECT * REPLACE (avaandmed_ts + to_milliseconds(CAST(event_id % 60000 AS BIGINT)) AS avaandmed_ts) FROM meteo_readings)
 QUALIFY row_number() OVER (PARTITION BY {METEO_KEY} ORDER BY avaandmed_ts DESC) = 1"""
+    )
+    q["constraint_report"] = (
+        _with(METEO_READINGS)
+        + f"""
+, per_key AS (
+  SELECT concat_ws('|', {", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in METEO_KEY.split(", "))}) AS key, count(*) AS n,
+    count(*) FILTER (WHERE jaam_kood IS NULL) AS r1, count(*) FILTER (WHERE element_kood IS NULL) AS r2, count(*) FILTER (WHERE avaandmed_ts IS NULL) AS r3,
+    count(*) FILTER (WHERE vaartus NOT BETWEEN {REPORT_RANGE[0]} AND {REPORT_RANGE[1]}) AS g,
+    count(*) FILTER (WHERE element_nimi_eng NOT IN ('click', 'purchase', 'signup')) AS a
+  FROM meteo_readings GROUP BY {METEO_KEY})
+SELECT 'unique' AS rule, '{METEO_KEY.replace(", ", ",")}' AS "column", key, n AS n_rows FROM per_key WHERE n > 1
+UNION ALL SELECT 'required', 'jaam_kood', key, r1 FROM per_key WHERE r1 > 0
+UNION ALL SELECT 'required', 'element_kood', key, r2 FROM per_key WHERE r2 > 0
+UNION ALL SELECT 'required', 'avaandmed_ts', key, r3 FROM per_key WHERE r3 > 0
+UNION ALL SELECT 'range', 'vaartus', key, g FROM per_key WHERE g > 0
+UNION ALL SELECT 'allowed', 'element_nimi_eng', key, a FROM per_key WHERE a > 0"""
     )
     q["nearest_three"] = _with(GAUGES, WEATHER, _proximity("proximity", 3, True)) + "\nSELECT * FROM proximity"
     q["proximity_upsert"] = (
@@ -636,6 +653,24 @@ scored AS (
   FROM sums WHERE n >= 3 AND (n * sxx - sx * sx) * (n * syy - sy * sy) > 1e-6)
 SELECT hydro_station_code, CAST(lag AS INTEGER) AS best_lag_hours, correlation, n AS n_pairs
 FROM scored QUALIFY row_number() OVER (PARTITION BY hydro_station_code ORDER BY correlation DESC, lag) = 1"""
+    )
+    q["rain_response_measures"] = (
+        _with(*GOLD_CTES, hours)
+        + """,
+measured AS (
+  SELECT h.hydro_station_code, h.timeline_ts_utc, 'level_change' AS measure, h.level - b.level AS v
+  FROM per_hour h JOIN per_hour b ON b.hydro_station_code = h.hydro_station_code AND b.timeline_ts_utc = h.timeline_ts_utc - INTERVAL 1 HOUR
+  UNION ALL
+  SELECT hydro_station_code, timeline_ts_utc, 'discharge', discharge FROM per_hour),
+pairs AS (
+  SELECT r.hydro_station_code, measure, date_diff('hour', r.timeline_ts_utc, l.timeline_ts_utc) AS lag, CAST(r.rain AS DOUBLE) AS x, CAST(l.v AS DOUBLE) AS y
+  FROM per_hour r JOIN measured l ON r.hydro_station_code = l.hydro_station_code AND r.rain IS NOT NULL AND l.v IS NOT NULL
+    AND l.timeline_ts_utc BETWEEN r.timeline_ts_utc AND r.timeline_ts_utc + INTERVAL 72 HOUR),
+by_lag AS (
+  SELECT hydro_station_code, measure, lag, count(*) AS n, round(corr(x, y), 4) AS correlation
+  FROM pairs GROUP BY 1, 2, 3 HAVING count(*) >= 3 AND var_pop(x) > 0 AND var_pop(y) > 0)
+SELECT hydro_station_code, measure, CAST(lag AS INTEGER) AS best_lag_hours, correlation, n AS n_pairs
+FROM by_lag QUALIFY row_number() OVER (PARTITION BY hydro_station_code, measure ORDER BY correlation DESC, lag) = 1"""
     )
     q["rain_events"] = (
         _with(*GOLD_CTES, hours)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import corrected_level
 from ..functions.timeconv import instant_to_wall, wall_to_instant
+from ..operators.constraints import Constraints, violations
 from ..operators.history import VALID_FROM, VALID_TO, as_of_join, point_in_time_join, scd2_apply
 from ..operators.keyed import classify_changes, latest_revision, merge_rows
 from ..operators.quality import key_violations, null_violations, range_violations, set_violations, with_defaults
@@ -29,7 +30,7 @@ from .audit import day_coverage, run_state
 from .bronze import prepare_batch
 from .gold import gold_hydro_meteo
 from .reference_tables import proximity_matrix
-from .reports import daily_summary, rain_events, rain_response
+from .reports import daily_summary, rain_events, rain_response, rain_response_by_measure
 from .silver import silver_hydro, silver_meteo
 
 # --- fixed values of the registered checks ------------------------------
@@ -38,6 +39,8 @@ UPSERT_NEW_FROM = "2024-01-11"     # incoming batch: days from this (overlap = u
 UPSERT_CORRECTION = 1000.0         # corrected value offset in the batch
 SNAPSHOT_AS_OF = "2024-02-01 00:00:00"
 WINDOW_DAY = "2024-01-15"
+REPORT_RANGE = (5.0, 300.0)        # values that the constraint report allows
+REPORT_EVENTS = ["click", "purchase", "signup"]
 RETENTION_AS_OF = "2001-01-01"
 COVERAGE_FROM, COVERAGE_TO = "2023-12-25", "2024-02-15"
 # --------------------------------------------------------------------------
@@ -290,6 +293,11 @@ def q_rain_response(spark, d):
     return rain_response(gold_frame(spark, d))
 
 
+def q_rain_response_measures(spark, d):
+    """RPT-1: the lag at which level change and discharge follow rain best."""
+    return rain_response_by_measure(gold_frame(spark, d))
+
+
 def q_rain_events(spark, d):
     """RPT-2: rain events and the level's rise after them."""
     return S.to_ntz(rain_events(gold_frame(spark, d)))
@@ -412,6 +420,14 @@ def q_domain_violations(spark, d):
     return bad_status.unionByName(bad_rank)
 
 
+def q_constraint_report(spark, d):
+    """DQ-1..4, DQ-6: every broken rule of the raw weather readings in one scan."""
+    rules = Constraints(
+        METEO_KEY, required=["jaam_kood", "element_kood", "avaandmed_ts"], ranges={"vaartus": REPORT_RANGE}, allowed={"element_nimi_eng": REPORT_EVENTS}
+    )
+    return violations(S.meteo_readings(spark, d), rules)
+
+
 def q_audit_state(spark, d):
     """AUD-3, AGG-5: current state per run from appended run events."""
     return S.to_ntz(run_state(run_events(spark, d)))
@@ -608,6 +624,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "unique_violations": q_unique_violations,
         "hourly_duplicates": q_hourly_duplicates,
         "domain_violations": q_domain_violations,
+        "constraint_report": q_constraint_report,
         "audit_state": q_audit_state,
         "day_coverage": q_day_coverage,
         "ingest_hydro_multipart": q_ingest_hydro_multipart,
@@ -623,6 +640,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "retention_counts": q_retention_counts,
         "weather_station_names": q_weather_station_names,
         "rain_response": q_rain_response,
+        "rain_response_measures": q_rain_response_measures,
         "rain_events": q_rain_events,
         "daily_summary": q_daily_summary,
     }.items()

@@ -63,6 +63,39 @@ def rain_response(gold: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
     )
 
 
+def rain_response_by_measure(gold: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
+    """RPT-1 on the named quantities: per gauge and measure (``level_change``
+    over the hour before, ``discharge``) the lag (0 .. ``max_lag`` hours) at
+    which it correlates best with rain, that correlation, and the pairs behind it.
+
+    Pairs meet as in :func:`rain_response`. Their correlation comes from means
+    and co-moments that are merged pair of partial results by pair, so neither
+    large levels with a small spread nor the unit of a measure cost digits.
+    A lag counts with three pairs and some spread on both sides.
+    """
+    hours = gauge_hours(gold).select(STATION, F.floor(F.unix_timestamp(TS) / 3600).alias("hour"), "rain", "level", "discharge")
+    before = hours.select(STATION, (F.col("hour") + 1).alias("hour"), F.col("level").alias("before"))
+    day = F.floor(F.col("hour") / 24).alias("day")
+    rain = hours.filter("rain IS NOT NULL").groupBy(STATION, day).agg(F.collect_list(F.struct("hour", F.col("rain").alias("v"))).alias("rain"))
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(max_lag // 24 + 1))).alias("ahead")
+    rain = rain.select(STATION, "day", "rain", ahead).withColumn("day", F.col("day") + F.col("ahead")).drop("ahead")
+    values = {"level_change": F.col("level") - F.col("before"), "discharge": F.col("discharge")}
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), v.alias("v")) for m, v in values.items()])).alias("m")
+    measured = hours.join(before, [STATION, "hour"], "left").select(STATION, "hour", each).filter("m.v IS NOT NULL")
+    measured = measured.groupBy(STATION, "m.measure", day).agg(F.collect_list(F.struct("hour", "m.v")).alias("values"))
+    met = rain.join(measured, [STATION, "day"]).select(STATION, "measure", F.explode("rain").alias("r"), "values")
+    pairs = met.select(STATION, "measure", "r", F.explode("values").alias("l"))
+    pairs = pairs.select(STATION, "measure", (F.col("l.hour") - F.col("r.hour")).cast("int").alias("lag"), F.col("r.v").alias("x"), F.col("l.v").alias("y"))
+    by_lag = pairs.filter(F.col("lag").between(0, max_lag)).groupBy(STATION, "measure", "lag").agg(
+        F.count("*").alias("n"), F.corr("x", "y").alias("c"), F.var_pop("x").alias("sx"), F.var_pop("y").alias("sy")
+    )
+    scored = by_lag.filter("n >= 3 AND sx > 0 AND sy > 0").withColumn("c", F.round("c", 4))
+    best = F.max(F.struct("c", (-F.col("lag")).alias("soonest"), "n")).alias("b")
+    return scored.groupBy(STATION, "measure").agg(best).select(
+        STATION, "measure", (-F.col("b.soonest")).alias("best_lag_hours"), F.col("b.c").alias("correlation"), F.col("b.n").alias("n_pairs")
+    )
+
+
 def _hours_around(ts: str, first: int, last: int) -> Column:
     """The instants from ``first`` to ``last`` hours after ``ts``."""
     hours = lambda k: F.make_dt_interval(hours=F.lit(k))

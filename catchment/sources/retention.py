@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeconv import file_date
@@ -88,9 +88,11 @@ def retention_counts(plan: DataFrame) -> DataFrame:
     return plan.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_files"))
 
 
-def _paths(fs, raw_dir: str, day) -> list[str]:
-    """What holds a day in a raw dir: dated files and the ``dt=`` folder."""
-    return fs.glob(f"{raw_dir}/*_{day}.json") + fs.glob(f"{raw_dir}/dt={day}")
+def _unit_path() -> Column:
+    """What is archived and deleted for a file, wherever it lies below the raw
+    dir: the file itself, if its name is dated, else its ``dt=`` folder."""
+    folder = F.regexp_extract("file_path", r"^(.*/dt=[0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+$", 1)
+    return F.when(file_date("file_name").isNull() & (folder != ""), folder).otherwise(F.col("file_path"))
 
 
 def archive_landing_files(
@@ -113,11 +115,12 @@ def archive_landing_files(
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
     plan = plan_retention(list_raw_files(spark, raw_dirs), as_of, max_age_days)
     counts = {r["outcome"]: r["n_files"] for r in retention_counts(plan).collect()}
-    old = plan.filter(F.col("outcome") == "archived").groupBy("source").agg(F.collect_set("file_date").alias("days")).collect()
+    old = plan.filter(F.col("outcome") == "archived").groupBy("source").agg(F.collect_set("file_date").alias("days"), F.collect_set(_unit_path()).alias("paths")).collect()
     fs = _FS(spark)
     for row in old:
         source = row["source"]
-        paths = [p for d in sorted(row["days"]) for p in _paths(fs, raw_dirs[source].rstrip("/"), d)]
+        folders = {p for p in row["paths"] if not p.endswith(".json")}
+        paths = sorted(p for p in row["paths"] if p in folders or p.rpartition("/")[0] not in folders)
         records = read_landing(spark, source, paths)
         landed = [f.name for f in RAW_SCHEMAS[source].fields]
         unit = F.regexp_replace("landing_unit", "[=/]", "-").alias("unit")

@@ -28,6 +28,7 @@ PARTITIONED = {
     "silver.meteo": "dt",
     "silver.meteo_station_names": "month",
     "gold.hydro_meteo": "dt",
+    "gold.repeated_hours": "dt",
 }
 
 

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from catchment.operators import (
+    ConstraintError,
+    Constraints,
     DuplicateKeyError,
     EmptyBatchError,
     RequiredFieldError,
@@ -20,6 +22,8 @@ from catchment.operators import (
     null_violations,
     pivot_long,
     as_of_join,
+    enforce,
+    violations,
     point_in_time_join,
     range_violations,
     require_fields,
@@ -338,3 +342,18 @@ def test_queries_leave_nothing_cached(spark):
     for name in ("gold_hydro_meteo", "proximity_upsert", "domain_violations"):
         QUERIES[name](spark, "/root/testdata/sf0.001").collect()
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_constraints_report_every_broken_rule_in_one_scan(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 5, "x"), (1, "a", 500, "y"), (2, None, 7, "z"), (3, "b", None, None), (None, "c", 1, "x"), (None, "c", 1, "x")], "k int, name string, v int, s string"
+    )
+    rules = Constraints(["k"], required=["k", "name"], ranges={"v": (0, 100)}, allowed={"s": ["x", "y"]})
+    assert rows(violations(df, rules)) == srt(
+        [("unique", "k", "1", 2), ("range", "v", "1", 1), ("required", "name", "2", 1), ("allowed", "s", "2", 1), ("unique", "k", "", 2), ("required", "k", "", 2)]
+    )
+    assert violations(df.filter("false"), rules).isEmpty()
+    enforce("t", df.filter("k = 3"), rules)
+    for bad in ("k = 1 AND v = 500", "k = 2", "k IS NULL", "k = 1"):
+        with pytest.raises(ConstraintError, match="nothing written"):
+            enforce("t", df.filter(bad), rules)

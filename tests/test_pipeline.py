@@ -692,3 +692,35 @@ def test_reference_change_rebuilds_only_the_days_it_reaches(spark, scratch):
     p.run_seed(hydro_csv, meteo_csv, dt.datetime(2024, 6, 2))
     p.build([], as_of=dt.datetime(2024, 6, 2))
     assert changed() == {"2024-05-09", "2024-05-10"}
+
+
+def test_nested_old_files_are_archived_and_removed(spark, scratch):
+    root = tempfile.mkdtemp(prefix="nested-", dir=scratch)
+    landing, d1, d2 = os.path.join(root, "landing"), dt.date(2024, 5, 2), dt.date(2024, 5, 3)
+    deep = os.path.join(landing, "source=hydro", "2024", "05")
+    land(deep, "hydro", d1, hydro_records(d1)[:4])
+    land_parts(deep, "hydro", d2, hydro_records(d2)[4:6], hydro_records(d2)[6:7])
+    raw = {"hydro": os.path.join(landing, "source=hydro")}
+    assert archive_landing_files(spark, raw, os.path.join(root, "archive"), as_of=dt.date(2024, 6, 1))["archived"] == 3
+    left = [f for _, _, names in os.walk(landing) for f in names if f.endswith(".json")]
+    p = Pipeline(spark, os.path.join(root, "lake"), os.path.join(root, "archive"))
+    assert left == [] and p.ingest("hydro", None).rows_loaded == 7
+
+
+def test_jobs_stop_on_a_broken_constraint_and_report_repeated_hours(world, spark, scratch):
+    from catchment.operators import ConstraintError
+
+    root = tempfile.mkdtemp(prefix="check-", dir=scratch)
+    day = dt.date(2024, 5, 2)
+    land(os.path.join(root, "landing"), "meteo", day, [{**meteo_records(day)[0], "tund": 25}])
+    p = Pipeline(spark, os.path.join(root, "lake"), os.path.join(root, "landing"))
+    with pytest.raises(ConstraintError, match="range tund"):
+        p.ingest("meteo", [day])
+    with pytest.raises(ConstraintError, match="status"):
+        p.log.append(run_id="r", status="unknown")
+    assert p.lake.read("bronze.meteo") is None
+    report = world["p"].lake.read("gold.repeated_hours")
+    gold = world["p"].lake.read("gold.hydro_meteo")
+    twice = gold.groupBy("hydro_station_code", "timeline_ts_utc").count().filter("count > 1")
+    assert report.filter("n_rows > 0").count() == twice.count()
+    assert report.select("dt").distinct().count() == gold.select("dt").distinct().count()
