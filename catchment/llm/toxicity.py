@@ -17,11 +17,13 @@ Defined cases: a null or empty text has no words and gets the score of a
 document without toxic marginals; several labels of one id count as toxic if
 one is; labels without a value are skipped; without labels of both kinds every
 score is the share of toxic labels (0.5 without any), less 1e-6 from 0 and 1;
-rows are scored one by one, so repeated rows and null ids get their own.
+rows are scored one by one, so repeated rows and null ids get their own;
+extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 
 from .common import Words, chunks, flat, mix, ship, window_hashes, words, worker_state
 
-TOXIC_ROWS = 800
-CLEAN_ROWS = 1600
+TOXIC_ROWS = 1000
+CLEAN_ROWS = 2000
 FEATURE_BITS = 18
 ROUNDS = 25
 CACHE_ENTRIES = 500_000
@@ -49,6 +51,18 @@ def word_features(word: bytes) -> list[int]:
     return [xxhash.xxh3_64_intdigest(k) & ((1 << FEATURE_BITS) - 1) for k in keys]
 
 
+def features_of(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Features of some words one after the other, and where each word's begin;
+    no object stays for a word."""
+    flat_features, sizes = array("q"), array("q", [0])
+    for a in range(0, len(distinct), 10_000):
+        for x in distinct.slice(a, 10_000).to_pylist():
+            own = word_features(x)
+            flat_features.extend(own)
+            sizes.append(len(own))
+    return np.array(flat_features, np.int64), np.cumsum(np.array(sizes, np.int64))
+
+
 @dataclass
 class Crf:
     """Weights: features, start, other-toxic, toxic-other and toxic-toxic;
@@ -157,22 +171,24 @@ def fit(texts: list[str], toxic: list[int]) -> Crf:
     keep = _apart(w, w.hashes())
     y, w = y[keep], words(*flat(arr.take(pa.array(keep))))
     del arr
-    feats = [word_features(x) for x in w.distinct.to_pylist()]
-    owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    feat = np.concatenate([np.zeros(0, np.int64), *map(np.array, feats)]).astype(np.int64)
+    n_words = len(w.distinct)
+    feat, first = features_of(w.distinct)  # of word i: feat[first[i] : first[i + 1]]
+    owner = np.repeat(np.arange(n_words), np.diff(first))
 
     # words' labels: features of many toxic and almost no other documents
-    pair = np.unique(w.doc * len(feats) + w.code)
+    pair = np.unique(w.doc * n_words + w.code)
     df = np.zeros((2, 1 << FEATURE_BITS))
-    by_word: list[np.ndarray] = np.split(feat, np.cumsum([len(f) for f in feats])[:-1])
-    doc_of, word_of = pair // len(feats), pair % len(feats)
+    doc_of, word_of = pair // n_words, pair % n_words
+    del pair
     for d in range(len(y)):
         own = word_of[np.searchsorted(doc_of, d) : np.searchsorted(doc_of, d, side="right")]
         if len(own):
-            df[int(y[d]), np.unique(np.concatenate([by_word[i] for i in own]))] += 1
+            size = first[own + 1] - first[own]
+            at = np.arange(size.sum()) + np.repeat(first[own] - np.cumsum(size) + size, size)
+            df[int(y[d]), np.unique(feat[at])] += 1
     n_toxic, n_other = y.sum(), len(y) - y.sum()
     strong = (df[1] / n_toxic >= 8 * (df[0] + 0.5) / n_other) & (_surprise(df[1], df[0], n_toxic, n_other) >= 2 * np.log(20 * (df.sum(axis=0) > 0).sum()))
-    marks = np.zeros(len(feats), bool)
+    marks = np.zeros(n_words, bool)
     np.logical_or.at(marks, owner, strong[feat])
     tag = marks[w.code] & (y[w.doc] == 1)
 
@@ -186,9 +202,9 @@ def fit(texts: list[str], toxic: list[int]) -> Crf:
     starts = w.bounds[:-1][np.diff(w.bounds) > 0]
     for t in range(1, ROUNDS + 1):
         weight, chain = theta[:-4], theta[-4:]
-        em = np.bincount(owner, weight[feat], minlength=len(feats))[w.code]
+        em = np.bincount(owner, weight[feat], minlength=n_words)[w.code]
         left, right, p = forward_backward(em, w.bounds, chain)
-        per_word = np.bincount(w.code, tag - p, minlength=len(feats))
+        per_word = np.bincount(w.code, tag - p, minlength=n_words)
         grad = np.zeros_like(theta)
         grad[:-4] = np.bincount(feat, per_word[owner], minlength=1 << FEATURE_BITS)
         _, ot, to, tt = np.exp(np.clip(chain, -30, 30))
@@ -203,7 +219,7 @@ def fit(texts: list[str], toxic: list[int]) -> Crf:
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta = theta + 0.2 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     crf.feature, crf.chain = theta[:-4].astype(np.float32), theta[-4:]
-    em = np.bincount(owner, crf.feature[feat], minlength=len(feats))[w.code]
+    em = np.bincount(owner, crf.feature[feat], minlength=n_words)[w.code]
     crf.doc = _fit_logistic(document_features(forward_backward(em, w.bounds, crf.chain)[2], w.bounds), y)
     return crf
 
@@ -211,12 +227,13 @@ def fit(texts: list[str], toxic: list[int]) -> Crf:
 def training_rows(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, label_col: str) -> tuple[list[str], list[int]]:
     """Texts and labels of at most TOXIC_ROWS + CLEAN_ROWS labelled documents
     for which ``train`` holds."""
-    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train).groupBy(id_col).agg(F.max(label_col).alias("y"))
-    some = [known.filter(F.col("y") == k).orderBy(F.xxhash64(id_col), id_col).limit(n) for k, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
-    chosen = some[0].union(some[1]).withColumnRenamed(id_col, "_id")
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id"))
-    rows = rows.groupBy("_id").agg(F.min(text_col).alias("text"), F.max("y").alias("y")).orderBy("_id").collect()
-    return [r["text"] or "" for r in rows], [int(r["y"]) for r in rows]
+    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train).groupBy(F.col(id_col).alias("_labelled")).agg(F.max(label_col).alias("_label"))
+    some = [known.filter(F.col("_label") == k).orderBy(F.xxhash64("_labelled"), "_labelled").limit(n) for k, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
+    chosen = some[0].union(some[1])
+    texts = docs.select(F.col(id_col).alias("_own"), F.col(text_col).alias("_text"))
+    rows = texts.join(F.broadcast(chosen), F.col("_own") == F.col("_labelled"))
+    rows = rows.groupBy("_labelled").agg(F.min("_text").alias("text"), F.max("_label").alias("label")).orderBy("_labelled").collect()
+    return [r["text"] or "" for r in rows], [int(r["label"]) for r in rows]
 
 
 SCORED = "score double, spans array<struct<begin:int,end:int,weight:double>>"

@@ -339,3 +339,12 @@ def test_viterbi_finds_the_cheapest_split(piece):
 def test_corpus_is_what_the_tests_assume():
     texts = [t for _, t in corpus()]
     assert None in texts and "" in texts and max(len(t or "") for t in texts) >= 9000
+
+
+def test_toxicity_of_documents_with_clashing_columns(spark, awkward, docs):
+    labels = spark.createDataFrame([(i, int(bool(t) and "BUY" in t), "a", 1) for i, t in docs], "doc_id bigint, toxic int, _id string, y int")
+    wide = awkward.withColumns({c: F.lit(c) for c in ("y", "_label", "_labelled", "_text", "toxic", "label")})
+    got = toxicity.score_toxicity(wide, labels)
+    plain = toxicity.score_toxicity(awkward.select("doc_id", "text"), labels)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted", "spans"]
+    assert rows(got, "doc_id", "score") == rows(plain, "doc_id", "score") and got.count() == awkward.count()
