@@ -25,6 +25,10 @@ from .toxicity import score_toxicity
 from .url_filter import filter_urls
 
 
+# Line dedup: words from which a later run of one or two lines is deleted too.
+LONG_WORDS = 50
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_quality"
@@ -83,7 +87,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents")).select(
+    return dedup_lines(table(spark, sf_dir, "documents"), long_words=LONG_WORDS).select(
         F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("clean", F.lit("")), 256).alias("kept_sha256")
     )
 
@@ -192,17 +196,20 @@ WITH lines AS (
   SELECT doc_id, no, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no
         FROM documents)),
-worded AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS k FROM lines WHERE t <> ''),
+worded AS (
+  SELECT doc_id, list(t ORDER BY no) AS ts, list(no ORDER BY no) AS nos,
+    list(len(list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '')) ORDER BY no) AS words
+  FROM lines WHERE t <> '' GROUP BY 1),
 win AS (
-  SELECT a.doc_id, a.k, a.no AS n1, b.no AS n2, c.no AS n3, a.t || chr(10) || b.t || chr(10) || c.t AS g
-  FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.k = a.k + 1
-  JOIN worded c ON a.doc_id = c.doc_id AND c.k = a.k + 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, k) AS r FROM win),
-gone AS (SELECT DISTINCT doc_id, unnest([n1, n2, n3]) AS no FROM ranked WHERE r > 1),
+  SELECT doc_id, s, i, array_to_string(ts[i:i + s - 1], chr(10)) AS g, nos[i:i + s - 1] AS nos,
+    list_sum(words[i:i + s - 1]) AS words, len(ts) = s AS whole
+  FROM (SELECT *, unnest(range(1, len(ts) - s + 2)) AS i FROM worded, range(1, 4) t(s) WHERE len(ts) >= s)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY s, g ORDER BY doc_id, i) AS r FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(nos) AS no FROM ranked WHERE r > 1 AND (s = 3 OR words >= 50 OR whole)),
 kept AS (
   SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.no) AS clean
   FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.no = g.no WHERE g.no IS NULL GROUP BY 1),
-n AS (SELECT doc_id, count(*) AS n FROM worded GROUP BY 1),
+n AS (SELECT doc_id, len(ts) AS n FROM worded),
 m AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(m.n, 0) AS n_removed, sha256(coalesce(kept.clean, '')) AS kept_sha256
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN kept USING (doc_id)

@@ -109,7 +109,7 @@ def test_substring_dedup(spark, tables, docs):
 
 def test_line_dedup(spark, tables, docs):
     got = by_id(QUERIES["op10_line_dedup"](spark, tables["edge"]))
-    want = brute.dedup_lines(docs)
+    want = brute.dedup_passages(docs)
     assert {i: (r.n_lines, r.n_removed, r.kept_sha256) for i, r in got.items()} == {i: (n, m, brute.sha(t or "")) for i, (n, m, t) in want.items()}
     assert sum(m > 0 for _, m, _ in want.values()) >= 3
 
