@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from .registry import (
     REPORT_RANGE,
+    RESPONSE_GROUPS,
     COVERAGE_FROM,
     COVERAGE_TO,
     RETENTION_AS_OF,
@@ -654,8 +655,9 @@ scored AS (
 SELECT hydro_station_code, CAST(lag AS INTEGER) AS best_lag_hours, correlation, n AS n_pairs
 FROM scored QUALIFY row_number() OVER (PARTITION BY hydro_station_code ORDER BY correlation DESC, lag) = 1"""
     )
+    grouped = hours.replace("FROM gold", f"FROM (SELECT * REPLACE (hydro_station_code % {RESPONSE_GROUPS} AS hydro_station_code) FROM gold)")
     q["rain_response_measures"] = (
-        _with(*GOLD_CTES, hours)
+        _with(*GOLD_CTES, grouped)
         + """,
 measured AS (
   SELECT h.hydro_station_code, h.timeline_ts_utc, 'level_change' AS measure, h.level - b.level AS v

@@ -39,6 +39,7 @@ UPSERT_NEW_FROM = "2024-01-11"     # incoming batch: days from this (overlap = u
 UPSERT_CORRECTION = 1000.0         # corrected value offset in the batch
 SNAPSHOT_AS_OF = "2024-02-01 00:00:00"
 WINDOW_DAY = "2024-01-15"
+RESPONSE_GROUPS = 10             # groups of gauges in the response report
 REPORT_RANGE = (5.0, 300.0)        # values that the constraint report allows
 REPORT_EVENTS = ["click", "purchase", "signup"]
 RETENTION_AS_OF = "2001-01-01"
@@ -294,8 +295,10 @@ def q_rain_response(spark, d):
 
 
 def q_rain_response_measures(spark, d):
-    """RPT-1: the lag at which level change and discharge follow rain best."""
-    return rain_response_by_measure(gold_frame(spark, d))
+    """RPT-1: the lag at which level change and discharge follow rain best, for
+    ten groups of gauges: one stand-in gauge rarely has two hours in a row."""
+    grouped = gold_frame(spark, d).withColumn("hydro_station_code", F.col("hydro_station_code") % RESPONSE_GROUPS)
+    return rain_response_by_measure(grouped)
 
 
 def q_rain_events(spark, d):
