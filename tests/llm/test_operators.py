@@ -92,6 +92,47 @@ def test_components_with_large_groups_in_tiles(spark, monkeypatch, n, num, den):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("own", [1, 2])
+def test_template_pages_that_do_not_link_make_no_square_of_candidates(spark, monkeypatch, own):
+    """Pages of one template with a few own words each, below the similarity:
+    four times the pages may bring four times the candidates, not sixteen."""
+    made, real = {}, ngram_jaccard.stage
+    candidates = ("near-pairs", "tile-pairs")
+
+    def counting(df, name):
+        out = real(df, name)
+        if name in candidates:
+            made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(ngram_jaccard, "stage", counting)
+    monkeypatch.setattr(ngram_jaccard, "PAIR_GROUP", 16)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 64)
+    words_of = 99 if own == 2 else 45
+    found = {}
+    for pages in (200, 800):
+        texts = []
+        for i in range(pages):
+            page = [f"t{j}" for j in range(words_of)]
+            for k in range(own):
+                page[20 * (k + 1)] = f"own{i}x{k}"
+            texts.append((i, " ".join(page)))
+        made.clear()
+        df = spark.createDataFrame(texts, "doc_id bigint, text string")
+        got = ngram_jaccard.jaccard_components(df, 3, 90, 100)
+        assert got.filter("component_id != doc_id").isEmpty()
+        found[pages] = sum(made.values())
+    assert found[800] <= 4 * max(found[200], 200)
+
+
+def test_reach_is_the_largest_size_that_leaves_room(spark):
+    for num, den in ((90, 100), (80, 100), (50, 100), (100, 100)):
+        sizes = [(n, p) for n in range(1, 60) for p in range(n - -(-num * n // den) + 1)]
+        got = spark.createDataFrame(sizes, "n long, p int").select("n", "p", ngram_jaccard.reach(F.col("n"), F.col("p"), num, den)).collect()
+        for n, p, most in got:
+            assert most == max(b for b in range(3 * n + 2) if (num + den) * (n - p) >= num * (n + b))
+
+
 def test_one_per_component_keeps_rows_without_id(awkward, docs):
     kept = ngram_jaccard.one_per_component(awkward, 5, 80, 100)
     assert kept.columns == awkward.columns
