@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -84,17 +85,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(_CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
+    for scope in _scopes:
+        scope[path] = out
     return out
 
 
 def unstage(*staged: DataFrame) -> None:
     """Delete staged tables that nothing will read again."""
     for df in staged:
+        for scope in _scopes:
+            scope.pop(df.staged_path, None)
         sc = df.sparkSession.sparkContext
         path = sc._jvm.org.apache.hadoop.fs.Path(df.staged_path)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_scopes: list[dict[str, DataFrame]] = []
+
+
+def staged_result(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, staged; the tables that it staged on the way are
+    deleted once the result is written, since nothing reads them again."""
+    scope: dict[str, DataFrame] = {}
+    _scopes.append(scope)
+    try:
+        out = stage(make(), name)
+        scope.pop(out.staged_path)
+    finally:
+        _scopes.remove(scope)
+        unstage(*scope.values())
+    return out
+
+
 _state: dict = {}
 
 

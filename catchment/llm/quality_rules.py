@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, flat, give_back, per_text, stage, words, worker_state
+from .common import chunks, flat, give_back, per_text, stage, unstage, words, worker_state
 
 _COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -104,7 +104,10 @@ def count_features(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c) for c in cols], names=_COUNTS)
 
 
-def quality_counts(text: Column) -> Column:
+def quality_counts(text: Column, once: bool = False) -> Column:
+    """The counts of a text. With ``once`` the planner may not copy the call,
+    so that all that is derived from the counts shares one evaluation."""
+
     @F.arrow_udf(FEATURES)
     def counts(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         worker_state("quality_rules")
@@ -112,7 +115,7 @@ def quality_counts(text: Column) -> Column:
             yield count_features(t)
         give_back()
 
-    return counts(text)
+    return counts.asNondeterministic()(text) if once else counts(text)
 
 
 def rule_votes(f: Column) -> dict[str, Column]:
@@ -203,8 +206,10 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_quality(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The documents that the rules keep, with all their columns; the second
     pass counts again in place, so no text is shuffled or stored."""
-    counted = docs.select(F.struct("*").alias("doc"), quality_counts(F.col(text_col)).alias("f"))
+    counted = docs.select(F.struct("*").alias("doc"), quality_counts(F.col(text_col), once=True).alias("f"))
     votes = counted.select("doc", "f", pattern_of(F.col("f")).alias("pattern"))
-    model = label_model(stage(votes.select("pattern"), "patterns").groupBy("pattern").count())
+    patterns = stage(votes.select("pattern"), "patterns")
+    model = label_model(patterns.groupBy("pattern").count())
+    unstage(patterns)
     judged = votes.join(F.broadcast(model), "pattern").filter(~base_failed(F.col("f")) & (F.col("p_quality") >= threshold))
     return judged.select("doc.*")

@@ -63,3 +63,15 @@ def test_ids_that_do_not_decode_to_the_text_fail(spark, tables, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "encode", lambda *a: F.slice(encode(*a), 1, 1))
     with pytest.raises(Exception, match="do not decode to the text of document 1"):
         corpus_pipeline.byte_bpe(spark, df, "").collect()
+
+
+def test_only_the_result_stays_in_the_shared_folder(spark, tables):
+    from pathlib import Path
+
+    from catchment.llm.common import shared_root
+
+    root = Path(shared_root(spark).removeprefix("file:"))
+    before = set(root.glob("stage-*"))
+    out = corpus_pipeline.run(spark, tables["edge"])
+    assert [Path(out.staged_path)] == sorted(set(root.glob("stage-*")) - before)
+    assert out.count() > 0
