@@ -4,7 +4,7 @@ STAGES lists the stages in order; each is (name, function), and each function
 takes (spark, docs, sf_dir) and returns a DataFrame. ``run`` applies them to
 the documents table; a stage's rows are written as Parquet to the shared
 folder and read again as the next one's input, so a lost executor repeats one
-stage at most. Every stage works on all that its predecessor kept, and all but
+stage at most; tables that a stage has done with are deleted. Every stage works on all that its predecessor kept, and all but
 the last return the columns of documents.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchment.llm.byte_bpe import decode, encode, load_ranks
-from catchment.llm.common import ship, stage, table
+from catchment.llm.common import ship, staged_result, table, unstage
 from catchment.llm.decontaminate import drop_contaminated
 from catchment.llm.line_dedup import drop_repeated_lines
 from catchment.llm.ngram_jaccard import one_per_component
@@ -77,7 +77,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        docs = staged_result(lambda step=step, docs=docs: step(spark, docs, sf_dir), name)
+        unstage(*before)  # the stage before has been read to its end
+        before = [docs]
     return docs
