@@ -12,14 +12,21 @@ distinct pieces; a piece's substrings are joined with the word counts, so each
 segmentation sees only its own substrings. Only page counts per class reach
 the driver.
 
-The model learns from pages whose host holds a word of ``BLOCK_WORDS``
-(blocked) and all others (allowed), counted over the whole table; what stands
-near those words is learned with them.
+No page is labelled, so the model is trained twice. ``BLOCK_WORDS`` only
+start it: pages whose host holds one are taken as unwanted. The first model
+learns from these labels with every block word left out of the features, so it
+can use nothing but what stands beside them (``free`` of ``free-bets``). Pages
+that it finds unwanted join the unwanted ones, and the second model, which sees
+all words, gives the verdict. A class's word shares are mixed with those of all
+pages (``MIX``), so a rare word says little and the odds do not depend on the
+table's size.
 
 Defined cases: a null url or one without ``://`` has an empty host and path;
 it fits no rule and is judged by the class shares alone; html may be null or
 empty; every row is judged for itself, so null and repeated page ids get a row
-each; an empty table gives no rows.
+each; only the three named columns are read, so others may have any name; a
+host's pieces are split whole, however long; without any block word on a host
+everything outside the rules is allowed; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,11 +50,12 @@ RULES = [
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 ]
-# Words that mark a host as unwanted.
+# Words that mark a host as unwanted when training starts.
 BLOCK_WORDS = ["adult", "ads", "bets", "casino", "pills", "porn", "spam", "warez"]
 
 LONGEST = 20  # letters of the longest word
-SMOOTHING = 0.5
+MIX = 0.1  # weight of all pages' word shares in those of a class
+SMOOTHING = 0.5  # pages added to each class
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SKIP = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S)
 _WORD = re.compile(r"[a-z]+")
@@ -123,8 +131,36 @@ def segment(pieces: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     return pieces.join(known, "piece", "left").select("piece", split("piece", "known").alias("words"))
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """id, host, path, rule, verdict and p_block of every page."""
+def naive_bayes(known: DataFrame, blocked: Column) -> tuple[DataFrame, float]:
+    """(host, shape, odds) of the shapes with tokens, and the log odds of the
+    classes alone: multinomial naive Bayes learned from ``known`` (host, shape,
+    pages, tokens), where ``blocked`` tells the class."""
+    rows = known.select("host", "shape", "pages", blocked.alias("blocked"), "tokens")
+    pages_of = lambda wanted: F.coalesce(F.sum(F.when(wanted, F.col("pages"))), F.lit(0))
+    bad, good = rows.agg(pages_of(F.col("blocked")), pages_of(~F.col("blocked"))).first()
+    each = rows.select("host", "shape", "pages", "blocked", F.explode("tokens").alias("token"))
+    weight = stage(each.groupBy("token").agg(pages_of(F.col("blocked")).alias("b"), pages_of(~F.col("blocked")).alias("a")), "token-weights")
+    in_bad, in_good = (n or 0 for n in weight.agg(F.sum("b"), F.sum("a")).first())
+    background = MIX * (F.col("b") + F.col("a")) / max(in_bad + in_good, 1)
+    # a class without any tokens has the shares of all pages
+    p_bad = (1 - MIX) * F.col("b") / in_bad + background if in_bad else background / MIX
+    p_good = (1 - MIX) * F.col("a") / in_good + background if in_good else background / MIX
+    odds = weight.select("token", F.log(p_bad / p_good).alias("odds"))
+    prior = math.log((bad + SMOOTHING) / (good + SMOOTHING))
+    scores = each.join(odds, "token").groupBy("host", "shape").agg(F.round(F.sum("odds") + prior, 6).alias("odds"))
+    return stage(scores, "url-scores"), prior
+
+
+def filter_urls(
+    pages: DataFrame,
+    rules: list[tuple[str, str]] = RULES,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    block_words: list[str] = BLOCK_WORDS,
+) -> DataFrame:
+    """id, host, path, rule, verdict, p_block and p_unseeded (the first model's
+    probability, to which the block words are unknown) of every page."""
     cut = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     cut = cut.withColumn("shape", F.regexp_replace(F.translate("path", UPPER, LOWER), "[0-9]+", "0"))
     rows = stage(cut, "urls")
@@ -133,7 +169,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col:
     counts = stage(word_counts(pages, html_col), "word-counts")
     total = (counts.agg(F.sum("n")).first()[0] or 0) + 1
     # the marked words are words, whether or not the pages use them
-    marked = pages.sparkSession.createDataFrame([(w, max(1, total // 10_000)) for w in BLOCK_WORDS], "word string, n bigint")
+    marked = pages.sparkSession.createDataFrame([(w, max(1, total // 10_000)) for w in block_words], "word string, n bigint")
     counts = counts.union(marked).groupBy("word").agg(F.max("n").alias("n"))
 
     pieces_of = F.filter(F.split("host", "[^a-z]+"), lambda x: x != "")
@@ -145,22 +181,24 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col:
 
     path_words = F.filter(F.split("shape", "[^a-z0-9]+"), lambda x: x != "")
     known = shapes.join(host_words, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
-    known = known.withColumn("blocked", F.arrays_overlap("words", F.array(*map(F.lit, BLOCK_WORDS))))
-    tokens = F.concat(F.transform("words", lambda x: F.concat(F.lit("host:"), x)), F.transform(path_words, lambda x: F.concat(F.lit("path:"), x)))
-    known = stage(known.select("host", "shape", "pages", "blocked", tokens.alias("tokens")), "url-tokens")
-
-    share = {r["blocked"]: (r["pages"], r["tokens"]) for r in known.groupBy("blocked").agg(F.sum("pages").alias("pages"), F.sum(F.col("pages") * F.size("tokens")).alias("tokens")).collect()}
-    (bad, bad_tokens), (good, good_tokens) = share.get(True, (0, 0)), share.get(False, (0, 0))
-    each = known.select("host", "shape", "pages", "blocked", F.explode("tokens").alias("token"))
-    weight = each.groupBy("token").agg(F.sum(F.when(F.col("blocked"), F.col("pages")).otherwise(0)).alias("b"), F.sum(F.when(F.col("blocked"), 0).otherwise(F.col("pages"))).alias("a"))
-    weight = stage(weight, "token-weights")
-    kinds = weight.count()
-    in_bad = (F.col("b") + SMOOTHING) / (bad_tokens + SMOOTHING * max(kinds, 1))
-    in_good = (F.col("a") + SMOOTHING) / (good_tokens + SMOOTHING * max(kinds, 1))
-    odds = weight.select("token", F.log(in_bad / in_good).alias("odds"))
-    prior = math.log((bad + SMOOTHING) / (good + SMOOTHING))
-    scores = each.join(odds, "token").groupBy("host", "shape").agg(F.round(F.sum("odds") + prior, 6).alias("odds"))
-    scores = stage(scores, "url-scores")
+    seeds = F.array(*map(F.lit, block_words)).cast("array<string>")
+    host_tokens = lambda x: F.transform(x, lambda w: F.concat(F.lit("host:"), w))
+    path_tokens = F.transform(path_words, lambda w: F.concat(F.lit("path:"), w))
+    known = known.select(
+        "host",
+        "shape",
+        "pages",
+        F.arrays_overlap("words", seeds).alias("seeded"),
+        F.concat(host_tokens(F.filter("words", lambda w: ~F.array_contains(seeds, w))), path_tokens).alias("unseeded"),
+        F.concat(host_tokens("words"), path_tokens).alias("tokens"),
+    )
+    known = stage(known, "url-tokens")
+
+    first, first_prior = naive_bayes(known.drop("tokens").withColumnRenamed("unseeded", "tokens"), F.col("seeded"))
+    first = first.withColumnRenamed("odds", "first")
+    joined = known.join(first, ["host", "shape"], "left").withColumn("first", F.coalesce("first", F.lit(first_prior)))
+    second, prior = naive_bayes(joined, F.col("seeded") | (F.col("first") >= 0))
+    scores = joined.select("host", "shape", "first").join(second, ["host", "shape"], "left")
     judged = rows.join(scores, ["host", "shape"], "left").withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     p = 1 / (1 + F.exp(-F.coalesce("odds", F.lit(prior))))
     return judged.select(
@@ -170,4 +208,5 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col:
         F.col("rule.rule").alias("rule"),
         F.coalesce(F.col("rule.action"), F.when(p >= 0.5, "block").otherwise("allow")).alias("verdict"),
         p.alias("p_block"),
+        (1 / (1 + F.exp(-F.coalesce("first", F.lit(first_prior))))).alias("p_unseeded"),
     )

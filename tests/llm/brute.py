@@ -244,3 +244,56 @@ def collocations(rows, max_words=5, least=100, top=2000, closed=100):
         for rank, (score, a, p, left, right) in enumerate(sorted(found)[:top], 1):
             out.append((lang, rank, p.decode(), -a, left, right, n[lang], -score))
     return out
+
+
+def split_host_piece(piece, counts, total, longest=20):
+    best = {0: (0.0, [])}
+    for end in range(1, len(piece) + 1):
+        found = None
+        for start in range(end - 1, max(-1, end - longest - 1), -1):
+            word = piece[start:end]
+            price = -math.log(counts[word] / total) if word in counts else math.log(total) + math.log(10) * len(word)
+            if found is None or best[start][0] + price < found[0]:
+                found = (best[start][0] + price, [*best[start][1], word])
+        best[end] = found
+    return best[len(piece)][1]
+
+
+def url_odds(pages, seeds, longest=20, mix=0.1):
+    """Per page (id, url, html): log odds of the model that knows no seed word
+    and of the one that gives the verdict, page by page."""
+    counts = Counter()
+    for _, _, html in pages:
+        text = (html or "").lower()
+        for tag in ("script", "style"):
+            text = re.sub(rf"<{tag}\b.*?</{tag}\s*>", " ", text, flags=re.S)
+        text = re.sub(r"<[^>]*>", " ", re.sub(r"<!--.*?-->", " ", text, flags=re.S))
+        counts.update(w for w in re.findall("[a-z]+", text) if len(w) <= longest)
+    total = sum(counts.values()) + 1
+    for w in seeds:
+        counts[w] = max(counts[w], 1, total // 10_000)
+    words, tails = [], []
+    for _, url, _ in pages:
+        host, tail = re.search(r"://([^/?#]*)([^?#]*)", url or "").groups() if "://" in (url or "") else ("", "")
+        pieces = re.findall("[a-z]+", fold(host))
+        words.append([w for piece in pieces for w in split_host_piece(piece, counts, total, longest)])
+        tails.append(["path " + re.sub("[0-9]+", "0", x) for x in re.findall("[a-z0-9]+", fold(tail))])
+
+    def bayes(features, bad):
+        n, per, size = Counter(), {True: Counter(), False: Counter()}, {}
+        for f, y in zip(features, bad, strict=True):
+            per[y].update(f)
+            n.update(f)
+        for y in per:
+            size[y] = sum(per[y].values())
+        prior = math.log((sum(bad) + 0.5) / (len(bad) - sum(bad) + 0.5))
+        everything = sum(n.values())
+
+        def p(t, y):
+            return (1 - mix) * per[y][t] / size[y] + mix * n[t] / everything if size[y] else n[t] / everything
+
+        return [prior + sum(math.log(p(t, True) / p(t, False)) for t in f) for f in features]
+
+    seeded = [any(w in seeds for w in ws) for ws in words]
+    first = bayes([[w for w in ws if w not in seeds] + t for ws, t in zip(words, tails, strict=True)], seeded)
+    return first, bayes([ws + t for ws, t in zip(words, tails, strict=True)], [s or o >= 0 for s, o in zip(seeded, first, strict=True)])

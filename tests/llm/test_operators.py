@@ -1,6 +1,7 @@
 """The operators' own interfaces: general forms, limits and edge cases."""
 
 import itertools
+import math
 import random
 
 import numpy as np
@@ -362,8 +363,6 @@ def test_scores_without_labels_of_both_kinds(spark, labels):
 @SETTINGS
 @given(st.text(alphabet="abcd", max_size=9))
 def test_viterbi_finds_the_cheapest_split(piece):
-    import math
-
     counts, total = {"ab": 40, "abc": 5, "d": 30, "cd": 20, "a": 3, "bcd": 1}, 100
 
     def cost(parts):
@@ -377,6 +376,40 @@ def test_viterbi_finds_the_cheapest_split(piece):
     assert cost(got) == pytest.approx(min(map(cost, splits(piece))))
 
 
+def own_pages(hide=""):
+    """Pages of good hosts, of hosts with a block word, and of hosts that only
+    share a word with these; ``hide`` is cut out of the urls that hold it."""
+    text = "<p>free river station music casino bets pills news city park win cheap lake</p>"
+    good = [f"https://www.{a}{b}.net/en/{i}" for i, (a, b) in enumerate([("river", "station"), ("city", "park"), ("news", "lake"), ("music", "city")] * 12)]
+    bad = [f"http://{h}.net/en/{i}.html" for i, h in enumerate(["freecasino", "free-bets", "m.cheappills", "casino-win", "cheapfree-pills"] * 2)]
+    urls = [u.replace(hide, "") if hide else u for u in good + bad] + [None, "", "no host", "http:///x", "http://freewin.net/en/7.html", "http://x.net/" + "ab" * 3000]
+    return [(i, u, text if i % 2 else None) for i, u in enumerate(urls)], range(len(good), len(good) + len(bad)), len(good) + len(bad) + 4
+
+
+def test_url_verdicts_equal_plain_bayes(spark):
+    pages, bad, alike = own_pages()
+    frame = spark.createDataFrame([(*p, "x", 1) for p in pages + pages[:3]], "page_id long, url string, html string, host string, odds int")
+    got = url_filter.filter_urls(frame, rules=[]).collect()
+    assert len(got) == len(frame.collect())
+    first, second = brute.url_odds(pages + pages[:3], url_filter.BLOCK_WORDS)
+    want = sorted((p[0], a, b) for p, a, b in zip(pages + pages[:3], first, second, strict=True))
+    for r, (i, a, b) in zip(sorted(got, key=lambda r: r.page_id), want, strict=True):
+        assert r.page_id == i
+        assert np.allclose([r.p_unseeded, r.p_block], [1 / (1 + math.exp(-a)), 1 / (1 + math.exp(-b))], atol=1e-5)
+        assert r.verdict == ("block" if b >= 0 else "allow")
+    blocked = {r.page_id for r in got if r.verdict == "block"}
+    assert blocked == {*bad, alike}  # a host without a block word is blocked by the words beside them
+
+
+@pytest.mark.parametrize("hidden", ["casino", "bets", "pills"])
+def test_url_model_finds_hosts_whose_block_word_is_hidden(spark, hidden):
+    pages, bad, _ = own_pages(hide=hidden)
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filter.filter_urls(frame, rules=[]).collect()}
+    assert all(got[i].verdict == "block" for i in bad if "free" in pages[i][1] or "cheap" in pages[i][1])
+    assert all(got[i].verdict == "allow" for i in range(bad[0]))
+
+
 def test_corpus_is_what_the_tests_assume():
     texts = [t for _, t in corpus()]
     assert None in texts and "" in texts and max(len(t or "") for t in texts) >= 9000
